@@ -121,9 +121,8 @@ def regrid_hourly(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def duplicate_timestamps_query(spark: SparkSession, sf: str) -> DataFrame:
-    ts = F.col("ts")
     events = data.table(spark, sf, "events").select(
-        F.col("event_type").alias("series_id"), HOURLY.time_of(HOURLY.cell(ts)).alias("ts")
+        F.col("event_type").alias("series_id"), HOURLY.floor("ts").alias("ts")
     )
     return duplicate_timestamps(events, HOURLY)
 

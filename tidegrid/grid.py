@@ -34,32 +34,44 @@ class Grid:
         if self.chunk_cells < 1:
             raise ValueError("chunk_cells must be positive")
 
-    def cell(self, ts: Column | None = None) -> Column:
-        """Number of the grid cell a timestamp falls into (floored)."""
-        ts = F.col(self.ts) if ts is None else ts
-        seconds = (
-            F.unix_date(F.to_date(ts)).cast("bigint") * DAY_SECONDS
-            + F.hour(ts) * 3_600
-            + F.minute(ts) * 60
-            + F.second(ts)
-        )
-        # the floor of a signed division: times before 1970 have negative seconds
-        return F.floor(seconds / F.lit(self.freq_seconds)).cast("bigint")
-
-    def time_of(self, cell: Column) -> Column:
-        """Start of a grid cell as a timestamp without time zone."""
+    # Expressions are SQL text: one call instead of dozens to build them.
+
+    def _cell_sql(self, ts: str) -> str:
         per_day = DAY_SECONDS // self.freq_seconds
-        day = F.floor(cell / F.lit(per_day)).cast("int")
-        rest = (F.pmod(cell, F.lit(per_day)) * self.freq_seconds).cast("decimal(18,6)")
-        zero = F.lit(0)
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return epoch + F.make_dt_interval(day, zero, zero, rest)
+        in_day = f"(hour(`{ts}`) * 3600 + minute(`{ts}`) * 60 + second(`{ts}`))"
+        return f"(unix_date(to_date(`{ts}`)) * {per_day}L + {in_day} div {self.freq_seconds})"
+
+    def _time_sql(self, cell: str) -> str:
+        per_day = DAY_SECONDS // self.freq_seconds
+        seconds = f"CAST(pmod({cell}, {per_day}) * {self.freq_seconds} AS DECIMAL(18, 6))"
+        day = f"CAST(floor({cell} / {per_day}) AS INT)"
+        epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+        return f"({epoch} + make_dt_interval({day}, 0, 0, {seconds}))"
+
+    def cell(self, ts: str | None = None) -> Column:
+        """Number of the grid cell a timestamp falls into (floored)."""
+        return F.expr(self._cell_sql(ts or self.ts))
+
+    def time_of(self, cell: str) -> Column:
+        """Start of the cell with the number in column ``cell``, without time zone."""
+        return F.expr(self._time_sql(f"`{cell}`"))
+
+    def floor(self, ts: str | None = None) -> Column:
+        """Start of the cell a timestamp falls into."""
+        return F.expr(self._time_sql(self._cell_sql(ts or self.ts)))
 
     def chunk(self, cell: Column) -> Column:
-        return F.floor(cell / F.lit(self.chunk_cells)).cast("bigint")
+        return F.floor(cell / F.lit(self.chunk_cells))
+
+    def offset(self) -> Column:
+        """How far a timestamp lies after the start of its cell, to the microsecond."""
+        return F.col(self.ts).cast("timestamp_ntz") - self.floor()
 
     def on_grid(self) -> Column:
-        return F.col(self.ts).cast("timestamp_ntz") == self.time_of(self.cell())
+        """Whether a timestamp is the start of its cell."""
+        t = f"`{self.ts}`"
+        past = f"(hour({t}) * 3600 + minute({t}) * 60 + second({t})) % {self.freq_seconds}"
+        return F.expr(f"{past} = 0 AND extract(SECOND FROM {t}) = second({t})")
 
 
 def with_halo(

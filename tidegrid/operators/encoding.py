@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Up to this many categories are ranked in one task and broadcast. More are
-# ranked in ranges and joined by a shuffle.
+# Up to this many categories are ranked on the driver and broadcast. More are
+# ranked in ranges by the cluster and joined as Spark sees fit.
 MAX_SMALL_ENCODING = 10_000
 RANGE_SPLITS = 1_000
 MISSING_LABEL = "nan"
@@ -23,18 +23,27 @@ def _label(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(MISSING_LABEL))
 
 
-def fit_encoding(df: DataFrame, column: str) -> DataFrame:
-    """Table ``(label, code)``: codes 0.. in string order; missing is the label 'nan'."""
+def fit_encoding(df: DataFrame, column: str, with_missing: bool = False) -> DataFrame:
+    """Table ``(label, code)``: codes 0.. in string order; missing is the label 'nan'.
+
+    ``with_missing`` adds that label also if no row of ``df`` is missing, for a
+    frame that has yet to be laid on the grid.
+    """
     labels = df.select(_label(column).alias("label")).distinct()
-    small = labels.limit(MAX_SMALL_ENCODING + 1).count() <= MAX_SMALL_ENCODING
-    return rank_labels(labels, small)
+    if with_missing:
+        missing = df.sparkSession.range(1).select(F.lit(MISSING_LABEL).alias("label"))
+        labels = labels.unionByName(missing).distinct()
+    found = [r["label"] for r in labels.limit(MAX_SMALL_ENCODING + 1).collect()]
+    if len(found) > MAX_SMALL_ENCODING:
+        return rank_in_ranges(labels)
+    # Spark orders strings by their UTF-8 bytes
+    ordered = sorted(found, key=lambda label: label.encode())
+    rows = [(label, code) for code, label in enumerate(ordered)]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, "label string, code int"))
 
 
-def rank_labels(labels: DataFrame, small: bool) -> DataFrame:
-    """Rank distinct labels; a large set is cut into ranges that are ranked on their own."""
-    if small:
-        code = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("label")) - 1
-        return labels.select("label", code.cast("int").alias("code"))
+def rank_in_ranges(labels: DataFrame) -> DataFrame:
+    """Rank distinct labels without bringing them together: each range on its own."""
     # any cut points give the same ranks; a fixed-size sample makes the ranges even
     sample = labels.orderBy(F.xxhash64("label")).limit(RANGE_SPLITS).collect()
     cuts = F.array(*[F.lit(r["label"]) for r in sorted(sample)])
@@ -60,10 +69,7 @@ def encode(
     df: DataFrame, column: str, encoding: DataFrame, output: str = "weather_code"
 ) -> DataFrame:
     """Replace the column by its code; labels the encoding does not know become -1."""
-    small = encoding.limit(MAX_SMALL_ENCODING + 1).count() <= MAX_SMALL_ENCODING
     table = encoding.select(F.col("label").alias("_label"), F.col("code").alias("_code"))
-    joined = df.withColumn("_label", _label(column)).join(
-        F.broadcast(table) if small else table, "_label", "left"
-    )
+    joined = df.withColumn("_label", _label(column)).join(table, "_label", "left")
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (column, output)]
     return joined.select(*kept, F.coalesce("_code", F.lit(UNSEEN_CODE)).alias(output))

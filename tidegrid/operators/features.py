@@ -18,6 +18,9 @@ STD_WINDOWS = (6, 12, 24)
 TIER_LIMITS = (12.0, 35.4, 55.4, 150.4, 250.4)
 NIGHT_ENDS, NIGHT_STARTS = 6, 20
 
+# Longest window whose cells are fetched one by one.
+MAX_LAGGED_WINDOW = 48
+
 
 def calendar_columns(ts: Column) -> list[Column]:
     """hour, day, month, day_of_week (Monday is 0), is_weekend, is_night."""
@@ -60,24 +63,53 @@ def history_features(
     missing. With ``shift=0`` the window ends at the row itself; ``shift=1`` keeps
     the row's own target out of its features.
 
-    All frames share one partitioning and order, hence one shuffle and one sort.
+    Everything is read off one set of lags: one shuffle, one sort, constant work
+    per lag and row. Sums of lags are NULL wherever a cell is missing, which is
+    just the rule above. A sliding frame would redo its whole window for each row,
+    so only windows too long for lags use one.
     """
-    look_back = max([0, *lags, *[w - 1 + shift for w in (*mean_windows, *std_windows)]])
+    windows = sorted({*mean_windows, *std_windows})
+    look_back = max([0, *lags, *[w - 1 + shift for w in windows]])
     order = Window.partitionBy(grid.series, "_chunk").orderBy(grid.ts)
+    short = [w for w in windows if w <= MAX_LAGGED_WINDOW]
+    reach = max([0, *[w - 1 + shift for w in short]])
+    offsets = sorted({*lags, *range(1, reach + 1)})
     value = F.col(target)
 
-    def full(w: int, aggregate: Column) -> Column:
+    def framed(w: int) -> list[Column]:
         frame = order.rowsBetween(-(w - 1) - shift, -shift)
-        return F.when(F.count(value).over(frame) == w, aggregate.over(frame))
+        full = F.count(value).over(frame) == w
+        return [
+            F.when(full, F.avg(value).over(frame)).alias(f"_mean{w}"),
+            F.when(full, F.stddev_samp(value).over(frame)).alias(f"_std{w}"),
+        ]
+
+    seen = [F.lag(value, k).over(order).alias(f"_lag{k}") for k in offsets]
+    seen += [column for w in windows if w not in short for column in framed(w)]
+    haloed = with_halo(df, grid.cell(), max(grid.chunk_cells, look_back), look_back)
+    rows = own_rows(haloed.select("*", *seen))
+
+    def at(k: int) -> str:
+        return f"`_lag{k}`" if k else f"`{target}`"
 
-    columns = [F.lag(value, k).over(order).alias(f"lag_{k}h") for k in lags]
-    for w in sorted({*mean_windows, *std_windows}):
+    def total(terms: list[str]) -> str:
+        return "(" + " + ".join(terms) + ")"
+
+    means, features = [], [F.col(f"_lag{k}").alias(f"lag_{k}h") for k in lags]
+    for w in windows:
+        cells = [at(k + shift) for k in range(w)]
+        if w in short:
+            means.append(F.expr(f"{total(cells)} / {w}D").alias(f"_mean{w}"))
         if w in mean_windows:
-            columns.append(full(w, F.avg(value)).alias(f"rolling_mean_{w}h"))
-        if w in std_windows:
-            columns.append(full(w, F.stddev_samp(value)).alias(f"rolling_std_{w}h"))
-    haloed = with_halo(df, grid.cell(), max(grid.chunk_cells, look_back), look_back)
-    return own_rows(haloed.select("*", *columns))
+            features.append(F.col(f"_mean{w}").alias(f"rolling_mean_{w}h"))
+        if w in std_windows and w in short:
+            squares = total([f"({c} - _mean{w}) * ({c} - _mean{w})" for c in cells])
+            deviation = f"CASE WHEN {w} > 1 THEN sqrt({squares} / {max(w - 1, 1)}D) END"
+            features.append(F.expr(deviation).alias(f"rolling_std_{w}h"))
+        elif w in std_windows:
+            features.append(F.col(f"_std{w}").alias(f"rolling_std_{w}h"))
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    return rows.select("*", *means).select(*kept, *features)
 
 
 def feature_table(

@@ -53,7 +53,7 @@ def interpolate(
         .filter(grid.chunk(F.col("_cell")) == F.col("_chunk"))
         .select(
             grid.series,
-            grid.time_of(F.col("_cell")).alias(grid.ts),
+            grid.time_of("_cell").alias(grid.ts),
             *[filled.get(c, F.col(c)).alias(c) for c in values],
         )
     )

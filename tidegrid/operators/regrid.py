@@ -65,34 +65,44 @@ def collapse_duplicates(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     return df.groupBy(grid.series, grid.ts).agg(*aggregates)
 
 
-def snap_regular_offset(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
-    """Move series that are complete but off the grid by a constant offset onto it.
+def series_extent(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
+    """Per series: first and last cell, rows on the grid, and whether it is ``shifted``.
 
-    Such a series keeps its values at the start of each cell; every other series
-    is left alone. The series concerned are usually none, so they are counted
-    first: without any the frame comes back as it is.
+    A shifted series is complete, but lies off the grid by a constant offset.
     """
-    cell = grid.cell()
-    # day-time intervals compare exactly, fractions of a second included
-    offset = F.col(grid.ts).cast("timestamp_ntz") - grid.time_of(cell)
-    seen = df.select(F.col(grid.series), cell.alias("cell"), offset.alias("offset"))
-    shifted = (
+    seen = df.filter(F.col(grid.ts).isNotNull()).select(
+        F.col(grid.series), grid.cell().alias("cell"), grid.offset().alias("offset")
+    )
+    shifted = "least = most AND least > INTERVAL '0' SECOND AND n = hi - lo + 1 AND n > 2"
+    return (
         seen.groupBy(grid.series)
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.count_if(F.expr("offset = INTERVAL '0' SECOND")).alias("on_grid"),
             F.min("cell").alias("lo"),
             F.max("cell").alias("hi"),
             F.min("offset").alias("least"),
             F.max("offset").alias("most"),
         )
-        .filter("least = most AND least > INTERVAL '0' SECOND AND n = hi - lo + 1 AND n > 2")
-        .select(grid.series, F.lit(True).alias("_shifted"))
+        .select(grid.series, "lo", "hi", "on_grid", F.expr(shifted).alias("shifted"))
     )
-    known = shifted.limit(MAX_BROADCAST_SERIES + 1).count()
+
+
+def snap_regular_offset(
+    df: DataFrame, grid: Grid = Grid(), known: int | None = None
+) -> DataFrame:
+    """Move shifted series onto the grid; every other series is left alone.
+
+    Shifted series are usually none, so they are counted first (or their number
+    is given): without any the frame comes back as it is.
+    """
+    shifted = series_extent(df, grid).filter("shifted").select(grid.series, "shifted")
+    if known is None:
+        known = shifted.limit(MAX_BROADCAST_SERIES + 1).count()
     if known == 0:
         return df
     right = F.broadcast(shifted) if known <= MAX_BROADCAST_SERIES else shifted
-    moved = F.when(F.col("_shifted"), grid.time_of(cell)).otherwise(
+    moved = F.when(F.col("shifted"), grid.floor()).otherwise(
         F.col(grid.ts).cast("timestamp_ntz")
     )
     return df.join(right, grid.series, "left").withColumn(grid.ts, moved).select(*df.columns)
@@ -102,7 +112,7 @@ def regrid(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     """Reindex every series to its full grid: holes are NULL, off-grid rows are dropped."""
     values = [c for c in df.columns if c not in (grid.series, grid.ts)]
     cells = grid_cells(df, grid, carry=())
-    return cells.select(grid.series, grid.time_of(F.col("_cell")).alias(grid.ts), *values)
+    return cells.select(grid.series, grid.time_of("_cell").alias(grid.ts), *values)
 
 
 def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
@@ -115,8 +125,7 @@ def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
     For the columns in ``carry``, the last present value before a chunk and the
     first one after it come along as rows of their own outside the chunk's range
     (at most two per column and chunk), so that a window over the chunk sees its
-    neighbours. They stem from a table of one row per series and chunk, which is
-    aggregated before it is shuffled.
+    neighbours.
     """
     series = grid.series
     values = [c for c in df.columns if c not in (series, grid.ts)]
@@ -132,12 +141,15 @@ def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
         F.lit(1).alias("_reading"),
         *values,
     )
-    marks = _chunk_rows(timed, readings, grid, values, types, carry)
+    marks = _chunk_rows(timed, grid, values, types, carry)
 
     key = [series, "_chunk", "_cell"]
+    # a chunk row grows into many cells on arrival, which Spark cannot foresee when
+    # it merges small partitions, hence the explicit number
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = (
         readings.unionByName(marks)
-        .repartition(series, "_chunk")
+        .repartition(partitions, series, "_chunk")
         .withColumn("_cell", F.explode(F.sequence("_first", "_last")))
         .groupBy(*key)
         .agg(
@@ -153,24 +165,43 @@ def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
 
 def _chunk_rows(
     timed: DataFrame,
-    readings: DataFrame,
     grid: Grid,
     values: list[str],
     types: dict[str, T.DataType],
     carry: Sequence[str],
 ) -> DataFrame:
+    """One row per chunk of the grid, and rows for the nearest values outside it.
+
+    Everything here rests on one aggregate of the readings by series and chunk: a
+    century of hours is a few hundred rows.
+    """
     series = grid.series
-    bounds = timed.groupBy(series).agg(
-        F.min(grid.cell()).alias("lo"), F.max(grid.cell()).alias("hi")
+    cell, on_grid = grid.cell(), grid.on_grid()
+    ends = []
+    for i, c in enumerate(carry):
+        present = F.when(on_grid & F.col(c).isNotNull(), F.struct(cell.alias("at"), F.col(c)))
+        ends += [F.min(present).alias(f"_lo{i}"), F.max(present).alias(f"_hi{i}")]
+    summary = timed.groupBy(series, grid.chunk(cell).alias("_chunk")).agg(
+        F.min(cell).alias("_lo"), F.max(cell).alias("_hi"), *ends
     )
-    start = F.col("_chunk") * grid.chunk_cells
-    spine = bounds.withColumn(
-        "_chunk", F.explode(F.sequence(grid.chunk(F.col("lo")), grid.chunk(F.col("hi"))))
-    ).select(
+    whole = Window.partitionBy(series)
+    ordered = whole.orderBy("_chunk")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    after = whole.orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    known = summary.select(
         series,
         "_chunk",
-        F.greatest("lo", start).alias("_first"),
-        F.least("hi", start + (grid.chunk_cells - 1)).alias("_last"),
+        F.lead("_chunk").over(ordered).alias("_next"),
+        F.min("_lo").over(whole).alias("_lo"),
+        F.max("_hi").over(whole).alias("_hi"),
+        *[F.last(f"_hi{i}", True).over(before).alias(f"_before{i}") for i in range(len(carry))],
+        *[F.last(f"_hi{i}", True).over(upto).alias(f"_upto{i}") for i in range(len(carry))],
+        *[F.last(f"_lo{i}", True).over(after).alias(f"_after{i}") for i in range(len(carry))],
+    )
+    # chunks without any reading follow the one before them
+    spread = known.withColumnRenamed("_chunk", "_known").withColumn(
+        "_chunk", F.explode(F.sequence("_known", F.coalesce(F.col("_next") - 1, F.col("_known"))))
     )
 
     def entry(first: Column, last: Column, filled: dict[str, Column]) -> Column:
@@ -181,42 +212,16 @@ def _chunk_rows(
             *[filled.get(c, F.lit(None)).cast(types[c]).alias(c) for c in values],
         )
 
-    entries = [entry(F.col("_first"), F.col("_last"), {})]
-    if carry:
-        spine = _with_neighbours(spine, readings, grid, carry)
-        for i, c in enumerate(carry):
-            for side in (F.col(f"_before{i}"), F.col(f"_after{i}")):
-                entries.append(entry(side["_first"], side["_first"], {c: side[c]}))
+    start = F.col("_chunk") * grid.chunk_cells
+    first, last = F.greatest("_lo", start), F.least("_hi", start + (grid.chunk_cells - 1))
+    entries = [entry(first, last, {})]
+    own = F.col("_chunk") == F.col("_known")
+    for i, c in enumerate(carry):
+        earlier = F.when(own, F.col(f"_before{i}")).otherwise(F.col(f"_upto{i}"))
+        for side in (earlier, F.col(f"_after{i}")):
+            entries.append(entry(side["at"], side["at"], {c: side[c]}))
     return (
-        spine.select(series, "_chunk", F.explode(F.array(*entries)).alias("e"))
+        spread.select(series, "_chunk", F.explode(F.array(*entries)).alias("e"))
         .select(series, "_chunk", "e.*")
         .filter(F.col("_first").isNotNull())
     )
-
-
-def _with_neighbours(
-    spine: DataFrame, readings: DataFrame, grid: Grid, carry: Sequence[str]
-) -> DataFrame:
-    """Per chunk and column: the nearest present reading before and after the chunk."""
-    series = grid.series
-    ends = []
-    for i, c in enumerate(carry):
-        present = F.when(F.col(c).isNotNull(), F.struct(F.col("_first"), F.col(c)))
-        ends += [F.min(present).alias(f"_lo{i}"), F.max(present).alias(f"_hi{i}")]
-    summary = readings.groupBy(series, "_chunk").agg(*ends)
-    # one row per series and chunk, so even a century of hours is a few hundred rows
-    earlier = Window.partitionBy(series).orderBy("_chunk").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    later = Window.partitionBy(series).orderBy(F.desc("_chunk")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    joined = spine.join(summary, [series, "_chunk"], "left")
-    return joined.select(
-        series,
-        "_chunk",
-        "_first",
-        "_last",
-        *[F.last(f"_hi{i}", True).over(earlier).alias(f"_before{i}") for i in range(len(carry))],
-        *[F.last(f"_lo{i}", True).over(later).alias(f"_after{i}") for i in range(len(carry))],
-    )

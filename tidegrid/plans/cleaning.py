@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidegrid.grid import Grid
 from tidegrid.operators.encoding import encode, fit_encoding, weather_column
@@ -13,7 +14,7 @@ from tidegrid.operators.naming import drop_columns
 from tidegrid.operators.regrid import (
     nan_to_null,
     numeric_columns,
-    regrid,
+    series_extent,
     snap_regular_offset,
 )
 
@@ -32,16 +33,30 @@ def clean_readings(
     on this table where it has a weather column.
     """
     readings = nan_to_null(drop_columns(raw))
-    if snap:
-        readings = snap_regular_offset(readings, grid)
     weather = weather_column(readings.columns)
     keys = (grid.series, grid.ts, weather)
     numeric = list(columns) if columns else numeric_columns(readings, exclude=keys)
-    if weather and encoding is None:
-        # holes of the grid count as the missing label, hence the regridded column
-        encoding = fit_encoding(regrid(readings.select(grid.series, grid.ts, weather), grid), weather)
+    fit = weather is not None and encoding is None
+    if snap or fit:
+        facts = _grid_facts(readings, grid)
+        if snap:
+            readings = snap_regular_offset(readings, grid, facts["shifted"])
+        if fit:
+            # holes of the grid count as missing labels
+            on_grid = readings.filter(grid.on_grid())
+            encoding = fit_encoding(on_grid, weather, with_missing=facts["with_holes"] > 0)
     filled = interpolate(readings, numeric, grid, limit)
     if weather:
         filled = encode(filled, weather, encoding)
     return fill_seasonal(filled, numeric, grid), encoding
 
+
+def _grid_facts(readings: DataFrame, grid: Grid) -> dict[str, int]:
+    """How many series are shifted off the grid, and how many others have holes."""
+    hole = (F.col("on_grid") < F.col("hi") - F.col("lo") + 1) & ~F.col("shifted")
+    return (
+        series_extent(readings, grid)
+        .agg(F.count_if("shifted").alias("shifted"), F.count_if(hole).alias("with_holes"))
+        .first()
+        .asDict()
+    )

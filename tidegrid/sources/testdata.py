@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _hour() -> Column:
-    return HOURLY.time_of(HOURLY.cell(F.col("ts")))
+    return HOURLY.floor("ts")
 
 
 def readings_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
