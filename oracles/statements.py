@@ -10,8 +10,8 @@ ORACLES: dict[str, str] = {}
 
 
 def r6(expression: str, name: str | None = None) -> str:
-    """Six digits, without a negative zero."""
-    text = f"CASE WHEN round({expression}, 6) = 0 THEN 0.0 ELSE round({expression}, 6) END"
+    """Six digits; see ``tidegrid.catalog.rounded`` for the place of the cut."""
+    text = f"floor(({expression}) * 1e6::DOUBLE + 0.50005::DOUBLE) / 1e6::DOUBLE"
     return f"{text} AS {name}" if name else text
 
 

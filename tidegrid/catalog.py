@@ -43,7 +43,6 @@ QUERIES: dict[str, Query] = {}
 
 HOURLY, DAILY = data.HOURLY, data.DAILY
 DAILY_LIMIT = 3
-DIGITS = 6
 # The day new data begins in `transform_new`.
 NEW_SINCE = "2024-01-24 00:00:00"
 HISTORY_SINCE = "2024-01-23 00:00:00"
@@ -64,10 +63,14 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six digits, so that results compare between engines."""
+    """Doubles to six digits, so that results compare between engines.
+
+    Means of decimals often end in exactly half a unit of the sixth digit, where the
+    last bit decides the direction. The cut is therefore made a little below the half.
+    """
     return df.select(
         *[
-            F.round(f"`{f.name}`", DIGITS).alias(f.name)
+            F.expr(f"floor(`{f.name}` * 1e6D + 0.50005D) / 1e6D").alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f"`{f.name}`")
             for f in df.schema.fields
@@ -347,7 +350,8 @@ def forecast_recursive(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def forecast_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.forecast_metrics(_persistence(spark, sf), by=["series_id"])
+    metrics = scoring.forecast_metrics(_persistence(spark, sf), by=["series_id"], digits=None)
+    return rounded(metrics)
 
 
 @query

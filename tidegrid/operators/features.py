@@ -119,12 +119,20 @@ def feature_table(
     shift: int = 0,
     complete_only: bool = True,
 ) -> DataFrame:
-    """All features of a cleaned, gap-free table; incomplete rows are dropped."""
+    """All features of a cleaned, gap-free table; incomplete rows are dropped.
+
+    A row is complete when its own columns, its lags and its widest mean are there:
+    narrower windows lie inside the widest, and the standard deviation is missing
+    only where the mean is. Testing those few keeps the filter cheap.
+    """
     ts = F.col(grid.ts)
-    table = history_features(df, grid, target, shift=shift).select(
+    history = history_features(df, grid, target, shift=shift)
+    if complete_only:
+        needed = [f"lag_{k}h" for k in LAGS] + [f"rolling_mean_{max(MEAN_WINDOWS)}h"]
+        history = history.dropna("any", subset=[*df.columns, *needed])
+    return history.select(
         "*",
         *calendar_columns(ts),
         *cyclical_columns(ts),
         aqi_tier(F.col(target)).alias("pm2_5_tier"),
     )
-    return table.dropna("any") if complete_only else table
