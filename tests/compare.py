@@ -32,6 +32,25 @@ def duckdb_rows(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:
     return names, cursor.fetchall()
 
 
+# Spark's simple type names as DuckDB calls them.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_difference(df, sf_dir: str, sql: str) -> str | None:
+    _, described = duckdb_rows(sf_dir, f"DESCRIBE {sql}")
+    theirs = {row[0]: row[1] for row in described}
+    ours = {name: TYPES.get(dtype, dtype) for name, dtype in df.dtypes}
+    unequal = {n: (ours.get(n), t) for n, t in theirs.items() if ours.get(n) != t}
+    return f"types {unequal}" if unequal else None
+
+
 def normal(value):
     if isinstance(value, float):
         if math.isnan(value):
@@ -58,7 +77,7 @@ def difference(spark, sf_dir: str, query, sql: str) -> str | None:
     unequal = [(a, b) for a, b in zip(ours, theirs) if a != b]
     if unequal:
         return f"{len(unequal)} rows differ, first {unequal[0][0]} vs {unequal[0][1]}"
-    return None
+    return type_difference(df, sf_dir, sql)
 
 
 def main() -> None:
