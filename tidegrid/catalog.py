@@ -242,7 +242,7 @@ def feature_table_sparse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return time_split(_features_hourly(spark, sf), HOURLY)
+    return time_split(settle(_features_hourly(spark, sf)), HOURLY)
 
 
 @query
@@ -252,7 +252,7 @@ def time_split_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cv_folds_query(spark: SparkSession, sf: str) -> DataFrame:
-    folds = cv_folds(_features_hourly(spark, sf), HOURLY)
+    folds = cv_folds(settle(_features_hourly(spark, sf)), HOURLY)
     return folds.select("series_id", "ts", "fold", "role")
 
 
@@ -434,7 +434,7 @@ RECURSIVE_FEATURES = ["lag_1h", "lag_3h", "lag_24h", "rolling_mean_6h", "hour",
 def forecast_recursive_model(spark: SparkSession, sf: str) -> DataFrame:
     """Forecasts of a boosted model that reads only values before each step."""
     cleaned = settle(_clean_hourly(spark, sf))
-    table = time_split(feature_table(cleaned, HOURLY, shift=1), HOURLY)
+    table = time_split(settle(feature_table(cleaned, HOURLY, shift=1)), HOURLY)
     model = models.train_model(settle(table), "gbt", RECURSIVE_FEATURES, trees=5, depth=4)
     starts = forecasting.origins(cleaned, HOURLY)
     return forecasting.recursive_model(starts, model, HOURLY)

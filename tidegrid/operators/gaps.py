@@ -90,7 +90,12 @@ def fill_seasonal(
     year and cell of the hour, however large the table is.
     """
     ts = F.col(grid.ts)
-    coarse = Window.partitionBy(grid.series, "_month", "_hour")
+    # ordering the coarse pool by day lets its sort serve the finer window too
+    coarse = (
+        Window.partitionBy(grid.series, "_month", "_hour")
+        .orderBy("_day")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
     fine = Window.partitionBy(grid.series, "_month", "_hour", "_day")
     keyed = df.select(
         "*",
@@ -98,12 +103,14 @@ def fill_seasonal(
         F.dayofmonth(ts).alias("_day"),
         F.hour(ts).alias("_hour"),
     ).repartition(grid.series, "_month", "_hour")
-    medians = []
-    for i, c in enumerate(columns):
-        if same_day:
-            medians.append(F.percentile(F.col(c), F.lit(0.5)).over(fine).alias(f"_fine{i}"))
-        if same_month_hour:
-            medians.append(F.percentile(F.col(c), F.lit(0.5)).over(coarse).alias(f"_coarse{i}"))
+    table = keyed
+    for wanted, window, name in ((same_day, fine, "_fine"), (same_month_hour, coarse, "_coarse")):
+        if wanted:
+            medians = [
+                F.percentile(F.col(c), F.lit(0.5)).over(window).alias(f"{name}{i}")
+                for i, c in enumerate(columns)
+            ]
+            table = table.select("*", *medians)
 
     def filled(i: int, c: str) -> Column:
         tiers = [F.col(c)]
@@ -112,6 +119,6 @@ def fill_seasonal(
         return F.coalesce(*tiers).alias(c)
 
     position = {c: i for i, c in enumerate(columns)}
-    return keyed.select("*", *medians).select(
+    return table.select(
         *[filled(position[c], c) if c in position else F.col(c) for c in df.columns]
     )

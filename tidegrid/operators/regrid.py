@@ -177,12 +177,24 @@ def _chunk_rows(
     """
     series = grid.series
     cell, on_grid = grid.cell(), grid.on_grid()
-    ends = []
+    # plain minima and maxima have buffers of fixed width, so the partial aggregate
+    # hashes; of structs it would sort all readings first
+    ends, shaped = [], []
     for i, c in enumerate(carry):
-        present = F.when(on_grid & F.col(c).isNotNull(), F.struct(cell.alias("at"), F.col(c)))
-        ends += [F.min(present).alias(f"_lo{i}"), F.max(present).alias(f"_hi{i}")]
-    summary = timed.groupBy(series, grid.chunk(cell).alias("_chunk")).agg(
-        F.min(cell).alias("_lo"), F.max(cell).alias("_hi"), *ends
+        at = F.when(on_grid & F.col(c).isNotNull(), cell)
+        ends += [
+            F.min(at).alias(f"_lo_at{i}"),
+            F.min_by(F.col(c), at).alias(f"_lo_v{i}"),
+            F.max(at).alias(f"_hi_at{i}"),
+            F.max_by(F.col(c), at).alias(f"_hi_v{i}"),
+        ]
+        for side in ("lo", "hi"):
+            here = F.struct(F.col(f"_{side}_at{i}").alias("at"), F.col(f"_{side}_v{i}").alias("v"))
+            shaped.append(F.when(F.col(f"_{side}_at{i}").isNotNull(), here).alias(f"_{side}{i}"))
+    summary = (
+        timed.groupBy(series, grid.chunk(cell).alias("_chunk"))
+        .agg(F.min(cell).alias("_lo"), F.max(cell).alias("_hi"), *ends)
+        .select(series, "_chunk", "_lo", "_hi", *shaped)
     )
     whole = Window.partitionBy(series)
     ordered = whole.orderBy("_chunk")
@@ -219,7 +231,7 @@ def _chunk_rows(
     for i, c in enumerate(carry):
         earlier = F.when(own, F.col(f"_before{i}")).otherwise(F.col(f"_upto{i}"))
         for side in (earlier, F.col(f"_after{i}")):
-            entries.append(entry(side["at"], side["at"], {c: side[c]}))
+            entries.append(entry(side["at"], side["at"], {c: side["v"]}))
     return (
         spread.select(series, "_chunk", F.explode(F.array(*entries)).alias("e"))
         .select(series, "_chunk", "e.*")

@@ -46,12 +46,14 @@ def prepare_dataset(
 ) -> tuple[DataFrame, Fitted]:
     """Clean, engineer, split and scale; the target in original units stays as ``<target>_raw``.
 
-    The unscaled table is settled once: fitting and everything after read it again.
+    The features are settled before the split, which reads them twice, and the split
+    table after it, since fitting and everything later read it again.
     """
     check_ratios(*ratios)
     target = resolve_target(raw.columns, target)
     cleaned, encoding = clean_readings(raw, grid, limit)
-    split = settle(time_split(feature_table(cleaned, grid, target, shift=shift), grid, ratios))
+    table = settle(feature_table(cleaned, grid, target, shift=shift))
+    split = settle(time_split(table, grid, ratios))
     keys = (grid.series, grid.ts, target, "split", "split_row")
     typed, features = select_features(split, exclude=keys)
     bounds = read_bounds(minmax_fit(typed, [*features, target]))
