@@ -21,6 +21,7 @@ from tidegrid.functions.labels import (
     runtime_label,
     state_label,
 )
+from tidegrid.session import settle
 
 # Fixed values of the run report.
 LEADERBOARD_SIZE = 10
@@ -140,8 +141,8 @@ def runs_leaderboard(
         F.col("created_at").desc_nulls_last(),
         F.col("run_id").asc(),
     ]
-    best = metrics.orderBy(*order).limit(size)
-    # at most `size` rows
+    # at most `size` rows; settled, since they are used twice below
+    best = settle(metrics.orderBy(*order).limit(size))
     theirs = artifacts.join(F.broadcast(best.select("run_id")), "run_id", "left_semi")
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
     return run_artifacts(best.withColumn("rank", rank), theirs).select(
