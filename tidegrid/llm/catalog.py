@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import byte_bpe, url_filters
+from tidegrid.llm import byte_bpe, fm_quality, quality_rules, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op2_fm_quality": fm_quality.op2_fm_quality,
     "op3_url_filters": url_filters.op3_url_filters,
+    "op8_quality_rules": quality_rules.op8_quality_rules,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {
