@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import byte_bpe, fm_quality, poisson_mix, quality_rules, token_store, url_filters
+from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, lm_score, poisson_mix, quality_rules, token_store, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op2_fm_quality": fm_quality.op2_fm_quality,
     "op3_url_filters": url_filters.op3_url_filters,
+    "op4_lm_score": lm_score.op4_lm_score,
     "op5_token_store": token_store.op5_token_store,
+    "op7_block_neighbours": block_neighbours.op7_block_neighbours,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_poisson_mix": poisson_mix.op9_poisson_mix,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
