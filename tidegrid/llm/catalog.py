@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, lm_score, poisson_mix, quality_rules, token_store, url_filters
+from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, lm_score, poisson_mix, quality_rules, token_store, trie_join, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_trie_join": trie_join.op1_trie_join,
     "op2_fm_quality": fm_quality.op2_fm_quality,
     "op3_url_filters": url_filters.op3_url_filters,
     "op4_lm_score": lm_score.op4_lm_score,
