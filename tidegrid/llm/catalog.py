@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, lm_score, poisson_mix, quality_rules, token_store, trie_join, url_filters
+from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, lm_score, poisson_mix, quality_rules, suffix_dedup, token_store, trie_join, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op3_url_filters": url_filters.op3_url_filters,
     "op4_lm_score": lm_score.op4_lm_score,
     "op5_token_store": token_store.op5_token_store,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_block_neighbours": block_neighbours.op7_block_neighbours,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_poisson_mix": poisson_mix.op9_poisson_mix,
