@@ -151,3 +151,21 @@ def neighbours(vectors: DataFrame, is_query, key: str, vector: str, k: int = K)
 
 def op7_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(scan(spark, sf_dir, "embeddings"), lambda name: name % 20 == 0, "vec_id", "embedding")
+
+
+ORACLE = f"""
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_reduce(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i]), lambda a, b: a + b) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= {K}
+"""

@@ -23,6 +23,8 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {
+    "op1_trie_join": trie_join.ORACLE,
     "op3_url_filters": url_filters.ORACLE,
+    "op7_block_neighbours": block_neighbours.ORACLE,
     "op9_poisson_mix": poisson_mix.ORACLE,
 }

@@ -339,3 +339,36 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id",
 
 def op1_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(scan(spark, sf_dir, "documents"), Likeness(3, 90, 100))
+
+
+ORACLE = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id,
+         CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS grams
+  FROM split
+), grams AS (
+  SELECT doc_id, len(grams) AS size, unnest(grams) AS gram FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.size, b.size
+  HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))
+), reached AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reached GROUP BY a
+), degrees AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT s.doc_id, len(grams)::BIGINT AS n_shingles, least(s.doc_id, coalesce(m.b, s.doc_id)) AS component_id,
+       coalesce(d.n, 0)::BIGINT AS n_links
+FROM sets s LEFT JOIN least m ON m.a = s.doc_id LEFT JOIN degrees d ON d.a = s.doc_id
+"""
