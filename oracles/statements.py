@@ -62,7 +62,8 @@ RUNS = (
     """SELECT o_orderkey AS run_id, concat('run-', CAST(o_orderkey AS VARCHAR)) AS name,
        CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'running'
             ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'failed' ELSE 'crashed' END END AS state,
-       o_orderdate AS created_at, o_custkey AS user_id, o_orderpriority AS tag,
+       o_orderdate AS created_at,
+       CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS user_id, o_orderpriority AS tag,
        o_orderkey % 7 <> 0 AS has_metrics,
        CASE WHEN o_orderkey % 10 = 0 THEN NULL
             ELSE CAST(500 + o_orderkey * 37 % 500 AS DOUBLE) / 1000 END AS single_acc,
@@ -73,11 +74,12 @@ FROM orders""",
 )
 ARTIFACTS = (
     "artifacts",
-    """SELECT l_orderkey AS run_id, concat('model-', CAST(l_partkey AS VARCHAR)) AS name,
+    """SELECT CASE WHEN l_orderkey % 3 = 0 THEN l_orderkey + 1 ELSE l_orderkey END AS run_id,
+       concat('model-', CAST(l_partkey AS VARCHAR)) AS name,
        concat('v', CAST(l_linenumber AS VARCHAR)) AS version,
        CASE l_returnflag WHEN 'R' THEN 'model' WHEN 'A' THEN 'processor' ELSE 'run_log' END AS type,
        l_suppkey AS seq
-FROM lineitem WHERE l_orderkey % 3 <> 0""",
+FROM lineitem""",
 )
 REGISTRY = (
     "registry",
@@ -86,7 +88,11 @@ REGISTRY = (
        CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_partkey * 3 END AS run_id,
        CASE WHEN p_size % 5 = 0 THEN 'production,latest' WHEN p_size % 5 = 1 THEN 'Staging'
             WHEN p_size % 5 = 2 THEN 'staging-latest' WHEN p_size % 5 = 3 THEN 'latest'
-            ELSE '' END AS aliases_csv
+            ELSE '' END AS aliases_csv,
+       CASE WHEN p_partkey % 11 = 0 THEN '' WHEN p_partkey % 13 = 0 THEN 'last spring'
+            ELSE concat('2024-', lpad(CAST(p_partkey % 12 + 1 AS VARCHAR), 2, '0'), '-15',
+                 CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'T08:30:00' END) END AS created_at,
+       CASE WHEN p_partkey % 4 <> 0 THEN concat('about ', p_name) END AS description
 FROM part""",
 )
 PROMOTIONS = (
@@ -315,6 +321,7 @@ FROM cut""",
 ]
 SPLIT_HOURLY = [*FEATURES_HOURLY, *SPLIT]
 SCALED_NAMES = ["aux", "weather_code", *FEATURE_NAMES]
+MONITORED = ["target", *SCALED_NAMES]
 
 
 def limits(names: list[str]) -> tuple[str, str]:
@@ -450,11 +457,10 @@ ORACLES["minmax_fit"] = with_ctes(
         for c in SCALED_NAMES
     ),
 )
-SCALE_THREE = ["aux", "lag_1h", "rolling_std_6h"]
 ORACLES["minmax_scale"] = with_ctes(
-    [*SPLIT_HOURLY, limits(SCALE_THREE)],
+    [*SPLIT_HOURLY, limits(SCALED_NAMES)],
     f"""SELECT series_id, ts, {r6('target', 'target')}, split, split_row,
-{", ".join(r6(scaled(c), c) for c in SCALE_THREE)}
+{", ".join(r6(scaled(c), c) for c in SCALED_NAMES)}
 FROM split JOIN limits ON TRUE""",
 )
 ORACLES["minmax_inverse"] = with_ctes(
@@ -513,16 +519,18 @@ ORACLES["sequence_windows"] = with_ctes(
         *SPLIT_HOURLY,
         (
             "windows",
-            """SELECT series_id, ts, split, target, split_row,
+            f"""SELECT series_id, ts, split, target, split_row,
        count(*) OVER w AS length, first_value(target) OVER w AS first_target,
-       last_value(aux) OVER w AS last_aux, sum(target) OVER w + sum(aux) OVER w AS total
+       last_value(aux) OVER w AS last_aux,
+       {" + ".join(f"sum({c}) OVER w" for c in MONITORED)} AS total
 FROM split
 WINDOW w AS (PARTITION BY series_id, split ORDER BY split_row
              ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)""",
         ),
     ],
     f"""SELECT series_id, ts, split, {r6('target', 'target')}, CAST(length AS INTEGER) AS length,
-       {r6('first_target', 'first_target')}, {r6('last_aux', 'last_aux')}, {r6('total', 'total')}
+       {r6('first_target', 'first_target')}, {r6('last_aux', 'last_aux')}, {r6('total', 'total')},
+       CAST({len(MONITORED)} AS INTEGER) AS width
 FROM windows WHERE split_row > 24""",
 )
 
@@ -644,8 +652,6 @@ ORACLES["forecast_recursive"] = _recursive()
 
 # --- queries: monitoring ----------------------------------------------------------------------------------------
 
-MONITORED = ["target", "aux", "lag_1h", "rolling_mean_24h", "rolling_std_24h", "hour", "pm2_5_tier"]
-
 
 def drift_ctes() -> list[tuple[str, str]]:
     parts = "\nUNION ALL\n".join(
@@ -745,8 +751,9 @@ FROM both_sets b JOIN fences f ON f.split = b.split GROUP BY f.split, q1, median
 )
 ORACLES["quality_summary"] = with_ctes(
     SPLIT_HOURLY,
-    f"""SELECT split, count(*) AS total_rows, CAST({len(MONITORED)} AS INTEGER) AS total_columns
-FROM split GROUP BY split""",
+    """SELECT split, count(*) AS total_rows,
+       CAST(max(len(json_keys(to_json(s)))) - 1 AS INTEGER) AS total_columns
+FROM split s GROUP BY split""",
 )
 PARSED = [
     READINGS_RAW,
@@ -892,14 +899,15 @@ ORACLES["problem_runs"] = with_ctes(
             """SELECT * FROM runs WHERE has_metrics AND state IN ('failed', 'crashed', 'killed')""",
         ),
     ],
-    """SELECT run_id, name, state, user_id, strftime(created_at, '%Y-%m-%d %H:%M') AS created,
+    """SELECT run_id, name, state, coalesce(user_id, 'Unknown') AS user_id, strftime(created_at, '%Y-%m-%d %H:%M') AS created,
        greatest((SELECT count(*) FROM problems) - 5, 0) AS more_runs
 FROM problems ORDER BY run_id LIMIT 5""",
 )
 ORACLES["unregistered_top_runs"] = with_ctes(
     COUNTED,
     f"""SELECT run_id, name, {r6('single_acc', 'single_step_accuracy')},
-       {r6('multi_acc', 'multi_step_accuracy')}, user_id
+       {r6('multi_acc', 'multi_step_accuracy')}, coalesce(user_id, 'Unknown') AS user_id,
+       count(*) OVER () AS total_runs
 FROM counted WHERE model_artifacts = 0 AND single_acc > 0.8
 ORDER BY single_acc DESC, run_id LIMIT 5""",
 )
@@ -951,12 +959,14 @@ MODELS = [
     RUNS,
     (
         "models",
-        f"""SELECT v.version_id, v.name, v.version, v.run_id, v.aliases_csv,
+        f"""SELECT v.version_id, v.name, v.version, v.run_id, v.aliases_csv, v.created_at, v.description,
        r.name AS run_name, r.state AS run_state, r.created_at AS run_created_at,
        {metrics_of('r.')}
 FROM registry v LEFT JOIN runs r ON r.run_id = v.run_id""",
     ),
 ]
+CREATED = """CASE WHEN created_at = '' THEN 'Unknown'
+     ELSE coalesce(strftime(TRY_CAST(created_at AS TIMESTAMP), '%Y-%m-%d'), created_at) END AS created"""
 ORACLES["registry_models"] = with_ctes(MODELS, "SELECT * EXCLUDE (aliases_csv) FROM models")
 ALIAS_STATUS = """CASE aliases_csv WHEN 'production,latest' THEN 'production, latest'
      WHEN 'Staging' THEN 'staging' WHEN 'staging-latest' THEN 'staging'
@@ -975,14 +985,16 @@ ORACLES["registry_leaderboard"] = with_ctes(
     MODELS,
     f"""SELECT CAST(row_number() OVER (ORDER BY coalesce(single_step_accuracy, 0) DESC, version_id)
        AS INTEGER) AS rank, coalesce(run_name, 'Unknown') AS model_name, version,
-       single_step_accuracy, multi_step_accuracy, {ALIAS_STATUS}
+       single_step_accuracy, multi_step_accuracy, {CREATED}, {ALIAS_STATUS}
 FROM models ORDER BY rank LIMIT 10""",
 )
 ORACLES["registry_by_stage"] = with_ctes(
     MODELS,
     "\nUNION ALL\n".join(
-        f"""SELECT '{stage}' AS stage, coalesce(run_name, 'Unknown') AS model_name, version,
-       single_step_accuracy, multi_step_accuracy FROM models
+        f"""SELECT '{stage}' AS stage, CAST(row_number() OVER (ORDER BY
+       coalesce(single_step_accuracy, 0) DESC, version_id) AS INTEGER) AS rank,
+       coalesce(run_name, 'Unknown') AS model_name, version,
+       single_step_accuracy, multi_step_accuracy, {CREATED} FROM models
 WHERE list_contains(string_split(lower(aliases_csv), ','), '{stage}')"""
         for stage in ("production", "staging")
     ),
@@ -1004,3 +1016,173 @@ ORACLES["rejected_promotions"] = with_ctes(
 FROM promotions p LEFT JOIN registry v ON v.name = p.name AND v.version = p.version
 WHERE p.target IS NULL OR v.version_id IS NULL""",
 )
+
+# --- queries: models ----------------------------------------------------------------------------------------------------
+
+ORACLES["dotted_names"] = ORACLES["prepare_dataset"]
+ORACLES["train_linear"] = with_ctes(
+    [
+        *SPLIT_HOURLY,
+        (
+            "sums",
+            """SELECT avg(target) AS y, avg(lag_1h) AS a, avg(aux) AS b,
+       covar_pop(lag_1h, target) AS ay, covar_pop(aux, target) AS "by", covar_pop(lag_1h, aux) AS ab,
+       var_pop(lag_1h) AS aa, var_pop(aux) AS bb FROM split WHERE split = 'train'""",
+        ),
+        (
+            "slopes",
+            """SELECT *, (ay * bb - "by" * ab) / (aa * bb - ab * ab) AS wa,
+       ("by" * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM sums""",
+        ),
+    ],
+    """SELECT 'intercept' AS term, round(y - wa * a - wb * b, 4) AS weight FROM slopes
+UNION ALL SELECT 'lag_1h', round(wa, 4) FROM slopes
+UNION ALL SELECT 'aux', round(wb, 4) FROM slopes""",
+)
+for _name in ("train_random_forest", "train_gbt"):
+    ORACLES[_name] = with_ctes(
+        SPLIT_HOURLY,
+        """SELECT series_id, count(*) AS n_rows, TRUE AS all_predicted, TRUE AS beats_train_mean
+FROM split WHERE split = 'test' GROUP BY series_id""",
+    )
+ORACLES["train_sequence_model"] = with_ctes(
+    SPLIT_HOURLY,
+    """SELECT series_id, count(*) AS n_rows, TRUE AS all_predicted
+FROM split WHERE split = 'test' AND split_row > 24 GROUP BY series_id""",
+)
+ORACLES["forecast_single_step"] = with_ctes(
+    SPLIT_HOURLY,
+    f"""SELECT series_id, ts, {r6('target', 'actual')}, TRUE AS predicted_present,
+       TRUE AS within_train_range FROM split WHERE split = 'test'""",
+)
+ORACLES["forecast_recursive_model"] = with_ctes(
+    [
+        *CLEAN_HOURLY,
+        (
+            "starts",
+            """SELECT series_id, ts AS origin, count(target) OVER w AS n FROM clean
+WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)""",
+        ),
+        ("steps", "SELECT CAST(unnest(range(1, 25)) AS INTEGER) AS step"),
+    ],
+    """SELECT series_id, origin, step, origin + to_hours(step) AS ts, TRUE AS predicted_present
+FROM starts JOIN steps ON n = 24""",
+)
+ORACLES["feature_importance"] = (
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in SCALED_NAMES) + "]) AS feature, "
+    "TRUE AS not_negative, TRUE AS shares_sum_to_one"
+)
+ORACLES["transform_new_text"] = ORACLES["transform_new"].replace(
+    f"SELECT series_id, ts, {', '.join(r6(scaled(c), c) for c in SCALED_NAMES)}\nFROM new_features",
+    f"""SELECT series_id, ts, CASE WHEN hour(ts) <> 5 THEN {r6("(hour(ts) % 3) / 2.0::DOUBLE")} END AS mood
+FROM (SELECT * FROM new_features WHERE (series_id, ts) IN (SELECT (series_id, ts) FROM recent))""",
+)
+
+
+def _monitoring_report() -> str:
+    """Every part of the report in one table."""
+    parts = []
+
+    def melt(section: str, dataset: str, item: str, measures: list[str], source: str) -> None:
+        for m in measures:
+            parts.append(
+                f"""SELECT '{section}' AS section, CAST({dataset} AS VARCHAR) AS dataset,
+       CAST({item} AS VARCHAR) AS item, '{m}' AS measure, {r6(f'CAST({m} AS DOUBLE)', 'value')}
+FROM {source}"""
+            )
+
+    names = "[" + ", ".join(f"'{c}'" for c in MONITORED) + "]"
+
+    def listed(expression: str) -> str:
+        return "[" + ", ".join(expression.format(c=c) for c in MONITORED) + "]"
+
+    def per_column(expression: str) -> str:
+        return f"unnest({listed(expression)})"
+
+    ctes = [
+        *drift_ctes(),
+        ("both_sets", "SELECT * FROM split WHERE split <> 'val'"),
+        (
+            "summary",
+            "SELECT count(*) FILTER (WHERE drift_detected) AS drifted_columns, count(*) AS checked_columns FROM drift",
+        ),
+        (
+            "stats",
+            """SELECT split, avg(target) AS mean, stddev_samp(target) AS std, min(target) AS min,
+       max(target) AS max FROM both_sets GROUP BY split""",
+        ),
+        (
+            "shift",
+            """SELECT *, shift_pct > 15 AS alert FROM (
+  SELECT abs((b - a) / a * 100) AS shift_pct FROM (
+    SELECT avg(target) FILTER (WHERE split = 'train') AS a,
+           avg(target) FILTER (WHERE split = 'test') AS b FROM split))""",
+        ),
+        (
+            "sizes",
+            f"SELECT split, count(*) AS total_rows, {len(MONITORED)} AS total_columns FROM both_sets GROUP BY split",
+        ),
+        (
+            "types",
+            f"""SELECT CASE t WHEN 'INTEGER' THEN 'int' ELSE lower(t) END AS dtype, count(*) AS columns
+FROM (SELECT {per_column("typeof({c})")} AS t FROM (SELECT * FROM split LIMIT 1)) GROUP BY ALL""",
+        ),
+        (
+            "missing",
+            f"""SELECT split, unnest({names}) AS name, unnest(gone) AS missing_count, unnest(pct) AS missing_pct
+FROM (SELECT split, {listed("count(*) - count({c})")} AS gone,
+       {listed("round((count(*) - count({c})) / count(*) * 100, 2)")} AS pct
+  FROM both_sets GROUP BY split)""",
+        ),
+        (
+            "copies",
+            f"""SELECT split, sum(n - 1) AS duplicate_rows FROM (
+  SELECT split, count(*) AS n FROM both_sets GROUP BY split, {', '.join(MONITORED)}) GROUP BY split""",
+        ),
+        (
+            "values",
+            f"SELECT split, unnest({names}) AS name, {per_column('CAST({c} AS DOUBLE)')} AS v FROM both_sets",
+        ),
+        (
+            "quartiles",
+            """SELECT split, name, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+       quantile_cont(v, 0.75) AS q3 FROM "values" GROUP BY split, name""",
+        ),
+        (
+            "boxes",
+            """SELECT q.split, q.name, q1, median, q3,
+       least(min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)), q1) AS whisker_low,
+       greatest(max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)), q3) AS whisker_high,
+       count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM quartiles q JOIN "values" v ON v.split = q.split AND v.name = q.name
+GROUP BY q.split, q.name, q1, median, q3""",
+        ),
+        *histogram_sql("both_sets", "target", "split"),
+        (
+            "pairs",
+            "SELECT unnest(["
+            + ", ".join(f"'{a} ~ {b}'" for a in MONITORED for b in MONITORED)
+            + "]) AS item, unnest(cs) AS c FROM (SELECT ["
+            + ", ".join(f"corr({a}, {b})" for a in MONITORED for b in MONITORED)
+            + "] AS cs FROM split WHERE split = 'train')",
+        ),
+        ("correlations", "SELECT item, CASE WHEN isnan(c) THEN NULL ELSE c END AS correlation FROM pairs"),
+    ]
+    melt("drift", "NULL", '"column"', ["mean_change_pct", "std_change_pct", "drift_detected"], "drift")
+    melt("drift_summary", "NULL", "NULL", ["drifted_columns", "checked_columns"], "summary")
+    melt("target_stats", "split", "NULL", ["mean", "std", "min", "max"], "stats")
+    melt("target_shift", "NULL", "NULL", ["shift_pct", "alert"], "shift")
+    melt("quality", "split", "NULL", ["total_rows", "total_columns"], "sizes")
+    melt("dtypes", "NULL", "dtype", ["columns"], "types")
+    melt("missing", "split", "name", ["missing_count", "missing_pct"], "missing")
+    melt("duplicates", "split", "NULL", ["duplicate_rows"], "copies")
+    melt("outliers", "split", "name", ["q1", "q3", "outliers"], "boxes")
+    melt("histogram", "split", "bin", ["n", "density"], "histogram")
+    box = ["q1", "median", "q3", "whisker_low", "whisker_high", "outliers"]
+    melt("boxplot", "split", "NULL", box, "boxes WHERE name = 'target'")
+    melt("correlation", "'train'", "item", ["correlation"], "correlations")
+    ctes = [(f'"{n}"' if n == "values" else n, q) for n, q in ctes]
+    return with_ctes(ctes, "\nUNION ALL\n".join(parts))
+
+
+ORACLES["monitoring_report"] = _monitoring_report()

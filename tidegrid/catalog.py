@@ -20,8 +20,8 @@ from tidegrid.operators.features import (
     history_features,
 )
 from tidegrid.operators.gaps import fill_seasonal, interpolate
-from tidegrid.operators.naming import drop_columns, normalize_columns
-from tidegrid.operators.regrid import duplicate_timestamps, parse_time, regrid
+from tidegrid.operators.naming import drop_columns, normalize_columns, resolve_target
+from tidegrid.operators.regrid import duplicate_timestamps, numeric_columns, parse_time, regrid
 from tidegrid.operators.scaling import (
     minmax_fit,
     minmax_inverse,
@@ -281,8 +281,8 @@ def minmax_fit_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def minmax_scale_query(spark: SparkSession, sf: str) -> DataFrame:
-    split = settle(_split(spark, sf).select(*KEYS, "aux", "lag_1h", "rolling_std_6h"))
-    bounds = read_bounds(minmax_fit(split, ["aux", "lag_1h", "rolling_std_6h"]))
+    split = settle(_split(spark, sf))
+    bounds = read_bounds(minmax_fit(split, [c for c in split.columns if c not in KEYS]))
     return rounded(minmax_scale(split, bounds))
 
 
@@ -302,6 +302,29 @@ def transform_new_query(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(transform_new(recent, fitted, HOURLY, since=NEW_SINCE))
 
 
+@query
+def transform_new_text(spark: SparkSession, sf: str) -> DataFrame:
+    """A text feature: numbers as text in training, new data with an unreadable one.
+
+    Grid cells without a reading have no text, so their rows are incomplete.
+    """
+    readings = data.readings_hourly(spark, sf)
+    mood = (F.hour("ts") % 3).cast("string")
+    _, fitted = prepare_dataset(readings.withColumn("mood", mood), HOURLY)
+    recent = readings.filter(F.col("ts") >= F.lit(HISTORY_SINCE).cast("timestamp_ntz"))
+    recent = recent.withColumn("mood", F.when(F.hour("ts") == 5, "x").otherwise(mood))
+    out = transform_new(recent, fitted, HOURLY, since=NEW_SINCE)
+    return rounded(out.select("series_id", "ts", "mood"))
+
+
+@query
+def dotted_names(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole way to a dataset with a dot in a column's name."""
+    readings = data.readings_hourly(spark, sf).withColumnRenamed("aux", "pm2.5")
+    dataset = prepare_dataset(readings, HOURLY)[0]
+    return rounded(dataset.withColumnRenamed("pm2.5", "aux"))
+
+
 @query
 def prepare_dataset_query(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(prepare_dataset(data.readings_hourly(spark, sf), HOURLY)[0])
@@ -309,7 +332,9 @@ def prepare_dataset_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sequence_windows_query(spark: SparkSession, sf: str) -> DataFrame:
-    windows = sequence_windows(_split(spark, sf), ["target", "aux"], HOURLY)
+    split = _split(spark, sf)
+    columns = numeric_columns(split, exclude=("split_row",))
+    windows = sequence_windows(split, columns, HOURLY)
     flat = F.flatten("window")
     return rounded(
         windows.select(
@@ -318,8 +343,9 @@ def sequence_windows_query(spark: SparkSession, sf: str) -> DataFrame:
             "split",
             "target",
             F.size("window").alias("length"),
-            F.element_at(F.element_at("window", 1), 1).alias("first_target"),
-            F.element_at(F.element_at("window", -1), 2).alias("last_aux"),
+            F.element_at(F.element_at("window", 1), columns.index("target") + 1).alias("first_target"),
+            F.element_at(F.element_at("window", -1), columns.index("aux") + 1).alias("last_aux"),
+            F.size(F.element_at("window", 1)).alias("width"),
             F.aggregate(flat, F.lit(0.0), lambda a, v: a + v).alias("total"),
         )
     )
@@ -380,91 +406,131 @@ def error_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(scoring.histogram(errors, "error"))
 
 
-# --- models: no SQL counterpart ---------------------------------------------------------------
+# --- models -----------------------------------------------------------------------------------
 
+LINEAR_FEATURES = ["lag_1h", "aux"]
 
-@query
-def train_random_forest(spark: SparkSession, sf: str) -> DataFrame:
+
+def _dataset(spark: SparkSession, sf: str):
     dataset, fitted = prepare_dataset(data.readings_hourly(spark, sf), HOURLY)
-    dataset = settle(dataset)
-    model = models.train_model(dataset, "random_forest", fitted.features)
-    return _scored(model, dataset)
+    return settle(dataset), fitted
+
+
+def _judged(forecast: DataFrame, train: DataFrame) -> DataFrame:
+    """Per series: test rows, whether all have a forecast, whether all series together
+    are forecast better than by the mean of the train rows."""
+    mean = train.filter(F.col("split") == "train").agg(F.avg("target").alias("_mean"))
+    wrong, wrong_mean = F.col("predicted") - F.col("target"), F.col("_mean") - F.col("target")
+    series = (
+        forecast.join(F.broadcast(mean))
+        .groupBy("series_id")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            (F.count("predicted") == F.count(F.lit(1))).alias("all_predicted"),
+            F.sum(wrong * wrong).alias("_model"),
+            F.sum(wrong_mean * wrong_mean).alias("_mean"),
+        )
+    )
+    better = series.agg((F.sum("_model") < F.sum("_mean")).alias("beats_train_mean"))
+    return series.drop("_model", "_mean").join(F.broadcast(better))
+
+
+@query
+def train_linear(spark: SparkSession, sf: str) -> DataFrame:
+    """Coefficients of a linear model on two features; the target has its usual name."""
+    table = _split(spark, sf).withColumnRenamed("target", "pm2_5_(μg/m³)")
+    target = resolve_target(table.columns, "pm2_5 (μg/m³)")
+    model = models.train_model(settle(table), "Linear", LINEAR_FEATURES, label=target)
+    fitted = model.stages[-1]
+    terms = [("intercept", float(fitted.intercept))]
+    terms += [(c, float(w)) for c, w in zip(LINEAR_FEATURES, fitted.coefficients)]
+    rows = spark.createDataFrame(terms, "term string, weight double")
+    return rows.select("term", F.round("weight", 4).alias("weight"))
 
 
-def _scored(model, rows: DataFrame) -> DataFrame:
-    forecast = forecasting.forecast_single_step(model, rows)
-    return scoring.forecast_metrics(forecast, "target", "predicted", by=["series_id"])
+@query
+def train_random_forest(spark: SparkSession, sf: str) -> DataFrame:
+    dataset, fitted = _dataset(spark, sf)
+    model = models.train_model(dataset, "random_forest", fitted.features)
+    return _judged(forecasting.forecast_single_step(model, dataset), dataset)
 
 
 @query
 def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    dataset, fitted = prepare_dataset(data.readings_hourly(spark, sf), HOURLY)
-    dataset = settle(dataset)
-    model = models.train_model(dataset, "xgboost", fitted.features, trees=10, depth=5)
-    return _scored(model, dataset)
+    dataset, fitted = _dataset(spark, sf)
+    model = models.train_model(dataset, "xgboost", fitted.features)
+    return _judged(forecasting.forecast_single_step(model, dataset), dataset)
 
 
 @query
 def train_sequence_model(spark: SparkSession, sf: str) -> DataFrame:
-    dataset, _ = prepare_dataset(data.readings_hourly(spark, sf), HOURLY)
-    columns = ["target", "aux", "sin_hour", "cos_hour"]
-    samples = settle(models.sequence_samples(dataset, columns, HOURLY))
-    model = models.train_sequence_model(samples, trees=10, depth=4)
-    return _scored(model, samples)
+    """Boosted trees on the windows of all features; the windows are not stored."""
+    dataset, fitted = _dataset(spark, sf)
+    samples = models.sequence_samples(dataset, ["target", *fitted.features], HOURLY)
+    model = models.train_sequence_model(samples)
+    forecast = forecasting.forecast_single_step(model, samples)
+    return _judged(forecast, dataset).drop("beats_train_mean")
 
 
 @query
 def forecast_single_step(spark: SparkSession, sf: str) -> DataFrame:
-    dataset, fitted = prepare_dataset(data.readings_hourly(spark, sf), HOURLY)
-    dataset = settle(dataset)
-    model = models.train_model(dataset, "random_forest", fitted.features, trees=20, depth=8)
+    """Forecasts of a forest, which never leave the range of the train rows."""
+    dataset, fitted = _dataset(spark, sf)
+    model = models.train_model(dataset, "random_forest", fitted.features)
     forecast = forecasting.forecast_single_step(model, dataset)
-    return forecast.select(
-        "series_id",
-        "ts",
-        fitted.original_units(F.col("target")).alias("actual"),
-        fitted.original_units(F.col("predicted")).alias("predicted"),
+    low, high = fitted.bounds[fitted.target]
+    predicted = fitted.original_units(F.col("predicted"))
+    return rounded(
+        forecast.select(
+            "series_id",
+            "ts",
+            fitted.original_units(F.col("target")).alias("actual"),
+            predicted.isNotNull().alias("predicted_present"),
+            predicted.between(low - 1e-9, high + 1e-9).alias("within_train_range"),
+        )
     )
 
 
-RECURSIVE_FEATURES = ["lag_1h", "lag_3h", "lag_24h", "rolling_mean_6h", "hour", "day_of_week"]
-
-
 @query
 def forecast_recursive_model(spark: SparkSession, sf: str) -> DataFrame:
     """Forecasts of a boosted model that reads only values before each step."""
     cleaned = settle(_clean_hourly(spark, sf))
-    table = time_split(settle(feature_table(cleaned, HOURLY, shift=1)), HOURLY)
-    model = models.train_model(settle(table), "gbt", RECURSIVE_FEATURES, trees=5, depth=4)
-    starts = forecasting.origins(cleaned, HOURLY)
-    return forecasting.recursive_model(starts, model, HOURLY)
+    table = settle(time_split(settle(feature_table(cleaned, HOURLY, shift=1)), HOURLY))
+    # what the steps can be given: every feature but the tier and other measurements
+    model = models.train_model(table, "gbt", forecasting.step_feature_names())
+    forecast = forecasting.recursive_model(forecasting.origins(cleaned, HOURLY), model, HOURLY)
+    return forecast.select(
+        "series_id", "origin", "step", "ts", F.col("predicted").isNotNull().alias("predicted_present")
+    )
 
 
 @query
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    dataset, fitted = prepare_dataset(data.readings_hourly(spark, sf), HOURLY)
-    dataset = settle(dataset)
-    model = models.train_model(dataset, "random_forest", fitted.features, trees=20, depth=6)
-    return models.feature_importance(model, dataset, fitted.features)
+    """The features, and whether their shares of the gain are shares."""
+    dataset, fitted = _dataset(spark, sf)
+    model = models.train_model(dataset, "random_forest", fitted.features)
+    shares = models.feature_importance(model, dataset, fitted.features)
+    total = shares.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("shares_sum_to_one"))
+    return shares.select("feature", (F.col("importance") >= 0).alias("not_negative")).join(F.broadcast(total))
 
 
 # --- monitoring -------------------------------------------------------------------------------
 
-MONITORED = ["target", "aux", "lag_1h", "rolling_mean_24h", "rolling_std_24h", "hour", "pm2_5_tier"]
-
 
-def _monitored(spark: SparkSession, sf: str) -> DataFrame:
-    return settle(_split(spark, sf).select("series_id", "ts", "split", *MONITORED))
+def _monitored(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """The split table and all its numeric columns."""
+    df = settle(_split(spark, sf))
+    return df, numeric_columns(df, exclude=("split_row",))
 
 
 @query
 def drift_report(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(drift.drift_report(_split(spark, sf), MONITORED))
+    return rounded(drift.drift_report(*_monitored(spark, sf)))
 
 
 @query
 def drift_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.drift_summary(drift.drift_report(_split(spark, sf), MONITORED))
+    return drift.drift_summary(drift.drift_report(*_monitored(spark, sf)))
 
 
 @query
@@ -479,17 +545,17 @@ def target_shift(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def target_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(drift.target_histogram(_monitored(spark, sf), "target"))
+    return rounded(drift.target_histogram(_monitored(spark, sf)[0], "target"))
 
 
 @query
 def target_boxplot(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(drift.target_boxplot(_monitored(spark, sf), "target"))
+    return rounded(drift.target_boxplot(_monitored(spark, sf)[0], "target"))
 
 
 @query
 def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.quality_summary(_split(spark, sf), "split", MONITORED)
+    return quality.quality_summary(_split(spark, sf), "split")
 
 
 @query
@@ -531,9 +597,9 @@ def correlation_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def monitoring_report_query(spark: SparkSession, sf: str) -> DataFrame:
-    df = _monitored(spark, sf)
-    features = [c for c in MONITORED if c != "target"]
-    return report_long(monitoring_report(df, features, "target"))
+    df, columns = _monitored(spark, sf)
+    features = [c for c in columns if c != "target"]
+    return rounded(report_long(monitoring_report(df, features, "target")))
 
 
 # --- runs and registry ----------------------------------------------------------------------------
@@ -639,9 +705,7 @@ def registry_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def registry_by_stage(spark: SparkSession, sf: str) -> DataFrame:
-    versions, runs = data.registry(spark, sf), data.runs(spark, sf)
-    production = registry.registry_by_stage(versions, runs, "production")
-    return rounded(production.unionByName(registry.registry_by_stage(versions, runs, "staging")))
+    return rounded(registry.registry_by_stage(data.registry(spark, sf), data.runs(spark, sf)))
 
 
 @query

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# An aggregate keeps at most this many values of a column in one place.
+# An aggregate keeps at most this many values of all its columns in one place.
 EXACT_LIMIT = 1_000_000
 SKETCH_ACCURACY = 10_000
 
@@ -48,16 +48,17 @@ def exact_quantiles(
     """Quantiles with linear interpolation; ``measures`` maps names to expressions.
 
     Spark's exact percentile gathers the distinct values of a column in one task.
-    Columns of more than ``limit`` values are narrowed first, see :func:`_select`;
-    the result is exact either way. Only a few numbers per measure and quantile
+    The measures share ``limit`` values: those of more than their share are narrowed
+    first, see :func:`_select`; the result is exact either way. Only a few numbers per measure and quantile
     reach the driver. The frame is read more than once, so pass a settled one if
     it is costly.
     """
     names = list(measures)
     table = df.select(*[measures[m].cast("double").alias(f"m{i}") for i, m in enumerate(names)])
     sizes = table.agg(*[F.count(c).alias(c) for c in table.columns]).first()
-    short = [i for i in range(len(names)) if sizes[i] <= limit]
-    long = [i for i in range(len(names)) if sizes[i] > limit]
+    share = limit // max(1, len(names))
+    short = [i for i in range(len(names)) if sizes[i] <= share]
+    long = [i for i in range(len(names)) if sizes[i] > share]
     found: dict[str, list[float | None]] = {}
     if short:
         row = table.agg(
@@ -92,7 +93,8 @@ def _select(table: DataFrame, ranks: list[_Rank], limit: int, accuracy: int) ->
     about one part in ``accuracy / 4``, so two or three rounds do for any table,
     and what is left is small enough for the exact aggregate.
     """
-    while wide := [r for r in ranks if r.value is None and r.inside > limit]:
+    share = max(1, limit // max(1, len(ranks)))
+    while wide := [r for r in ranks if r.value is None and r.inside > share]:
         _narrow(table, wide, accuracy)
     rest = [r for r in ranks if r.value is None]
     if rest:

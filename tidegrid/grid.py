@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 DAY_SECONDS = 86_400
 
 
+def named(column: str) -> Column:
+    """The column of exactly that name, dots and spaces included."""
+    return F.col(f"`{column}`")
+
+
 @dataclass(frozen=True)
 class Grid:
     """Names of the key columns, the step of the grid and the chunk length.

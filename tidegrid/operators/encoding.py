@@ -6,12 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidegrid.grid import named
+
 # Up to this many categories are ranked on the driver and broadcast. More are
 # ranked in ranges by the cluster and joined as Spark sees fit.
 MAX_SMALL_ENCODING = 10_000
 RANGE_SPLITS = 1_000
 MISSING_LABEL = "nan"
 UNSEEN_CODE = -1
+# Keys the holes of a grid are spread over in the join.
+HOLE_SPREAD = 1_000
 
 
 def weather_column(columns: list[str]) -> str | None:
@@ -70,6 +74,14 @@ def encode(
 ) -> DataFrame:
     """Replace the column by its code; labels the encoding does not know become -1."""
     table = encoding.select(F.col("label").alias("_label"), F.col("code").alias("_code"))
-    joined = df.withColumn("_label", _label(column)).join(table, "_label", "left")
+    # all holes of a sparse grid carry the missing label: its code comes from one row, and
+    # for the join each hole gets one of many keys that match nothing
+    missing = encoding.filter(F.col("label") == MISSING_LABEL).agg(F.max("code").alias("_missing"))
+    label = _label(column)
+    hole = label == MISSING_LABEL
+    nothing = F.concat(F.lit("\u0000"), F.pmod(F.hash(*map(named, df.columns)), F.lit(HOLE_SPREAD)).cast("string"))
+    keyed = df.withColumn("_hole", hole).withColumn("_label", F.when(hole, nothing).otherwise(label))
+    joined = keyed.join(table, "_label", "left").join(F.broadcast(missing))
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (column, output)]
-    return joined.select(*kept, F.coalesce("_code", F.lit(UNSEEN_CODE)).alias(output))
+    code = F.when(F.col("_hole"), F.col("_missing")).otherwise(F.col("_code"))
+    return joined.select(*kept, F.coalesce(code, F.lit(UNSEEN_CODE)).alias(output))

@@ -156,31 +156,45 @@ def runs_leaderboard(
     )
 
 
+def user_label() -> Column:
+    return F.coalesce(F.col("user_id").cast("string"), F.lit("Unknown"))
+
+
 def problem_runs(runs: DataFrame, limit: int = PROBLEM_LIMIT) -> DataFrame:
     """The first runs, by id, that did not end well, and how many more there are."""
     problems = runs.filter(F.col("state").isin(*PROBLEM_STATES))
-    more = max(problems.count() - limit, 0)
-    return problems.orderBy("run_id").limit(limit).select(
+    total = problems.agg(F.count(F.lit(1)).alias("_total"))
+    # the first rows are few, the total is one row
+    return problems.orderBy("run_id").limit(limit).join(F.broadcast(total)).select(
         "run_id",
         "name",
         "state",
-        "user_id",
+        user_label().alias("user_id"),
         date_label(F.col("created_at")).alias("created"),
-        F.lit(more).cast("bigint").alias("more_runs"),
+        F.greatest(F.col("_total") - limit, F.lit(0)).cast("bigint").alias("more_runs"),
     )
 
 
 def unregistered_top_runs(
     metrics: DataFrame, artifacts: DataFrame, size: int = UNREGISTERED_LIMIT
 ) -> DataFrame:
-    """Best runs above the accuracy threshold that have no model."""
+    """Best runs above the accuracy threshold that have no model, and how many there are."""
     registered = artifacts.filter(F.col("type") == "model").select("run_id").distinct()
+    high = metrics.filter(F.col("single_step_accuracy") > HIGH_ACCURACY)
+    bare = high.join(registered, "run_id", "left_anti")
+    total = bare.agg(F.count(F.lit(1)).alias("total_runs"))
     return (
-        metrics.filter(F.col("single_step_accuracy") > HIGH_ACCURACY)
-        .join(registered, "run_id", "left_anti")
-        .orderBy(F.desc("single_step_accuracy"), "run_id")
+        bare.orderBy(F.desc("single_step_accuracy"), "run_id")
         .limit(size)
-        .select("run_id", "name", "single_step_accuracy", "multi_step_accuracy", "user_id")
+        .join(F.broadcast(total))
+        .select(
+            "run_id",
+            "name",
+            "single_step_accuracy",
+            "multi_step_accuracy",
+            user_label().alias("user_id"),
+            "total_runs",
+        )
     )
 
 

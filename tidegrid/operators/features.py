@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegrid.grid import Grid, own_rows, with_halo
+from tidegrid.grid import Grid, named, own_rows, with_halo
 
 # Rows looked back on, and upper ends of the air-quality tiers.
 LAGS = (1, 3, 6, 12, 24)
@@ -74,7 +76,7 @@ def history_features(
     short = [w for w in windows if w <= MAX_LAGGED_WINDOW]
     reach = max([0, *[w - 1 + shift for w in short]])
     offsets = sorted({*lags, *range(1, reach + 1)})
-    value = F.col(target)
+    value = named(target)
 
     def framed(w: int) -> list[Column]:
         frame = order.rowsBetween(-(w - 1) - shift, -shift)
@@ -129,10 +131,10 @@ def feature_table(
     history = history_features(df, grid, target, shift=shift)
     if complete_only:
         needed = [f"lag_{k}h" for k in LAGS] + [f"rolling_mean_{max(MEAN_WINDOWS)}h"]
-        history = history.dropna("any", subset=[*df.columns, *needed])
+        history = history.filter(reduce(and_, [named(c).isNotNull() for c in [*df.columns, *needed]]))
     return history.select(
         "*",
         *calendar_columns(ts),
         *cyclical_columns(ts),
-        aqi_tier(F.col(target)).alias("pm2_5_tier"),
+        aqi_tier(named(target)).alias("pm2_5_tier"),
     )

@@ -79,6 +79,10 @@ def step_features(history: Column, at: Column) -> dict[str, Column]:
     return features
 
 
+def step_feature_names() -> list[str]:
+    return list(step_features(F.col("history"), F.col("origin")))
+
+
 def _later(origin: Column, step: Column, grid: Grid) -> Column:
     zero = F.lit(0)
     seconds = (step * grid.freq_seconds).cast("decimal(18,6)")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegrid.grid import Grid
+from tidegrid.grid import Grid, named
 from tidegrid.operators.regrid import grid_cells
 
 DEFAULT_LIMIT = 24
@@ -30,7 +30,7 @@ def interpolate(
     typed = df.select(
         grid.series,
         grid.ts,
-        *[F.col(c).cast("double").alias(c) if c in columns else F.col(c) for c in values],
+        *[named(c).cast("double").alias(c) if c in columns else named(c) for c in values],
     )
     cells = grid_cells(typed, grid, carry=list(columns))
     chunk = Window.partitionBy(grid.series, "_chunk")
@@ -41,12 +41,12 @@ def interpolate(
 
     seen = []
     for i, c in enumerate(columns):
-        here = F.when(F.col(c).isNotNull(), F.struct(F.col("_cell").alias("at"), F.col(c).alias("v")))
+        here = F.when(named(c).isNotNull(), F.struct(F.col("_cell").alias("at"), named(c).alias("v")))
         seen += [
             F.last(here, True).over(back).alias(f"_prev{i}"),
             F.last(here, True).over(ahead).alias(f"_next{i}"),
         ]
-    filled = {c: _on_line(F.col(c), i, limit) for i, c in enumerate(columns)}
+    filled = {c: _on_line(named(c), i, limit) for i, c in enumerate(columns)}
     return (
         cells.select("*", *seen)
         # the neighbours' rows have done their work
@@ -54,7 +54,7 @@ def interpolate(
         .select(
             grid.series,
             grid.time_of("_cell").alias(grid.ts),
-            *[filled.get(c, F.col(c)).alias(c) for c in values],
+            *[filled.get(c, named(c)).alias(c) for c in values],
         )
     )
 
@@ -107,18 +107,18 @@ def fill_seasonal(
     for wanted, window, name in ((same_day, fine, "_fine"), (same_month_hour, coarse, "_coarse")):
         if wanted:
             medians = [
-                F.percentile(F.col(c), F.lit(0.5)).over(window).alias(f"{name}{i}")
+                F.percentile(named(c), F.lit(0.5)).over(window).alias(f"{name}{i}")
                 for i, c in enumerate(columns)
             ]
             table = table.select("*", *medians)
 
     def filled(i: int, c: str) -> Column:
-        tiers = [F.col(c)]
+        tiers = [named(c)]
         tiers += [F.col(f"_fine{i}")] if same_day else []
         tiers += [F.col(f"_coarse{i}")] if same_month_hour else []
         return F.coalesce(*tiers).alias(c)
 
     position = {c: i for i, c in enumerate(columns)}
     return table.select(
-        *[filled(position[c], c) if c in position else F.col(c) for c in df.columns]
+        *[filled(position[c], c) if c in position else named(c) for c in df.columns]
     )

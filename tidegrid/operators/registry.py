@@ -1,17 +1,22 @@
 """Model registry: versions with their runs, leaderboards, stages, promotions.
 
-Versions carry ``version_id, name, version, run_id, aliases``.
+Versions carry ``version_id, name, version, run_id, aliases, created_at, description``;
+the date is text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegrid.functions.labels import alias_status, has_alias
+from tidegrid.functions.labels import DATE_ONLY, alias_status, has_alias, text_date_label
 from tidegrid.operators.experiments import LEADERBOARD_SIZE, metric_columns
 
+# The stages that have a list of their own.
+STAGES = ("production", "staging")
 NULL_SPREAD = 1_000
 
 
@@ -65,23 +70,26 @@ def registry_leaderboard(models: DataFrame, size: int = LEADERBOARD_SIZE) -> Dat
         "version",
         "single_step_accuracy",
         "multi_step_accuracy",
+        text_date_label(F.col("created_at"), DATE_ONLY).alias("created"),
         "status",
     )
 
 
-def registry_by_stage(registry: DataFrame, runs: DataFrame, stage: str) -> DataFrame:
-    """Versions with that alias, best first; only these are joined to their runs."""
-    staged = registry.filter(has_alias(F.col("aliases"), stage))
-    return (
-        registry_models(staged, runs)
-        .orderBy(*_by_accuracy())
-        .select(
-            F.lit(stage).alias("stage"),
-            F.coalesce("run_name", F.lit("Unknown")).alias("model_name"),
-            "version",
-            "single_step_accuracy",
-            "multi_step_accuracy",
-        )
+def registry_by_stage(
+    registry: DataFrame, runs: DataFrame, stages: Sequence[str] = STAGES
+) -> DataFrame:
+    """Versions with a stage's alias, ranked in each stage; only these meet their runs."""
+    held = [F.when(has_alias(F.col("aliases"), s), F.lit(s)) for s in stages]
+    staged = registry.withColumn("stage", F.explode(F.array_compact(F.array(*held))))
+    order = Window.partitionBy("stage").orderBy(*_by_accuracy())
+    return registry_models(staged, runs).select(
+        "stage",
+        F.row_number().over(order).alias("rank"),
+        F.coalesce("run_name", F.lit("Unknown")).alias("model_name"),
+        "version",
+        "single_step_accuracy",
+        "multi_step_accuracy",
+        text_date_label(F.col("created_at"), DATE_ONLY).alias("created"),
     )
 
 

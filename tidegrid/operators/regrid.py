@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidegrid.grid import Grid
+from tidegrid.grid import Grid, named
 
 # Up to this many shifted series are matched by a broadcast table.
 MAX_BROADCAST_SERIES = 100_000
@@ -58,7 +58,7 @@ def collapse_duplicates(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     """One row per series and time: the mean of numbers, the smallest of other types."""
     numeric = set(numeric_columns(df))
     aggregates = [
-        (F.avg(c) if c in numeric else F.min(c)).alias(c)
+        (F.avg(named(c)) if c in numeric else F.min(named(c))).alias(c)
         for c in df.columns
         if c not in (grid.series, grid.ts)
     ]
@@ -105,7 +105,7 @@ def snap_regular_offset(
     moved = F.when(F.col("shifted"), grid.floor()).otherwise(
         F.col(grid.ts).cast("timestamp_ntz")
     )
-    return df.join(right, grid.series, "left").withColumn(grid.ts, moved).select(*df.columns)
+    return df.join(right, grid.series, "left").withColumn(grid.ts, moved).select(*map(named, df.columns))
 
 
 def regrid(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
@@ -139,7 +139,7 @@ def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
         cell.alias("_first"),
         cell.alias("_last"),
         F.lit(1).alias("_reading"),
-        *values,
+        *map(named, values),
     )
     marks = _chunk_rows(timed, grid, values, types, carry)
 
@@ -154,13 +154,13 @@ def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
         .groupBy(*key)
         .agg(
             F.sum("_reading").alias("_readings"),
-            *[F.any_value(c, F.lit(True)).alias(c) for c in values],
+            *[F.any_value(named(c), F.lit(True)).alias(c) for c in values],
         )
     )
     clash = F.raise_error(
         F.concat(F.lit("duplicate timestamps in series "), F.col(series).cast("string"))
     ).cast("boolean")
-    return cells.filter(F.when(F.col("_readings") > 1, clash).otherwise(True)).select(*key, *values)
+    return cells.filter(F.when(F.col("_readings") > 1, clash).otherwise(True)).select(*key, *map(named, values))
 
 
 def _chunk_rows(
@@ -181,12 +181,12 @@ def _chunk_rows(
     # hashes; of structs it would sort all readings first
     ends, shaped = [], []
     for i, c in enumerate(carry):
-        at = F.when(on_grid & F.col(c).isNotNull(), cell)
+        at = F.when(on_grid & named(c).isNotNull(), cell)
         ends += [
             F.min(at).alias(f"_lo_at{i}"),
-            F.min_by(F.col(c), at).alias(f"_lo_v{i}"),
+            F.min_by(named(c), at).alias(f"_lo_v{i}"),
             F.max(at).alias(f"_hi_at{i}"),
-            F.max_by(F.col(c), at).alias(f"_hi_v{i}"),
+            F.max_by(named(c), at).alias(f"_hi_v{i}"),
         ]
         for side in ("lo", "hi"):
             here = F.struct(F.col(f"_{side}_at{i}").alias("at"), F.col(f"_{side}_v{i}").alias("v"))

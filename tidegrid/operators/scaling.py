@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid.grid import named
+
 # Fixed value: strings with at most this many distinct values may become features.
 MAX_TEXT_VALUES = 10
 
@@ -60,8 +62,8 @@ def minmax_fit(df: DataFrame, columns: Sequence[str], split: str = "split") -> D
         *[
             F.struct(
                 F.lit(c).alias("column"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
+                F.min(named(c)).cast("double").alias("min"),
+                F.max(named(c)).cast("double").alias("max"),
             ).alias(f"_{i}")
             for i, c in enumerate(columns)
         ]
@@ -96,14 +98,14 @@ def unscaled(value: Column, lo: float, hi: float) -> Column:
 def minmax_scale(df: DataFrame, bounds: Bounds, suffix: str = "") -> DataFrame:
     """Scale the columns named in ``bounds``, in place or next to them with a suffix."""
     if suffix:
-        added = [scaled(F.col(c), *b).alias(c + suffix) for c, b in bounds.items()]
+        added = [scaled(named(c), *b).alias(c + suffix) for c, b in bounds.items()]
         return df.select("*", *added)
     return df.select(
-        *[scaled(F.col(c), *bounds[c]).alias(c) if c in bounds else F.col(c) for c in df.columns]
+        *[scaled(named(c), *bounds[c]).alias(c) if c in bounds else named(c) for c in df.columns]
     )
 
 
 def minmax_inverse(
     df: DataFrame, column: str, bounds: tuple[float, float], output: str
 ) -> DataFrame:
-    return df.withColumn(output, unscaled(F.col(column), *bounds))
+    return df.withColumn(output, unscaled(named(column), *bounds))

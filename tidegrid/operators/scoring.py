@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.grid import named
+
 # Smallest MAPE denominator (machine epsilon), number of bins, digits.
 EPSILON = 2.220446049250313e-16
 ERROR_BINS = 30
@@ -101,7 +103,7 @@ def histogram(
 
     Ranges are read first (one row per group); every bin is listed, also empty ones.
     """
-    column = F.col(value).cast("double")
+    column = named(value).cast("double")
     if by is None:
         parts = [(None, df)]
     else:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegrid.grid import Grid, own_rows, with_halo
+from tidegrid.grid import Grid, named, own_rows, with_halo
 
 DEFAULT_LENGTH = 24
 
@@ -30,7 +30,7 @@ def sequence_windows(
     """
     if length < 1:
         raise ValueError("length must be positive")
-    row = F.array(*[F.col(c).cast("double") for c in features])
+    row = F.array(*[named(c).cast("double") for c in features])
     order = Window.partitionBy(grid.series, split, "_chunk").orderBy(position)
     haloed = with_halo(df, F.col(position), max(grid.chunk_cells, length), length)
     collected = F.collect_list(row).over(order.rowsBetween(-length, -1))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegrid.grid import Grid
+from tidegrid.grid import Grid, named
 
 # Default shares of train, validation and test rows.
 DEFAULT_RATIOS = (0.7, 0.1, 0.2)
@@ -66,7 +66,7 @@ def time_split(
     row = F.col("_row")
     placed = with_positions(df, grid)
     return placed.select(
-        *df.columns,
+        *map(named, df.columns),
         F.when(row <= n_train, "train").when(row <= n_train + n_val, "val").otherwise("test")
         .alias("split"),
         F.when(row <= n_train, row)
@@ -89,9 +89,9 @@ def cv_folds(df: DataFrame, grid: Grid = Grid(), n_splits: int = DEFAULT_FOLDS)
     fold = F.explode(F.sequence(F.greatest(tile - 1, F.lit(1)), F.lit(n_splits).cast("bigint")))
     return (
         with_positions(df, grid)
-        .select(*df.columns, tile.alias("_tile"), fold.alias("fold"))
+        .select(*map(named, df.columns), tile.alias("_tile"), fold.alias("fold"))
         .select(
-            *df.columns,
+            *map(named, df.columns),
             F.col("fold").cast("int").alias("fold"),
             F.when(F.col("_tile") <= F.col("fold"), "train").otherwise("val").alias("role"),
         )

@@ -6,8 +6,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from tidegrid.grid import Grid
+from tidegrid.grid import Grid, named
 from tidegrid.operators.features import feature_table
 from tidegrid.operators.gaps import DEFAULT_LIMIT
 from tidegrid.operators.naming import resolve_target
@@ -31,6 +32,8 @@ class Fitted:
     features: list[str]
     bounds: dict[str, tuple[float | None, float | None]] = field(default_factory=dict)
     encoding: DataFrame | None = None
+    # features that were text in training
+    texts: list[str] = field(default_factory=list)
 
     def original_units(self, value: Column) -> Column:
         return unscaled(value, *self.bounds[self.target])
@@ -57,8 +60,9 @@ def prepare_dataset(
     keys = (grid.series, grid.ts, target, "split", "split_row")
     typed, features = select_features(split, exclude=keys)
     bounds = read_bounds(minmax_fit(typed, [*features, target]))
-    kept = typed.withColumn(f"{target}_raw", F.col(target))
-    return minmax_scale(kept, bounds), Fitted(target, features, bounds, encoding)
+    texts = [f.name for f in split.schema.fields if isinstance(f.dataType, StringType) and f.name in features]
+    kept = typed.withColumn(f"{target}_raw", named(target))
+    return minmax_scale(kept, bounds), Fitted(target, features, bounds, encoding, texts)
 
 
 def transform_new(
@@ -71,12 +75,20 @@ def transform_new(
     """Process new readings with stored encoding and scaling.
 
     Readings before ``since`` are history: they give the first new rows their lags
-    and are dropped afterwards. Weather labels unseen in training become -1.
+    and are dropped afterwards. Weather labels unseen in training become -1. Text that
+    was a feature in training is read as numbers again; what is no number becomes NULL.
     """
     cleaned, _ = clean_readings(readings, grid, limit, encoding=fitted.encoding)
     table = feature_table(cleaned, grid, fitted.target)
     if since is not None:
         table = table.filter(F.col(grid.ts) >= F.lit(since).cast("timestamp_ntz"))
     bounds = {c: fitted.bounds[c] for c in fitted.features}
-    typed = table.select(grid.series, grid.ts, *[F.col(c) for c in fitted.features])
+    typed = table.select(
+        grid.series,
+        grid.ts,
+        *[
+            F.expr(f"try_cast(`{c}` AS double)").alias(c) if c in fitted.texts else named(c)
+            for c in fitted.features
+        ],
+    )
     return minmax_scale(typed, bounds)

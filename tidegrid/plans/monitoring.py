@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.grid import named
 from tidegrid.operators.drift import (
     DATASETS,
     drift_report,
@@ -18,6 +19,7 @@ from tidegrid.operators.drift import (
 )
 from tidegrid.operators.quality import (
     correlation_matrix,
+    dtype_counts,
     duplicate_rows,
     iqr_outliers,
     missing_values,
@@ -36,12 +38,14 @@ def monitoring_report(
     both = df.filter(F.col(split).isin(*DATASETS))
     train = df.filter(F.col(split) == "train")
     drift = drift_report(both, columns, split)
+    kinds = dtype_counts(df.select(*map(named, columns)))
     return {
         "drift": drift,
         "drift_summary": drift_summary(drift),
         "target_stats": target_stats(both, target, split),
         "target_shift": target_shift(both, target, split),
         "quality": quality_summary(both, split, columns),
+        "dtypes": df.sparkSession.createDataFrame(list(kinds.items()), "dtype string, columns int"),
         "missing": missing_values(both, columns, by=split),
         "duplicates": duplicate_rows(both, columns, by=split),
         "outliers": iqr_outliers(both, columns, by=split, groups=DATASETS),
@@ -78,11 +82,12 @@ def report_long(tables: dict[str, DataFrame], split: str = "split") -> DataFrame
         melt("target_stats", None, ("mean", "std", "min", "max")),
         melt("target_shift", None, ("shift_pct", "alert")),
         melt("quality", None, ("total_rows", "total_columns")),
+        melt("dtypes", "dtype", ("columns",)),
         melt("missing", "column", ("missing_count", "missing_pct")),
         melt("duplicates", None, ("duplicate_rows",)),
         melt("outliers", "column", ("q1", "q3", "outliers")),
         melt("histogram", "bin", ("n", "density")),
-        melt("boxplot", None, ("q1", "median", "q3", "whisker_low", "whisker_high")),
+        melt("boxplot", None, ("q1", "median", "q3", "whisker_low", "whisker_high", "outliers")),
     ]
     table = parts[0]
     for part in parts[1:]:

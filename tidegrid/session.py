@@ -6,6 +6,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of local sessions, removed with the process.
+_OWN_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
 
 def build_session(app: str = "tidegrid", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tested with."""
@@ -15,6 +18,8 @@ def build_session(app: str = "tidegrid", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.compress", "true")
     )
     if master:
         builder = builder.master(master)
@@ -24,15 +29,21 @@ def build_session(app: str = "tidegrid", master: str | None = None, **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; make one only in local mode."""
+    """Use the shared folder the session names in ``spark.checkpoint.dir``.
+
+    Only a session whose executors are threads of the driver, as in tests, gets a
+    folder of its own when none is named; it goes when the process ends.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidegrid-checkpoint-"))
+    elif context.master == "local" or context.master.startswith("local["):
+        folder = tempfile.TemporaryDirectory(prefix="tidegrid-checkpoint-", ignore_cleanup_errors=True)
+        _OWN_FOLDERS.append(folder)
+        context.setCheckpointDir(folder.name)
     else:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 

@@ -25,9 +25,10 @@ def load_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def save_processor(spark: SparkSession, fitted: Fitted, path: str) -> None:
     """Write encoding, scaling and feature list as small Parquet tables."""
     bounds_table(spark, fitted.bounds).write.mode("overwrite").parquet(f"{path}/scaling")
-    names = [(i, c, False) for i, c in enumerate(fitted.features)]
-    names.append((len(names), fitted.target, True))
-    columns = spark.createDataFrame(names, "position int, column string, is_target boolean")
+    names = [(i, c, False, c in fitted.texts) for i, c in enumerate(fitted.features)]
+    names.append((len(names), fitted.target, True, False))
+    schema = "position int, column string, is_target boolean, is_text boolean"
+    columns = spark.createDataFrame(names, schema)
     columns.write.mode("overwrite").parquet(f"{path}/columns")
     empty = spark.createDataFrame([], "label string, code int")
     encoding = fitted.encoding if fitted.encoding is not None else empty
@@ -42,6 +43,7 @@ def load_processor(spark: SparkSession, path: str) -> Fitted:
         features=[r["column"] for r in columns if not r["is_target"]],
         bounds=read_bounds(spark.read.parquet(f"{path}/scaling")),
         encoding=None if encoding.isEmpty() else encoding,
+        texts=[r["column"] for r in columns if r["is_text"]],
     )
 
 

@@ -103,7 +103,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("run-"), key.cast("string")).alias("name"),
         state.alias("state"),
         F.col("o_orderdate").alias("created_at"),
-        F.col("o_custkey").alias("user_id"),
+        F.when(key % 23 != 0, F.col("o_custkey").cast("string")).alias("user_id"),
         F.array("o_orderpriority").alias("tags"),
         F.to_json(summary).alias("summary_json"),
     )
@@ -111,22 +111,19 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One logged artifact per line item."""
+    """One logged artifact per line item; those of every third order go to the next run."""
     kind = (
         F.when(F.col("l_returnflag") == "R", "model")
         .when(F.col("l_returnflag") == "A", "processor")
         .otherwise("run_log")
     )
-    return (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_orderkey") % 3 != 0)
-        .select(
-            F.col("l_orderkey").alias("run_id"),
-            F.concat(F.lit("model-"), F.col("l_partkey").cast("string")).alias("name"),
-            F.concat(F.lit("v"), F.col("l_linenumber").cast("string")).alias("version"),
-            kind.alias("type"),
-            F.col("l_suppkey").alias("seq"),
-        )
+    order = F.col("l_orderkey")
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(order % 3 == 0, order + 1).otherwise(order).alias("run_id"),
+        F.concat(F.lit("model-"), F.col("l_partkey").cast("string")).alias("name"),
+        F.concat(F.lit("v"), F.col("l_linenumber").cast("string")).alias("version"),
+        kind.alias("type"),
+        F.col("l_suppkey").alias("seq"),
     )
 
 
@@ -140,12 +137,22 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(size == 3, F.array(F.lit("latest")))
         .otherwise(F.array().cast("array<string>"))
     )
+    # ISO text with and without a time, other text, nothing
+    day = F.concat(F.lit("2024-"), F.lpad((key % 12 + 1).cast("string"), 2, "0"), F.lit("-15"))
+    created = (
+        F.when(key % 11 == 0, "")
+        .when(key % 13 == 0, "last spring")
+        .when(key % 5 == 0, day)
+        .otherwise(F.concat(day, F.lit("T08:30:00")))
+    )
     return table(spark, sf_dir, "part").select(
         key.alias("version_id"),
         F.col("p_name").alias("name"),
         F.concat(F.lit("v"), key.cast("string")).alias("version"),
         F.when(key % 17 != 0, key * 3).alias("run_id"),
         aliases.alias("aliases"),
+        created.alias("created_at"),
+        F.when(key % 4 != 0, F.concat(F.lit("about "), F.col("p_name"))).alias("description"),
     )
 
 
