@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import file_bytes, map_rows, scan
+from tidegrid.llm.common import file_bytes, held, map_rows, scan
 
 SPACE, GAP, LETTER, NUMBER, QUOTE, OTHER = range(6)
 # states after a code point: a plain space, a place where an apostrophe may begin a
@@ -260,14 +261,23 @@ class Decoder:
         return list(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+def coders(file: bytes) -> tuple[Encoder, Decoder]:
+    """Encoder and decoder of a rank file, with what the process has merged before."""
+
+    def make() -> tuple[Encoder, Decoder]:
+        ranks = read_ranks(file)
+        return Encoder(ranks), Decoder(ranks)
+
+    return held(("ranks", zlib.crc32(file), len(file)), make)
+
+
 def encode_documents(docs: DataFrame, key: str, text: str, ranks_file: str, offsets: bool = True) -> DataFrame:
     """key, n_tokens, token_ids (unsigned 32-bit, little-endian) and, if asked for,
     token_offsets: the byte at which each id's piece begins, in the same format."""
     shipped = docs.sparkSession.sparkContext.broadcast(file_bytes(ranks_file))
 
     def make():
-        ranks = read_ranks(shipped.value)
-        encoder, decoder = Encoder(ranks), Decoder(ranks)
+        encoder, decoder = coders(shipped.value)
 
         def starts(ids: bytes) -> bytes:
             sizes = np.fromiter(map(len, decoder.pieces_of(ids)), np.uint32)
@@ -295,7 +305,7 @@ def decode_documents(encoded: DataFrame, key: str, ranks_file: str) -> DataFrame
     shipped = encoded.sparkSession.sparkContext.broadcast(file_bytes(ranks_file))
 
     def make():
-        decoder = Decoder(read_ranks(shipped.value))
+        decoder = coders(shipped.value)[1]
 
         def work(columns):
             keys, counts, ids = columns

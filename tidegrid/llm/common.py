@@ -20,6 +20,21 @@ def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def held(name: tuple, make: Callable[[], object]) -> object:
+    """A task's helper, kept for the next tasks of the same Python process.
+
+    One of each kind (the name's first part) is kept, so memory stays bounded.
+    """
+    if name not in _HELD:
+        for other in [k for k in _HELD if k[0] == name[0]]:
+            del _HELD[other]
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], schema: str, arrow: pa.Schema) -> DataFrame:
     """Rows made from batches of columns by the function that `make` builds once per task.
 
@@ -74,6 +89,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+class Powers:
+    """64-bit hashes of substrings, from running sums of byte values times powers of an
+    odd number modulo 2^64."""
+
+    def __init__(self) -> None:
+        rng = np.random.default_rng(7)
+        self.value = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+        self.base = 0x9E3779B97F4A7C15
+        self.grow(1 << 20)
+
+    def grow(self, n: int) -> None:
+        self.up, self.down = (np.full(n, b, np.uint64) for b in (self.base, pow(self.base, -1, 1 << 64)))
+        for powers in (self.up, self.down):
+            powers[0] = 1
+            np.multiply.accumulate(powers, out=powers)
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        if len(data) > len(self.up):
+            self.grow(2 * len(data))
+        out = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.value[data] * self.up[: len(data)], out=out[1:])
+        return out
+
+    def between(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all windows of n words; none if there are fewer words."""
     count = len(words) - n + 1

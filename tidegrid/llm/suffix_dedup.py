@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import map_rows, mixed, scan, texts, written
+from tidegrid.llm.common import Powers, map_rows, mixed, scan, texts, written
 
 LENGTH = 200
 ANCHOR = 50
@@ -58,33 +58,6 @@ BLOCK_TARGET = 20_000
 HOT_SHARE = 100_000
 
 
-class Powers:
-    """Hashes of all substrings of one length, from running sums of byte values times
-    powers of an odd number modulo 2^64."""
-
-    def __init__(self) -> None:
-        rng = np.random.default_rng(7)
-        self.value = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-        self.base = 0x9E3779B97F4A7C15
-        self.grow(PIECE + 2 * LENGTH)
-
-    def grow(self, n: int) -> None:
-        self.up, self.down = (np.full(n, b, np.uint64) for b in (self.base, pow(self.base, -1, 1 << 64)))
-        for powers in (self.up, self.down):
-            powers[0] = 1
-            np.multiply.accumulate(powers, out=powers)
-
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        if len(data) > len(self.up):
-            self.grow(2 * len(data))
-        out = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.value[data] * self.up[: len(data)], out=out[1:])
-        return out
-
-    def between(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
-
-
 def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     """The minimum of each window, from running minima of blocks in both directions."""
     pad = np.full(-len(values) % width, np.iinfo(np.uint64).max, np.uint64)

@@ -19,7 +19,7 @@ keys by the fingerprint.
 
 Encoding splits texts at plain spaces and line ends, across which the vocabulary never
 joins anything, and encodes each distinct piece once per task with the tokenizers
-library. Strings of special tokens in a text are ordinary text.
+library, remembering a bounded number. Strings of special tokens in a text are ordinary text.
 
 Defined cases: null and empty texts have the end id alone; null keys come first and are
 one key; documents that share a key lie side by side, ordered by a hash of their text; an
@@ -40,49 +40,110 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import file_bytes, join_checked, mixed, new_folder, scan, slices
+from tidegrid.llm.common import Powers, file_bytes, held, join_checked, mixed, new_folder, scan, slices, texts
 
 END_ID = 1
 SHARD_IDS = 4 << 20
 MAX_BROADCAST_SHARDS = 1_000_000
 LEVEL_LOAD = 2
-CACHE_BOUND = 1_000_000
+# Pieces that a process remembers, and bytes of text encoded at a time.
+KNOWN_BOUND = 4_000_000
+SLICE = 4 << 20
 
 
 class PieceEncoder:
-    """Ids of texts as raw bytes, with the end id."""
+    """Ids of texts as raw bytes, with the end id.
+
+    Pieces are found and hashed for a whole batch of texts at once; each distinct one is
+    looked up in sorted arrays of known hashes, and its ids are gathered. Two pieces are
+    taken for one if their 64-bit hashes agree.
+    """
 
     def __init__(self, file: bytes, end_id: int = END_ID) -> None:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_buffer(file)
         self.model.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.model.get_vocab()
+        self.dtype = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.known = {"": b""}
-
-    def learn(self, pieces: list[str]) -> None:
-        """Encode new pieces with one call; ids are told apart by the piece they come from."""
-        if len(self.known) + len(pieces) > CACHE_BOUND:
-            self.known = {"": b""}
-        made = self.model.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(made.ids, self.dtype)
-        owner = np.array(made.word_ids, np.int64)
-        edges = np.searchsorted(owner, np.arange(len(pieces) + 1)) * self.dtype.itemsize
-        raw = ids.tobytes()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.powers = Powers()
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.first, self.count = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, self.dtype)
+
+    def learn(self, pieces: list[str]) -> dict[str, np.ndarray]:
+        """Ids of new pieces.
+
+        Pieces of letters are one word each, so they are encoded side by side, a space
+        between them, and told apart by the ids that end a word. If the numbers do not
+        agree (a letter's lower case may hold a mark), and for other pieces, the library
+        says which piece an id comes from.
+        """
+        out: dict[str, np.ndarray] = {}
+        words = [p for p in pieces if p.isalpha()]
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(part):
+                self.cut(ids, np.concatenate([[0], ends]), part, out)
+        rest = [p for p in pieces if p not in out]
+        if rest:
+            made = self.model.encode(rest, is_pretokenized=True, add_special_tokens=False)
+            edges = np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(rest) + 1))
+            self.cut(np.array(made.ids, self.dtype), edges, rest, out)
+        return out
+
+    def cut(self, ids: np.ndarray, edges: np.ndarray, pieces: list[str], out: dict[str, np.ndarray]) -> None:
         for piece, a, b in zip(pieces, edges.tolist(), edges[1:].tolist()):
-            self.known[piece] = raw[a:b]
-
-    def encode(self, batch: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in batch]
-        pieces = set().union(*split)
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > CACHE_BOUND:
-            new = list(pieces)
-        if new:
-            self.learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) + self.end for parts in split]
+            out[piece] = ids[a:b]
+
+    def remember(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Add new pieces, whose hashes are sorted, to the arrays."""
+        learnt = self.learn(list(dict.fromkeys(pieces)))
+        ids = [learnt[p] for p in pieces]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.first = np.insert(self.first, at, len(self.ids) + np.cumsum(count) - count)
+        self.count = np.insert(self.count, at, count)
+        self.ids = np.concatenate([self.ids, *ids])
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where sorted hashes stand in the arrays, and which are there."""
+        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        return at, self.known[at] == hashes if len(self.known) else np.zeros(len(hashes), bool)
+
+    def encode(self, batch: list[bytes]) -> list[bytes]:
+        blob = b"\n".join(batch)
+        data = np.frombuffer(blob, np.uint8)
+        inside = np.zeros(len(data) + 2, bool)
+        inside[1:-1] = (data != ord(" ")) & (data != ord("\n"))
+        turns = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = turns[::2], turns[1::2]
+        hashes = self.powers.between(self.powers.sums(data), start, end)
+        distinct, seen, which = np.unique(hashes, return_index=True, return_inverse=True)
+        _, there = self.places(distinct)
+        if not there.all():
+            new = seen[~there].tolist()
+            if len(self.known) + len(new) > KNOWN_BOUND:
+                self.forget()
+                new, there = seen.tolist(), np.zeros(len(distinct), bool)
+            self.remember(distinct[~there], [blob[start[k] : end[k]].decode() for k in new])
+        at = self.places(distinct)[0][which]
+        count = self.count[at]
+        stop = np.cumsum(count)
+        ids = self.ids[np.repeat(self.first[at] - stop + count, count) + np.arange(stop[-1] if len(stop) else 0)]
+        # a text's pieces begin before the line end that follows it
+        edges = np.cumsum([0] + [len(t) + 1 for t in batch])
+        edges = np.concatenate([[0], stop])[np.searchsorted(start, edges)] * self.dtype.itemsize
+        raw = ids.tobytes()
+        return [raw[a:b] + self.end for a, b in zip(edges.tolist(), edges[1:].tolist())]
 
 
 def key_bytes(key) -> bytes:
@@ -179,17 +240,19 @@ def write_shards(docs: DataFrame, folder: str, key: str, text: str, model: str,
     arrow, schema = shard_types(key_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = PieceEncoder(shipped.value), TaskContext.get().partitionId(), 0
-        keys, payloads, held = [], [], 0
+        file = shipped.value
+        encoder = held(("pieces", zlib.crc32(file), len(file)), lambda: PieceEncoder(file))
+        part, seq = TaskContext.get().partitionId(), 0
+        keys, payloads, size = [], [], 0
         for batch in batches:
-            for piece in slices(batch):
-                for name, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist())):
-                    if held and held + len(ids) > shard_ids * encoder.dtype.itemsize:
+            for piece in slices(batch, SLICE):
+                for name, ids in zip(piece.column(0).to_pylist(), encoder.encode(texts(piece.column(1)))):
+                    if size and size + len(ids) > shard_ids * encoder.dtype.itemsize:
                         yield pa.RecordBatch.from_pylist([shard_row(part, seq, keys, payloads, encoder.dtype.itemsize)], schema=arrow)
-                        keys, payloads, held, seq = [], [], 0, seq + 1
+                        keys, payloads, size, seq = [], [], 0, seq + 1
                     keys.append(name)
                     payloads.append(ids)
-                    held += len(ids)
+                    size += len(ids)
         if keys:
             yield pa.RecordBatch.from_pylist([shard_row(part, seq, keys, payloads, encoder.dtype.itemsize)], schema=arrow)
 
