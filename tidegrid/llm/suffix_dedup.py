@@ -22,10 +22,11 @@ that reaches `o` bytes back from its sampled position is told by two ranks of th
 backwards at depth o and forwards at depth length - o, however long the tie is. Memory
 is that of one block.
 
-*Very frequent anchors.* Classes of more than BLOCK_ROWS positions take another exact way:
-the hashes of their strings are counted with aggregation before the shuffle. The most
-frequent (above 1 / HOT_SHARE of all positions, so fewer than HOT_SHARE anchors) are told
-apart by a broadcast before anything is dealt by anchor.
+*Very frequent anchors.* Anchors of more than BLOCK_ROWS positions, and more than
+1 / HOT_SHARE of all (so fewer than HOT_SHARE anchors), are told apart by a broadcast
+before anything is dealt by anchor, and equal texts under their ranges are added up before
+the shuffle. Classes that still have more than BLOCK_ROWS different texts take another
+exact way: the hashes of their strings are counted.
 
 Texts and ranges are known by 64-bit hashes.
 
@@ -47,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import Powers, map_rows, mixed, scan, texts, written
+from tidegrid.llm.common import Powers, join_checked, map_rows, mixed, scan, texts, written
 
 LENGTH = 200
 ANCHOR = 50
@@ -56,6 +57,7 @@ PLACE_BITS = 20
 BLOCK_ROWS = 50_000
 BLOCK_TARGET = 20_000
 HOT_SHARE = 100_000
+MAX_BROADCAST_RANGES = 100_000
 
 
 def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -137,22 +139,45 @@ def text_id(text: str) -> F.Column:
     return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_text")
 
 
-def candidates(positions: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Positions whose anchor occurs twice or more: those of ordinary classes, with
-    _times (of the text under their range), _class (of the anchor) and _first (one
-    position for each such text), and those of very frequent anchors."""
+@dataclass(frozen=True)
+class Candidates:
+    """Positions whose anchor occurs twice or more, by what is left to do for them."""
+
+    repeated: DataFrame  # the text under the range occurs twice: all its strings do
+    unsolved: DataFrame  # one position of each other text of an ordinary class
+    wide: DataFrame | None  # positions of classes with too many texts for a block
+
+
+def candidates(positions: DataFrame, block_rows: int) -> Candidates:
+    columns = positions.columns
     counts = written(positions.groupBy("_anchor").agg(F.count("*").alias("_class")).where("_class > 1"), "anchor-counts")
     total = counts.agg(F.sum("_class")).first()[0] or 0
-    hot = written(counts.where(F.col("_class") > max(block_rows, total // HOT_SHARE)).select("_anchor"), "hot-anchors")
-    frequent = positions.join(F.broadcast(hot), "_anchor", "left_semi")
-    if hot.limit(1).count():
-        positions = positions.join(F.broadcast(hot), "_anchor", "left_anti")
-    kept = positions.join(counts, "_anchor")
+    frequent = F.col("_class") > max(block_rows, total // HOT_SHARE)
+    hot = written(counts.where(frequent).select("_anchor"), "hot-anchors")
+    any_hot = hot.limit(1).count() > 0
+    cold = positions.join(F.broadcast(hot), "_anchor", "left_anti") if any_hot else positions
     same = F.expr("count(*) OVER (PARTITION BY _anchor, _under)").alias("_times")
     first = F.expr("row_number() OVER (PARTITION BY _anchor, _under ORDER BY _text, _place) = 1").alias("_first")
-    kept = written(kept.select("*", same, first), "repeat-candidates")
-    large = kept.where(F.col("_class") > block_rows)
-    return kept.where(F.col("_class") <= block_rows), large.select(*frequent.columns).unionByName(frequent)
+    kept = written(cold.join(counts, "_anchor").select("*", same, first), "repeat-candidates")
+    repeated = kept.where("_times > 1").select(*columns)
+    unsolved = kept.where("_first AND _times < _class")
+    large = unsolved.where(F.col("_class") > block_rows).select(*columns)
+    unsolved = unsolved.where(F.col("_class") <= block_rows).select(*columns)
+    wide = large if large.limit(1).count() else None
+    if any_hot:
+        # the most frequent anchors: equal texts are added up before the shuffle
+        often = positions.join(F.broadcast(hot), "_anchor", "left_semi")
+        sums = [F.count("*").alias("_times"), F.first("_text").alias("_text"), F.first("_place").alias("_place")]
+        ranges = written(often.groupBy("_anchor", "_under").agg(*sums), "hot-ranges")
+        widths = ranges.groupBy("_anchor").agg(F.count("*").alias("_ranges"))
+        twice = ranges.where("_times > 1").select("_anchor", "_under")
+        repeated = repeated.unionByName(join_checked(often, twice, ["_anchor", "_under"], "left_semi", MAX_BROADCAST_RANGES))
+        open_ranges = ranges.join(widths, "_anchor").where("_ranges > 1")
+        unsolved = unsolved.unionByName(open_ranges.where(F.col("_ranges") <= block_rows).select(*columns))
+        many = open_ranges.where(F.col("_ranges") > block_rows).select(*columns)
+        if many.limit(1).count():
+            wide = many if wide is None else wide.unionByName(many)
+    return Candidates(repeated, unsolved, wide)
 
 
 def packed(anchors, names, places, cuts: list[bytes]) -> bytes:
@@ -280,9 +305,8 @@ def counted_repeats(wanted: DataFrame, length: int) -> DataFrame:
     columns = ["_anchor", "_text", "_place", "_back", "_string"]
     strings = map_rows(wanted.select("_text", "content", "wants"), make, ", ".join(f"{c} long" for c in columns), pa.schema([(c, pa.int64()) for c in columns]))
     keys = ["_anchor", "_back", "_string"]
-    # a text stands for all rows that have it: those count in _copies
-    strings = strings.join(wanted.select("_text", "_copies"), "_text")
-    twice = strings.groupBy(*keys).agg(F.sum("_copies").alias("_times")).where("_times > 1").select(*keys)
+    # a range stands for all with its text, of which the other strings are known
+    twice = strings.groupBy(*keys).agg(F.count("*").alias("_times")).where("_times > 1").select(*keys)
     return strings.join(twice, keys, "left_semi").select("_text", "_place", F.expr("(_place >> 16) - _back").alias("start"))
 
 
@@ -316,23 +340,22 @@ def removed(content: bytes, whole: list[int], masks: list[tuple[int, bytes]], st
 
 def repeats(docs: DataFrame, text: str, length: int, anchor: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
     """Distinct texts (_text, content), and per text its repeated strings (_text, hits)."""
-    normal, frequent = candidates(sampled(docs, text, length, anchor), block_rows)
+    found = candidates(sampled(docs, text, length, anchor), block_rows)
     long_enough = docs.select(text_id(text), F.col(text).cast("string").alias("content")).where(F.octet_length("content") >= length)
-    distinct = long_enough.groupBy("_text").agg(F.first("content").alias("content"), F.count("*").alias("_copies"))
+    distinct = long_enough.groupBy("_text").agg(F.first("content").alias("content"))
 
     def with_text(rows: DataFrame) -> DataFrame:
         wants = rows.groupBy("_text").agg(F.collect_set(F.struct("_anchor", "_place")).alias("wants"))
         return distinct.join(wants, "_text")
 
-    unsolved = normal.where("_first AND _times < _class")
-    blocks = max(1, -(-unsolved.count() // BLOCK_TARGET))
+    blocks = max(1, -(-found.unsolved.count() // BLOCK_TARGET))
     none = F.lit(None)
     parts = [
-        normal.where("_times > 1").select("_text", "_place", none.cast("binary").alias("mask"), none.cast("long").alias("start")),
-        block_repeats(cut_out(with_text(unsolved), length, blocks), length).select("_text", "_place", "mask", none.cast("long").alias("start")),
+        found.repeated.select("_text", "_place", none.cast("binary").alias("mask"), none.cast("long").alias("start")),
+        block_repeats(cut_out(with_text(found.unsolved), length, blocks), length).select("_text", "_place", "mask", none.cast("long").alias("start")),
     ]
-    if frequent.limit(1).count():
-        parts.append(counted_repeats(with_text(frequent), length).select("_text", "_place", none.cast("binary").alias("mask"), "start"))
+    if found.wide is not None:
+        parts.append(counted_repeats(with_text(found.wide), length).select("_text", "_place", none.cast("binary").alias("mask"), "start"))
     hits = parts[0]
     for part in parts[1:]:
         hits = hits.unionByName(part)
