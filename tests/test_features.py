@@ -80,6 +80,13 @@ def test_split_truncates(spark, n):
     assert got == expected
 
 
+def test_split_joins_without_a_sort(spark):
+    rows = [("a", START + dt.timedelta(hours=i), 1.0) for i in range(40)]
+    plan = time_split(spark.createDataFrame(rows, SCHEMA), Grid(chunk_cells=7))._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert "SortMergeJoin" not in physical and "BroadcastHashJoin" in physical
+
+
 @pytest.mark.parametrize("n", [4, 17])
 def test_folds(spark, n):
     rows = [("a", START + dt.timedelta(hours=i), float(i)) for i in range(n)]

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tidegrid.grid import Grid
 from tidegrid.operators.forecasting import origins, recursive_linear, recursive_model
 from tidegrid.operators.models import estimator, train_model
-from tidegrid.plans.dataset import transform_new
+from tidegrid.plans.dataset import prepare_dataset, transform_new
 from tidegrid.plans.training import run_training
 from tidegrid.session import settle
-from tidegrid.sources.artifacts import load_metrics, load_model, load_processor
+from tidegrid.sources.artifacts import load_metrics, load_model, load_processor, save_processor
 
 START = dt.datetime(2024, 1, 1)
 
@@ -59,6 +59,17 @@ def test_training_saves_and_reloads(spark, readings, tmp_path):
     assert spark.read.parquet(f"{base}/reports/drift").count() == len(fitted.features) + 1
 
 
+def test_text_features_survive_saving(spark, readings, tmp_path):
+    mood = (F.hour("ts") % 3).cast("string")
+    _, fitted = prepare_dataset(readings.withColumn("mood", mood))
+    assert fitted.texts == ["mood"]
+    save_processor(spark, fitted, str(tmp_path / "p"))
+    fresh = readings.withColumn("mood", F.when(F.hour("ts") == 5, "x").otherwise(mood))
+    out = transform_new(fresh, load_processor(spark, str(tmp_path / "p")))
+    found = out.select("mood", (F.hour("ts") == 5).alias("unreadable")).collect()
+    assert found and all((r.mood is None) == r.unreadable for r in found)
+
+
 def test_sequence_training(readings):
     run = run_training(readings, "lstm", length=6, trees=3, depth=3)
     rows = run.forecast.collect()

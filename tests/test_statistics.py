@@ -36,6 +36,16 @@ def test_quantiles_with_and_without_narrowing(spark, limit):
         np.testing.assert_allclose(got[name], np.quantile(values, probs), rtol=1e-12)
 
 
+@pytest.mark.parametrize("limit", [60, 100_000])
+def test_many_measures_share_the_limit(spark, limit):
+    rng = np.random.default_rng(6)
+    values = rng.normal(size=(400, 60)).round(2)
+    df = spark.createDataFrame(values.tolist(), [f"c{i}" for i in range(60)])
+    got = exact_quantiles(df, {c: F.col(c) for c in df.columns}, (0.25, 0.75), limit, accuracy=50)
+    for i in range(60):
+        np.testing.assert_allclose(got[f"c{i}"], np.quantile(values[:, i], (0.25, 0.75)), rtol=1e-12)
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, {"v": F.col("v")}, (0.5,)) == {"v": [None]}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegrid.grid import Grid, named
+from tidegrid.session import join_counted, settle
 
 # Default shares of train, validation and test rows.
 DEFAULT_RATIOS = (0.7, 0.1, 0.2)
@@ -24,8 +25,9 @@ def with_positions(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     """Add ``_row`` (from 1, by time) and ``_rows`` (their number) within each series.
 
     Rows are numbered inside their chunk and shifted by the count of the chunks
-    before, which is a window over one row per series and chunk. The frame is read
-    twice (once for the counts), so pass a settled one if it is costly.
+    before, which is a window over one row per series and chunk; that small table is
+    computed at once and broadcast if its count allows. The frame is read twice (once
+    for the counts), so pass a settled one if it is costly.
     """
     keyed = df.withColumn("_chunk", grid.chunk(grid.cell()))
     earlier = Window.partitionBy(grid.series).orderBy("_chunk").rowsBetween(
@@ -43,7 +45,7 @@ def with_positions(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     )
     within = F.row_number().over(Window.partitionBy(grid.series, "_chunk").orderBy(grid.ts))
     return (
-        keyed.join(offsets, [grid.series, "_chunk"])
+        join_counted(keyed, settle(offsets), [grid.series, "_chunk"])
         .withColumn("_row", F.col("_before") + within)
         .drop("_chunk", "_before")
     )

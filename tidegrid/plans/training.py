@@ -64,7 +64,8 @@ def run_training(
     """Train one model and report on it; the test rows are predicted once."""
     dataset, fitted = prepare_dataset(raw, grid, target)
     if model_name.lower() in SEQUENCE:
-        rows = settle(sequence_samples(dataset, fitted.features, grid, length))
+        # a window per row is made anew in each pass, not stored
+        rows = sequence_samples(settle(dataset), fitted.features, grid, length)
         model = train_sequence_model(rows, fitted.target, **params)
     else:
         rows = dataset

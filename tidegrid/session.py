@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Folders of local sessions, removed with the process.
 _OWN_FOLDERS: list[tempfile.TemporaryDirectory] = []
@@ -48,6 +49,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def join_counted(left: DataFrame, right: DataFrame, on: list[str], rows: int = 100_000) -> DataFrame:
+    """Join with a settled frame; it is broadcast only if it has at most ``rows`` rows."""
+    small = right.limit(rows + 1).count() <= rows
+    return left.join(F.broadcast(right) if small else right, on)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a frame once into reliable storage, for steps that read it again.
 
