@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -142,13 +143,41 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{os.urandom(8).hex()}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark removes an action's shuffle files when the action is over.
+
+    What the action has written does not need them, and they would else fill the disks
+    until the driver happens to collect its garbage.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """The frame written to the shared folder and read back: cuts lineage, keeps columns prunable."""
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    folder = folder or new_folder(df.sparkSession, name)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def passing(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder for a table that nothing reads after the block; it is removed then."""
+    folder = new_folder(spark, name)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def file_bytes(path: str) -> bytes:
     """A small model file, read on the driver and shipped with the tasks."""
     with open(path, "rb") as file:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.common import shuffles_removed
 from tidegrid.session import ensure_checkpoint_dir
 
 
@@ -17,7 +18,9 @@ def components(links: DataFrame) -> DataFrame:
     shuffle, and their joins can be split. Every round ends in a checkpoint.
     """
     ensure_checkpoint_dir(links.sparkSession)
-    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    spark = links.sparkSession
+    with shuffles_removed(spark):
+        edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
     mark = None
     while True:
         both = edges.union(edges.select("b", "a"))
@@ -27,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         low = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
         small = large.join(low, F.col("a") == F.col("node")).select(F.explode(F.array(F.struct(F.col("a"), F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
-        edges = small.select("e.a", "e.b").where("a <> b").distinct().checkpoint()
+        with shuffles_removed(spark):
+            edges = small.select("e.a", "e.b").where("a <> b").distinct().checkpoint()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == mark:
             break

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import WordHashes, join_checked, map_rows, scan, texts
+from tidegrid.llm.common import WordHashes, join_checked, map_rows, scan, shuffles_removed, texts
 
 VOCABULARY = 1 << 18
 BIGRAMS = 1 << 20
@@ -73,7 +73,8 @@ def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int,
     """Items with at least 1 / most of all occurrences (so at most `most` of them),
     their two counts, and the totals of both counts."""
     summed = counts.groupBy("item").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    summed = summed.checkpoint()
+    with shuffles_removed(counts.sparkSession):
+        summed = summed.checkpoint()
     total, wanted = (x or 0 for x in summed.agg(F.sum("background"), F.sum("target")).first())
     kept = summed.where(F.col("background") * F.lit(most) >= F.lit(total)).orderBy("item").toArrow()
     both = np.stack([kept["background"].to_numpy(), kept["target"].to_numpy()]).astype(np.float64)

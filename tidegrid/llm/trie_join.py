@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import WordHashes, gram_hashes, map_rows, mixed, scan, texts, written
+from tidegrid.llm.common import WordHashes, gram_hashes, map_rows, mixed, passing, scan, texts, written
 from tidegrid.llm.components import components
 
 SPARE = 2
@@ -146,11 +146,14 @@ def signed(docs: DataFrame, key: str, text: str, like: Likeness) -> DataFrame:
 
 
 def families(rows: DataFrame) -> DataFrame:
-    """_set, _family of the sets that share a signature with another set."""
+    """_set, _family of the sets that share a signature with another set; computed."""
     signs = rows.select("_set", F.explode("_signs").alias("_sign"))
     hubs = signs.groupBy("_sign").agg(F.min("_set").alias("_hub"), F.max("_set").alias("_other")).where("_hub <> _other")
-    edges = signs.join(hubs.select("_sign", "_hub"), "_sign").where("_set <> _hub").select(F.col("_set").alias("a"), F.col("_hub").alias("b"))
-    return components(edges).select(F.col("node").alias("_set"), F.col("root").alias("_family"))
+    with passing(rows.sparkSession, "sign-hubs") as folder:
+        hubs = written(hubs.select("_sign", "_hub"), "sign-hubs", folder)
+        edges = signs.join(hubs, "_sign").where("_set <> _hub").select(F.col("_set").alias("a"), F.col("_hub").alias("b"))
+        found = components(edges)
+    return found.select(F.col("node").alias("_set"), F.col("root").alias("_family"))
 
 
 class Tree:
@@ -310,9 +313,11 @@ OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n_links", pa.int64())])
 def linked_documents(docs: DataFrame, like: Likeness, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component_id (smallest key), n_links (the
     documents it links with, copies included)."""
-    rows = written(signed(docs, key, text, like), "shingle-signs")
-    narrow = rows.select("_key", "_set", "n_shingles")
-    family = families(rows.where("_set IS NOT NULL"))
+    with passing(docs.sparkSession, "shingle-signs") as folder:
+        rows = written(signed(docs, key, text, like), "shingle-signs", folder)
+        narrow = written(rows.select("_key", "_set", "n_shingles"), "shingle-sets")
+        # ends in a checkpoint, so the signatures have served
+        family = families(rows.where("_set IS NOT NULL"))
     found = written(tree_links(docs, narrow, family, key, text, like), "tree-links")
     roots = components(found.where("b IS NOT NULL").select("a", "b"))
     degrees = found.where("n_links IS NOT NULL").groupBy(F.col("a").alias("_set")).agg(F.sum("n_links").alias("_links"))
