@@ -99,11 +99,14 @@ def brute_links(rows, n: int, num: int):
     return {i: (len(sets[i]), top(i), degree[i]) for i in sets}
 
 
-@pytest.mark.parametrize(("n", "num", "sets", "walkers"), [(3, 90, 800, 128), (5, 80, 800, 128), (3, 50, 4, 3)])
-def test_trie_join_equals_all_pairs(spark, rows, clashing, monkeypatch, n, num, sets, walkers):
+@pytest.mark.parametrize(
+    ("n", "num", "rare", "sets", "walkers"),
+    [(3, 90, False, 800, 128), (5, 80, True, 800, 128), (3, 50, True, 4, 3), (5, 80, False, 4, 128)],
+)
+def test_trie_join_equals_all_pairs(spark, rows, clashing, monkeypatch, n, num, rare, sets, walkers):
     monkeypatch.setattr(trie_join, "BLOCK_SETS", sets)
     monkeypatch.setattr(trie_join, "WALKERS", walkers)
-    out = trie_join.linked_documents(clashing, trie_join.Likeness(n, num, 100)).collect()
+    out = trie_join.linked_documents(clashing, trie_join.Likeness(n, num, 100, rare)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in out} == brute_links(rows, n, num)
     assert len(out) == len(rows)
 
@@ -122,6 +125,26 @@ def test_trie_prunes_and_counts():
     assert found == want
 
 
+@pytest.mark.parametrize(("num", "marked"), [(80, 0.0), (80, 0.4), (90, 0.25), (50, 0.6)])
+def test_linked_sets_share_a_signature(num, marked):
+    """Whatever is called frequent, and however few parts are filled."""
+    rng = np.random.default_rng(num)
+    like = trie_join.Likeness(5, num, 100)
+    signer = trie_join.Signer(like, rng.random(1 << trie_join.BUCKET_BITS) < marked)
+    tried = 0
+    for _ in range(1500):
+        size = int(rng.integers(1, 90))
+        one = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        keep = one[rng.random(len(one)) > rng.uniform(0, 1 - num / 100)]
+        two = np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, int(rng.integers(0, 4)), dtype=np.uint64)]))
+        both = len(np.intersect1d(one, two))
+        if not len(two) or np.array_equal(one, two) or 100 * both < num * (len(one) + len(two) - both):
+            continue
+        tried += 1
+        assert len(np.intersect1d(signer.sign(one), signer.sign(two)))
+    assert tried > 100
+
+
 def test_trie_join_repeated_rows_nulls_and_empty(spark, nothing):
     some = [(1, "a b c d", None, None, 1), (1, "a b c d", None, None, 1), (None, "a b c d", None, None, 1), (None, None, None, None, None)]
     out = trie_join.linked_documents(spark.createDataFrame(some, DOCS), trie_join.Likeness(3, 90, 100)).collect()

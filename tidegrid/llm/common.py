@@ -69,7 +69,7 @@ def texts(column: pa.Array) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    BOUND = 1_000_000
+    BOUND = 500_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.BOUND:

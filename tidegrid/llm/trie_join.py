@@ -6,9 +6,11 @@ from the start, so copies cost one row each.
 
 *Families.* If two sets differ in at most d shingles and the space of shingles is cut
 into more than d parts, the sets agree on some part. Sizes are grouped, so that all sets
-which can link share a number of parts (with SPARE more, so that parts empty in both
-need not count); a set sends one signature per part, and sets that share a signature
-belong to one family. Signatures are counted before the shuffle; a family is a component
+which can link share a number of parts (with SPARE and, where shingles are left out, a
+quarter more, so that parts empty in both need not count); a set sends one signature per part, and sets that share a
+signature belong to one family. Shingles of very common passages would tie unlike sets
+together at low thresholds, so they are found by a counting pass over all texts and left
+out of signatures there. Signatures are counted before the shuffle; a family is a component
 of (set, smallest set with its signature). Linked sets are always in one family. Nothing
 is emitted per pair.
 
@@ -32,6 +34,7 @@ gives an empty result. Columns other than key and text are never read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,10 +45,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import WordHashes, gram_hashes, map_rows, mixed, passing, scan, texts, written
+from tidegrid.llm.common import WordHashes, gram_hashes, map_rows, mixed, passing, scan, slices, texts, written
 from tidegrid.llm.components import components
 
+# Parts more than needed, besides a quarter more: so many may be empty in a set.
 SPARE = 2
+# Buckets of shingle hashes, the parts their counts are added up in, the share of all
+# shingles above which a bucket is frequent, and the share of rare shingles to sign by them.
+BUCKET_BITS = 22
+BUCKET_PARTS = 64
+FREQUENT = 1 << 19
+RARE_SHARE = 0.5
 BLOCK_SETS = 800
 BLOCK_SHINGLES = 400_000
 WALKERS = 128
@@ -58,6 +68,9 @@ class Likeness:
     n: int = 5
     num: int = 80
     den: int = 100
+    # sign by rare shingles: at low thresholds a part holds few shingles, and common
+    # passages would fill some; it takes a counting pass
+    rare: bool = True
 
     def apart(self, x: int, y: int) -> int:
         """The most shingles in which linked sets of these sizes differ."""
@@ -88,19 +101,68 @@ def size_groups(like: Likeness, largest: int) -> list[int]:
     return bounds
 
 
+def bucket_of(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def frequent_buckets(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
+    """Bits of the hash buckets that hold more than 1 / FREQUENT of all shingles.
+
+    Every shingle of every text is counted, in a table of fixed size per task; the
+    tables are added up part by part. Common passages end up in marked buckets.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory, counts = WordHashes(), np.zeros(1 << BUCKET_BITS, np.int32)
+        for batch in batches:
+            for part in slices(batch):
+                found = [shingles(t, like.n, memory) for t in texts(part.column(0))]
+                if found:
+                    at, times = np.unique(bucket_of(np.concatenate(found)), return_counts=True)
+                    counts[at] += times
+        parts = counts.reshape(BUCKET_PARTS, -1)
+        rows = [(k, zlib.compress(p.astype("<i8").tobytes(), 1)) for k, p in enumerate(parts) if p.any()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), PARTS.types)], schema=PARTS)
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(zlib.decompress(x), "<i8") for x in group["counts"].to_pylist())
+        return pa.table([[group["part"][0].as_py()], [zlib.compress(total.tobytes(), 1)]], schema=PARTS)
+
+    rows = docs.select(F.col(text).cast("string")).mapInArrow(count, "part int, counts binary")
+    table = np.zeros((BUCKET_PARTS, (1 << BUCKET_BITS) // BUCKET_PARTS), np.int64)
+    # BUCKET_PARTS rows, of a size that does not depend on the data
+    for row in rows.groupBy("part").applyInArrow(add, "part int, counts binary").collect():
+        table[row["part"]] = np.frombuffer(zlib.decompress(bytes(row["counts"])), "<i8")
+    return table.ravel() > max(1.0, table.sum() / FREQUENT)
+
+
 class Signer:
-    """Signatures of sets."""
+    """Signatures of sets, taken from their rare shingles.
+
+    Leaving frequent shingles out of both sets does not make them differ in more. A set
+    with few rare ones is signed by all of its shingles instead; the shares of rare ones
+    of two linked sets differ by at most 1 - threshold, so sets between the two cases,
+    which are signed both ways, keep every link.
+    """
 
-    def __init__(self, like: Likeness) -> None:
-        self.like, self.bounds = like, size_groups(like, 1 << 40)
+    def __init__(self, like: Likeness, frequent: np.ndarray | None = None) -> None:
+        self.like, self.bounds, self.frequent = like, size_groups(like, 1 << 40), frequent
 
     def sign(self, grams: np.ndarray) -> np.ndarray:
         size = len(grams)
+        rare = grams if self.frequent is None else grams[~self.frequent[bucket_of(grams)]]
         group = int(np.searchsorted(self.bounds, size, "right")) - 1
-        out = [self.in_group(grams, group)]
+        groups = [group]
         # a partner of the next group must be close enough in size
         if size * self.like.den >= self.bounds[group + 1] * self.like.num:
-            out.append(self.in_group(grams, group + 1))
+            groups.append(group + 1)
+        out = []
+        share, apart = len(rare) / size, 1 - self.like.num / self.like.den
+        if share >= RARE_SHARE:
+            out += [self.in_group(rare, g) for g in groups]
+        if share < RARE_SHARE + apart + 1e-9 and self.frequent is not None:
+            out += [mixed(self.in_group(grams, g) + np.uint64(1)) for g in groups]
         return np.concatenate(out)
 
     def in_group(self, grams: np.ndarray, group: int) -> np.ndarray:
@@ -109,13 +171,14 @@ class Signer:
         apart = self.like.apart(top, top)
         if apart == 0:
             return np.empty(0, np.uint64)
-        parts = apart + 1 + SPARE
+        spare = SPARE + (apart // 4 if self.like.rare else 0)
+        parts = apart + 1 + spare
         part = (mixed(grams + np.uint64(group + 1)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         part = part[order]
         used, first = np.unique(part, return_index=True)
         sums = np.add.reduceat(mixed(grams[order]), first)
-        if parts - len(used) > SPARE:
+        if parts - len(used) > spare:
             whole = np.zeros(parts, np.uint64)
             whole[used] = sums
             used, sums = np.arange(parts), whole
@@ -126,9 +189,12 @@ class Signer:
 def signed(docs: DataFrame, key: str, text: str, like: Likeness) -> DataFrame:
     """_key, _set (null for an empty set), n_shingles, _signs."""
     dtype = docs.schema[key].dataType
+    bits = np.packbits(frequent_buckets(docs, text, like)) if like.rare else None
+    frequent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def make():
-        memory, signer = WordHashes(), Signer(like)
+        bits = frequent.value
+        memory, signer = WordHashes(), Signer(like, None if bits is None else np.unpackbits(bits).astype(bool))
 
         def work(columns):
             keys, column = columns
@@ -307,6 +373,7 @@ def tree_links(docs: DataFrame, rows: DataFrame, family: DataFrame, key: str, te
     return paired.groupBy("_family", "_i", "_j").applyInArrow(join, "a long, b long, n_links long")
 
 
+PARTS = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n_links", pa.int64())])
 
 
@@ -343,7 +410,7 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id",
 
 
 def op1_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked_documents(scan(spark, sf_dir, "documents"), Likeness(3, 90, 100))
+    return linked_documents(scan(spark, sf_dir, "documents"), Likeness(3, 90, 100, rare=False))
 
 
 ORACLE = r"""
