@@ -36,6 +36,7 @@ RANK = 8
 EPOCHS = 6
 BATCH = 128
 SEED = 20261
+SCORED_AT_ONCE = 500
 
 
 def structure(c, length: int | None) -> list[int]:
@@ -214,8 +215,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         if not holder:
             holder["use"] = WordHashes(), Machine.from_bytes(shipped.value)
         memory, machine = holder["use"]
-        made = [features((t or "").encode(), None if pd.isna(n) else int(n), memory) for t, n in zip(column, lengths)]
-        return pd.Series(machine.score(*end_to_end(made)) >= 0.5 if made else [], dtype=bool)
+        good_rows: list[bool] = []
+        # a few texts at a time, since scoring widens each feature to RANK numbers
+        for at in range(0, len(column), SCORED_AT_ONCE):
+            part = zip(column[at : at + SCORED_AT_ONCE], lengths[at : at + SCORED_AT_ONCE])
+            made = [features((t or "").encode(), None if pd.isna(n) else int(n), memory) for t, n in part]
+            good_rows += (machine.score(*end_to_end(made)) >= 0.5).tolist()
+        return pd.Series(good_rows, dtype=bool)
 
     return docs.where(good(F.col(text).cast("string"), F.col(length).cast("long")))
 
