@@ -278,6 +278,36 @@ def test_language_model_counts_equal_brute_force(spark, rows, docs):
     assert len(models.pairs) == len({p for d in words for p in zip(["<s>", *d], d)})
 
 
+def test_language_model_keeps_rare_words_and_pairs(spark, monkeypatch):
+    """Far over 2^20 words in all, so that whatever occurs once or twice has a tiny share."""
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", 1 << 16)
+    rng = random.Random(5)
+    some = vocabulary(rng, 300)
+    given = [(0, "the " * 1_200_000)] + [(i, " ".join(["the", *(rng.choice(some[: 300 if i % 2 else 200]) for _ in range(30))])) for i in range(1, 61)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(4, "doc_id")
+    models = lm_score.fit(docs, docs.where("doc_id % 2 = 0"), "doc_id", "text")
+    sides = ([t.split() for _, t in given], [t.split() for i, t in given if i % 2 == 0])
+    ones, firsts, twos = ([collections.Counter(x for d in side for x in f(d)) for side in sides] for f in (list, lambda d: ["<s>", *d[:-1]], lambda d: zip(["<s>", *d], d)))
+    n, v = [sum(c.values()) for c in ones], len(ones[0])
+
+    def loss(words, side):
+        scale = (n[1] / n[0], 1.0)[side]
+        total = 0.0
+        for a, b in zip(["<s>", *words], words):
+            share = (ones[side][b] * scale + 1) / (n[side] * scale + v + 1)
+            total -= np.log((twos[side][a, b] * scale + lm_score.M * share) / (firsts[side][a] * scale + lm_score.M))
+        return total / len(words)
+
+    assert len(models.words) == v and len(models.pairs) == len(twos[0])
+    unseen = [(100, "the never-seen " + some[250]), (101, some[0])]
+    texts = dict(given + unseen)
+    for asked in (docs, spark.createDataFrame(unseen, docs.schema)):
+        for r in lm_score.score(asked, models, "doc_id", "text").collect():
+            words = texts[r.doc_id].split()
+            assert r.n_words == len(words)
+            assert (r.loss_background, r.loss_target) == pytest.approx((loss(words, 0), loss(words, 1)), rel=1e-9)
+
+
 def test_token_shards_hold_every_document(spark, rows, clashing, nothing):
     model = public_tokenizers.path("word_bpe_49k.json")
     key_type = clashing.schema["doc_id"].dataType
