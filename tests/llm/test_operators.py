@@ -229,6 +229,23 @@ def test_pairwise_term_equals_the_double_sum():
     assert raw == pytest.approx(want, rel=1e-4)
 
 
+def test_classifier_learns_from_one_row_of_a_key(spark, docs, monkeypatch):
+    labels = docs.where("doc_id IS NOT NULL").selectExpr("doc_id", "cast(doc_id % 2 AS int) AS quality", "0 AS toxic")
+    made = []
+    into_one = type(docs).repartition
+
+    def seen(frame, *how):
+        made.append(frame)
+        return into_one(frame, *how)
+
+    monkeypatch.setattr(type(docs), "repartition", seen)
+    monkeypatch.setattr(type(docs), "coalesce", lambda *_: pytest.fail("features made in the fitting task"))
+    once = fm_quality.fit(docs, labels, "doc_id", "text", "n_chars")
+    repeated = docs.union(docs).union(docs.where("doc_id = 3"))
+    assert fm_quality.fit(repeated, labels, "doc_id", "text", "n_chars") == once
+    assert made[0].count() == made[1].count() == labels.where(~fm_quality.held_out("doc_id")).count()
+
+
 def test_url_filter_cases(spark):
     urls = [None, "", "example.com/en/", "HTTP://WWW.Example.COM/en/x?q#f", "https://a.b.example.com/en/", "http://example.com/english", "http://net/es/", "x://a.net/fr/1", "x://anet/fr/", "x://com", "x://com?/", "x://a.com//en/", "x://y#/://z"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")

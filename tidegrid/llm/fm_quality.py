@@ -12,8 +12,8 @@ rows are made in parallel; one task fits the model, whose size is fixed.
 
 Defined cases: null and empty texts have no words and are scored by their structure;
 a null key is not held out; labels of one document given twice count once, as bad if any
-is bad; null labels are ignored; without labelled rows every score is 0.5. Repeated rows
-are scored one by one. Columns other than key, text and length are never read.
+is bad; null labels are ignored; without labelled rows every score is 0.5. Of rows that
+repeat a labelled key one is learned from; all are scored one by one. Columns other than key, text and length are never read.
 """
 
 from __future__ import annotations
@@ -159,7 +159,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, length: str, tr
         return work
 
     arrow = pa.schema([("_key", pa.string()), ("slots", pa.binary()), ("vals", pa.binary()), ("mark", pa.int32())])
-    made = map_rows(rows.select("_key", "_text", "_length", "_mark"), make, "_key string, slots binary, vals binary, mark int", arrow)
+    # of rows that share a labelled key, the one of least text and length is learned from,
+    # so that no more than train_rows rows reach the fitting task
+    first = F.min(F.struct("_text", "_length")).alias("_first")
+    rows = rows.groupBy("_key", "_mark").agg(first).select("_key", "_first._text", "_first._length", "_mark")
+    made = map_rows(rows, make, "_key string, slots binary, vals binary, mark int", arrow)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = [r for b in batches for r in b.to_pylist()]
@@ -173,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, length: str, tr
             model = Machine(0.0, machine.linear, np.zeros_like(machine.factors)).to_bytes()
         yield pa.RecordBatch.from_pydict({"model": [model]})
 
-    return bytes(made.coalesce(1).mapInArrow(learn, "model binary").first()["model"])
+    # a shuffle before the one fitting task: scan, join and features stay parallel
+    return bytes(made.repartition(1).mapInArrow(learn, "model binary").first()["model"])
 
 
 def score(docs: DataFrame, model: bytes, key: str, text: str, length: str) -> DataFrame:
