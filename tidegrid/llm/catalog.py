@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, lm_score, poisson_mix, quality_rules, suffix_dedup, token_store, trie_join, url_filters
+from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, lm_score, periodic_runs, poisson_mix, quality_rules, suffix_dedup, token_store, trie_join, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_poisson_mix": poisson_mix.op9_poisson_mix,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 ORACLES: dict[str, str] = {
     "op1_trie_join": trie_join.ORACLE,
