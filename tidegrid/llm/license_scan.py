@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.common import scan, written
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[0-9A-Za-z\x80-\x{10FFFF}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Words looked up per file, words per bin of beginnings, and the share of a template's
@@ -173,16 +173,19 @@ def postings_column(postings: list[list[tuple[int, int]]]) -> Column:
 
 def license_words(docs: DataFrame, key: str, text: str, index: Index) -> DataFrame:
     """_row, _key, n_words, hits (word, place) and phrases (phrase, place) of each row."""
-    lowered = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER)
-    words = F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD), F.lit(0))
     split = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), words.alias("_words"))
-    places = F.array_compact(F.transform("_words", lambda w, i: F.when(w.isin(index.words), i)))
+    # lower() is quick, but it also lowers letters beyond ASCII: the few words it finds are
+    # looked up as they are in A-Z
+    places = F.array_compact(F.transform("_words", lambda w, i: F.when(F.lower(w).isin(index.words), i)))
     names = array(index.words, "string")
 
     def hit(i: Column) -> Column:
-        return F.struct((F.array_position(names, F.get("_words", i)) - 1).cast("int").alias("word"), i.alias("place"))
+        word = F.translate(F.get("_words", i), UPPER, LOWER)
+        return F.struct((F.array_position(names, word) - 1).cast("int").alias("word"), i.alias("place"))
 
-    noted = split.select("_row", "_key", F.size("_words").cast("long").alias("n_words"), F.transform(places, hit).alias("hits"))
+    known = F.filter(F.transform(places, hit), lambda h: h["word"] >= 0)
+    noted = split.select("_row", "_key", F.size("_words").cast("long").alias("n_words"), known.alias("hits"))
 
     def starts(number: int, spelled: list[int]) -> Column:
         def here(h: Column, i: Column) -> Column:
@@ -289,7 +292,7 @@ postings AS (
   WHERE array_to_string(s.w[place + 1 : place + len(string_split(n.phrase, ' '))], ' ') = n.phrase
 ), files AS (
   SELECT row_number() OVER () AS r, doc_id,
-         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
   FROM documents
 ), words AS (
   SELECT r, unnest(w) AS word, unnest(range(len(w))) AS place FROM files
