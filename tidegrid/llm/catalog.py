@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, license_scan, lm_score, periodic_runs, poisson_mix, quality_rules, suffix_dedup, token_store, trie_join, url_filters
+from tidegrid.llm import block_neighbours, byte_bpe, fm_quality, license_scan, lm_score, periodic_runs, poisson_mix, prefix_trie, quality_rules, suffix_dedup, token_store, trie_join, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_poisson_mix": poisson_mix.op9_poisson_mix,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_license_scan": license_scan.op12_license_scan,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
@@ -29,5 +30,6 @@ ORACLES: dict[str, str] = {
     "op3_url_filters": url_filters.ORACLE,
     "op7_block_neighbours": block_neighbours.ORACLE,
     "op9_poisson_mix": poisson_mix.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op12_license_scan": license_scan.ORACLE,
 }
