@@ -7,7 +7,8 @@ import pytest
 
 from tidegrid.grid import Grid
 from tidegrid.operators.encoding import encode, fit_encoding, rank_in_ranges
-from tidegrid.operators.gaps import fill_seasonal, interpolate
+from tidegrid.operators import gaps
+from tidegrid.operators.gaps import counted_medians, fill_seasonal, interpolate
 from tidegrid.operators.naming import drop_columns, normalize_columns, resolve_target
 from tidegrid.operators.regrid import (
     collapse_duplicates,
@@ -146,6 +147,52 @@ def test_seasonal_fill_tiers(spark):
     assert filled["b", at(2022, 3, 1)] is None
 
 
+def test_counted_medians_of_groups_cut_into_ranges(spark):
+    rng = random.Random(9)
+    groups = {
+        "long": [rng.gauss(0, 5) for _ in range(6001)],
+        "even": [rng.random() for _ in range(4000)],
+        "ties": [float(rng.randrange(3)) for _ in range(2000)],
+        "halves": [-1.0] * 500 + [3.0] * 500,
+        "one": [4.5],
+        "two": [1.0, 2.0],
+    }
+    rows = [(name, v) for name, values in groups.items() for v in values]
+    counts = spark.createDataFrame(rows, "k string, v double").groupBy("k", "v").count()
+    got = counted_medians(counts.repartition(5), ["k"], "v", "count").collect()
+    assert {r.k: r["median"] for r in got} == {k: pytest.approx(np.median(v), abs=1e-12) for k, v in groups.items()}
+    assert counted_medians(counts.limit(0), ["k"], "v", "count").count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+def test_seasonal_fill_equals_pandas(spark, monkeypatch, broadcast):
+    """Two columns with different holes, ten-minute cells, three Januaries."""
+    monkeypatch.setattr(gaps, "MAX_BROADCAST_SEASONS", broadcast)
+    rng = random.Random(2)
+    days = [dt.datetime(year, 1, 1) + dt.timedelta(minutes=10 * k) for year in (2020, 2021, 2023) for k in range(700)]
+    frame = pd.DataFrame({"ts": days, "series_id": "a"})
+    for c, share in (("target", 0.5), ("aux", 0.01)):
+        frame[c] = [None if rng.random() < share else rng.random() for _ in days]
+    frame.loc[(frame.ts.dt.hour == 7), "target"] = None
+    season = [frame.ts.dt.month, frame.ts.dt.hour]
+    wanted = frame.copy()
+    for c in ("target", "aux"):
+        fine = frame.groupby([*season, frame.ts.dt.day])[c].transform("median")
+        wanted[c] = frame[c].fillna(fine).fillna(frame.groupby(season)[c].transform("median"))
+    rows = [(s, t.to_pydatetime(), *(None if pd.isna(x) else x for x in v)) for t, s, *v in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, SCHEMA + ", aux double")
+    filled = fill_seasonal(df, ["target", "aux"], Grid(freq_seconds=600)).orderBy("ts").toPandas()
+    for c in ("target", "aux"):
+        np.testing.assert_allclose(filled[c].astype(float), wanted[c].astype(float), rtol=1e-12)
+    assert filled.target.isna().sum() == (wanted.ts.dt.hour == 7).sum()
+
+
+def test_seasonal_fill_without_holes_is_the_table(spark):
+    df = series(spark, [1.0, 2.0])
+    assert values_of(fill_seasonal(df, ["target"])) == [1.0, 2.0]
+    assert fill_seasonal(df.limit(0), ["target"]).count() == 0
+
+
 def test_encoding_orders_strings_and_knows_missing(spark):
     df = spark.createDataFrame([("10",), ("2",), (None,), ("2",)], "code string")
     encoding = fit_encoding(df, "code")

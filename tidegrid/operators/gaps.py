@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +12,13 @@ from pyspark.sql.window import Window
 
 from tidegrid.grid import Grid, named
 from tidegrid.operators.regrid import grid_cells
+from tidegrid.session import settle
 
 DEFAULT_LIMIT = 24
+# Seasons of a long series hold many cells; their joins are dealt out by this many salts.
+SEASON_SALTS = 8
+# Up to this many seasons with a hole are matched by a broadcast table.
+MAX_BROADCAST_SEASONS = 100_000
 
 
 def interpolate(
@@ -85,40 +92,107 @@ def fill_seasonal(
     hold the cells present on entry, so the outcome does not depend on the order
     of visits. On a grid a missing cell is never in its own pool.
 
-    Both medians are windows behind one shuffle by (series, month, hour); the
-    finer one only adds the day to the sort. A pool holds at most 31 cells per
-    year and cell of the hour, however large the table is.
+    Cells are never brought together by season. The values of the seasons that have a
+    hole are counted first, and medians are picked from the counts (see
+    :func:`counted_medians`); only cells with a hole meet their medians again. The
+    table is settled, since it is read for the holes, the counts and the result.
     """
+    table = settle(df.select(*[named(c).cast("double").alias(c) if c in columns else named(c) for c in df.columns]))
+    season = [grid.series, "_month", "_hour"]
+    hole = reduce(or_, [named(c).isNull() for c in columns], F.lit(False))
+    holes = _with_season(table.filter(hole), grid)
+    flags = [F.max(named(c).isNull()).alias(f"_hole{i}") for i, c in enumerate(columns)]
+    needs = settle(holes.groupBy(*season).agg(*flags))
+    if not (same_day or same_month_hour) or needs.isEmpty():
+        return table
+    counts = settle(_value_counts(table, columns, grid, needs))
+    filled, tiers = holes, []
+    for wanted, keys, name in (
+        (same_day, [*season, "_day"], "_fine"),
+        (same_month_hour, season, "_coarse"),
+    ):
+        if wanted:
+            medians = counted_medians(counts, [*keys, "_column"])
+            wide = medians.groupBy(*keys).agg(
+                *[F.max(F.when(F.col("_column") == i, F.col("median"))).alias(f"{name}{i}") for i in range(len(columns))]
+            )
+            filled = _join_salted(filled, wide, keys, "left", grid)
+            tiers.append(name)
+    position = {c: i for i, c in enumerate(columns)}
+
+    def value(c: str) -> Column:
+        if c not in position:
+            return named(c)
+        return F.coalesce(named(c), *[F.col(f"{t}{position[c]}") for t in tiers]).alias(c)
+
+    return table.filter(~hole).unionByName(filled.select(*[value(c) for c in df.columns]))
+
+
+def _with_season(df: DataFrame, grid: Grid) -> DataFrame:
     ts = F.col(grid.ts)
-    # ordering the coarse pool by day lets its sort serve the finer window too
-    coarse = (
-        Window.partitionBy(grid.series, "_month", "_hour")
-        .orderBy("_day")
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    season = (F.month(ts).alias("_month"), F.hour(ts).alias("_hour"), F.dayofmonth(ts).alias("_day"))
+    return df.select("*", *season)
+
+
+def _join_salted(cells: DataFrame, table: DataFrame, keys: Sequence[str], how: str, grid: Grid) -> DataFrame:
+    """Join cells with a table of one row per season, whose rows are copied to each salt."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SEASON_SALTS - 1)))
+    salt = F.pmod(F.xxhash64(grid.ts), F.lit(SEASON_SALTS)).cast("int")
+    on = [*keys, "_salt"]
+    return cells.withColumn("_salt", salt).join(table.withColumn("_salt", salts), on, how).drop("_salt")
+
+
+def _value_counts(table: DataFrame, columns: Sequence[str], grid: Grid, needs: DataFrame) -> DataFrame:
+    """How often each value occurs per season and day, for columns with a hole in that season."""
+    season = [grid.series, "_month", "_hour"]
+    cells = _with_season(table, grid).select(*season, "_day", grid.ts, *[named(c).alias(f"_v{i}") for i, c in enumerate(columns)])
+    if needs.limit(MAX_BROADCAST_SEASONS + 1).count() <= MAX_BROADCAST_SEASONS:
+        pool = cells.join(F.broadcast(needs), season)
+    else:
+        pool = _join_salted(cells, needs, season, "inner", grid)
+    entries = F.array(
+        *[
+            F.struct(F.lit(i).alias("_column"), F.when(F.col(f"_hole{i}"), F.col(f"_v{i}").cast("double")).alias("_value"))
+            for i in range(len(columns))
+        ]
     )
-    fine = Window.partitionBy(grid.series, "_month", "_hour", "_day")
-    keyed = df.select(
-        "*",
-        F.month(ts).alias("_month"),
-        F.dayofmonth(ts).alias("_day"),
-        F.hour(ts).alias("_hour"),
-    ).repartition(grid.series, "_month", "_hour")
-    table = keyed
-    for wanted, window, name in ((same_day, fine, "_fine"), (same_month_hour, coarse, "_coarse")):
-        if wanted:
-            medians = [
-                F.percentile(named(c), F.lit(0.5)).over(window).alias(f"{name}{i}")
-                for i, c in enumerate(columns)
-            ]
-            table = table.select("*", *medians)
-
-    def filled(i: int, c: str) -> Column:
-        tiers = [named(c)]
-        tiers += [F.col(f"_fine{i}")] if same_day else []
-        tiers += [F.col(f"_coarse{i}")] if same_month_hour else []
-        return F.coalesce(*tiers).alias(c)
+    melted = pool.select(*season, "_day", F.explode(entries).alias("e")).select(*season, "_day", "e.*")
+    return melted.filter(F.col("_value").isNotNull()).groupBy(*season, "_day", "_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
 
-    position = {c: i for i, c in enumerate(columns)}
-    return table.select(
-        *[filled(position[c], c) if c in position else named(c) for c in df.columns]
+
+def counted_medians(counts: DataFrame, keys: Sequence[str], value: str = "_value", n: str = "_n") -> DataFrame:
+    """The median of each group, from a table of its values with their numbers.
+
+    Values are sorted by group and value in ranges, which cut a long group wherever it is
+    long. Subtotals tell in which ranges a group's two middle ranks lie, and running
+    counts within those ranges which values have them. No task holds a whole group.
+    """
+    keys = list(keys)
+    values = counts.groupBy(*keys, value).agg(F.sum(n).alias(n))
+    order = [*keys, value]
+    ranged = settle(
+        values.repartitionByRange(*order).select(*order, n, F.spark_partition_id().alias("_part"))
     )
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy(*keys, "_part").agg(F.sum(n).alias("_rows"))
+    placed = parts.select(
+        *keys,
+        "_part",
+        "_rows",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(whole).alias("_all"),
+    )
+    # the two middle ranks are one where the number is odd
+    placed = placed.select("*", F.expr("(_all + 1) div 2").alias("_low"), F.expr("_all div 2 + 1").alias("_high"))
+    middle = placed.filter((F.col("_before") < F.col("_high")) & (F.col("_before") + F.col("_rows") >= F.col("_low")))
+    running = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranged.join(middle.drop("_rows", "_all"), [*keys, "_part"]).withColumn(
+        "_upto", F.col("_before") + F.sum(n).over(running)
+    )
+
+    def at(rank: str) -> Column:
+        here = (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col(n) < F.col(rank))
+        return F.min(F.when(here, F.col(value)))
+
+    return ranked.groupBy(*keys).agg(((at("_low") + at("_high")) / 2).alias("median"))
