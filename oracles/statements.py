@@ -398,6 +398,26 @@ ORACLES["clean_readings_daily"] = with_ctes(
     [*DAILY_GAPS, *seasonal(["target"], [])], TARGET_ONLY
 )
 
+DELIVERED = [
+    ("hourly", READINGS_HOURLY[1]),
+    (
+        "delivered",
+        """SELECT series_id AS "station name", target AS "pm2_5 (μg/m³)", aux AS "wind speed ()", weather_code,
+       unnest(CASE WHEN weather_code = '0' THEN [CAST(ts AS VARCHAR), 'soon'] ELSE [CAST(ts AS VARCHAR)] END) AS time
+FROM hourly""",
+    ),
+    (
+        "readings",
+        """SELECT "station name" AS series_id, TRY_CAST(time AS TIMESTAMP) AS ts, "pm2_5 (μg/m³)" AS target,
+       "wind speed ()" AS aux, weather_code
+FROM delivered WHERE TRY_CAST(time AS TIMESTAMP) IS NOT NULL""",
+    ),
+]
+ORACLES["clean_raw"] = with_ctes(
+    [*DELIVERED, *CLEAN_HOURLY[1:]],
+    f"""SELECT series_id, ts, {r6('target')} AS "pm2_5_(μg/m³)", {r6('aux', 'wind_speed')}, weather_code FROM clean""",
+)
+
 # --- queries: features ----------------------------------------------------------------------------------
 
 ORACLES["calendar_features"] = with_ctes(

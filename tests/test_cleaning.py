@@ -17,7 +17,7 @@ from tidegrid.operators.regrid import (
     regrid,
     snap_regular_offset,
 )
-from tidegrid.plans.cleaning import clean_readings
+from tidegrid.plans.cleaning import clean_raw, clean_readings
 from tidegrid.sources.readings import as_series, scan_readings
 
 START = dt.datetime(2024, 1, 1)
@@ -219,6 +219,49 @@ def test_clean_encodes_holes_and_leaves_no_gap(spark):
     assert {r.label: r.code for r in encoding.collect()} == {"5": 0, "nan": 1}
 
 
+def counting(df, seen):
+    """The frame, adding the rows that are read from it to an accumulator."""
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema)
+
+
+def test_cleaning_reads_the_readings_twice(spark):
+    rows = [("a", hours(i), float(i), str(i % 3)) for i in range(0, 200, 1 + 2)]
+    df = spark.createDataFrame(rows, SCHEMA + ", weather_code string")
+    seen = spark.sparkContext.accumulator(0)
+    cleaned, _ = clean_readings(counting(df, seen), Grid(chunk_cells=16))
+    assert cleaned.count() == 199
+    assert seen.value == 2 * len(rows)
+
+
+def test_cleaning_snaps_and_encodes_shifted_series(spark):
+    """A shifted series is moved before it is laid on the grid; its labels count too."""
+    rows = [("a", hours(i, 30), float(i) if i != 4 else None, "s") for i in range(9)]
+    rows += [("b", hours(i), float(i), "g") for i in (0, 1, 4)]
+    rows += [("b", hours(2, 17), 99.0, "off")]
+    df = spark.createDataFrame(rows, SCHEMA + ", weather_code string")
+    cleaned, encoding = clean_readings(df, Grid(chunk_cells=3))
+    assert {r.label: r.code for r in encoding.collect()} == {"g": 0, "nan": 1, "s": 2}
+    got = {(r.series_id, r.ts): (r.target, r.weather_code) for r in cleaned.collect()}
+    assert {k: v for k, v in got.items() if k[0] == "a"} == {("a", hours(i)): (float(i), 2) for i in range(9)}
+    assert {k: v for k, v in got.items() if k[0] == "b"} == {("b", hours(i)): (float(i), 1 if i in (2, 3) else 0) for i in range(5)}
+
+
+def test_clean_raw_repairs_names_and_times(spark):
+    rows = [("2024-01-01 00:00:00", 1.0, "5"), ("never", 7.0, "6"), ("2024-01-01 02:00:00", 3.0, "5")]
+    raw = spark.createDataFrame(rows, "time string, `pm2_5 (μg/m³)` double, `weather_code ()` string")
+    cleaned, encoding = clean_raw(raw)
+    assert [tuple(r) for r in cleaned.select("series_id", "ts", "`pm2_5_(μg/m³)`", "weather_code").orderBy("ts").collect()] == [
+        ("all", hours(0), 1.0, 0), ("all", hours(1), 2.0, 1), ("all", hours(2), 3.0, 0),
+    ]
+    assert encoding.count() == 2
+
+
 def test_no_single_partition(spark, capsys):
     df = series(spark, [1.0, 2.0, 3.0])
     interpolate(df, ["target"]).explain()

@@ -31,7 +31,7 @@ from tidegrid.operators.scaling import (
 )
 from tidegrid.operators.sequences import sequence_windows
 from tidegrid.operators.splitting import cv_folds, time_split
-from tidegrid.plans.cleaning import clean_readings
+from tidegrid.plans.cleaning import clean_raw, clean_readings
 from tidegrid.plans.dataset import prepare_dataset, transform_new
 from tidegrid.plans.monitoring import monitoring_report, report_long
 from tidegrid.session import settle
@@ -181,6 +181,13 @@ def clean_readings_daily(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(clean_readings(df, DAILY, DAILY_LIMIT)[0])
 
 
+@query
+def clean_raw_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole chain from names with units and times as text."""
+    raw = data.readings_delivered(spark, sf)
+    return rounded(clean_raw(raw, HOURLY, series="station_name")[0])
+
+
 # --- features ---------------------------------------------------------------------------
 
 

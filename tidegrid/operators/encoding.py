@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegrid.grid import named
+from tidegrid.operators.regrid import MISSING_LABEL, label_of
 
 # Up to this many categories are ranked on the driver and broadcast. More are
 # ranked in ranges by the cluster and joined as Spark sees fit.
 MAX_SMALL_ENCODING = 10_000
 RANGE_SPLITS = 1_000
-MISSING_LABEL = "nan"
 UNSEEN_CODE = -1
 # Keys the holes of a grid are spread over in the join.
 HOLE_SPREAD = 1_000
@@ -23,19 +23,19 @@ def weather_column(columns: list[str]) -> str | None:
     return next((c for c in columns if c.startswith("weather_code")), None)
 
 
-def _label(column: str) -> Column:
-    return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(MISSING_LABEL))
-
-
 def fit_encoding(df: DataFrame, column: str, with_missing: bool = False) -> DataFrame:
     """Table ``(label, code)``: codes 0.. in string order; missing is the label 'nan'.
 
     ``with_missing`` adds that label also if no row of ``df`` is missing, for a
     frame that has yet to be laid on the grid.
     """
-    labels = df.select(_label(column).alias("label")).distinct()
+    return rank_labels(df.select(label_of(column).alias("label")).distinct(), with_missing)
+
+
+def rank_labels(labels: DataFrame, with_missing: bool = False) -> DataFrame:
+    """:func:`fit_encoding` of a table of distinct labels."""
     if with_missing:
-        missing = df.sparkSession.range(1).select(F.lit(MISSING_LABEL).alias("label"))
+        missing = labels.sparkSession.range(1).select(F.lit(MISSING_LABEL).alias("label"))
         labels = labels.unionByName(missing).distinct()
     found = [r["label"] for r in labels.limit(MAX_SMALL_ENCODING + 1).collect()]
     if len(found) > MAX_SMALL_ENCODING:
@@ -43,7 +43,7 @@ def fit_encoding(df: DataFrame, column: str, with_missing: bool = False) -> Data
     # Spark orders strings by their UTF-8 bytes
     ordered = sorted(found, key=lambda label: label.encode())
     rows = [(label, code) for code, label in enumerate(ordered)]
-    return F.broadcast(df.sparkSession.createDataFrame(rows, "label string, code int"))
+    return F.broadcast(labels.sparkSession.createDataFrame(rows, "label string, code int"))
 
 
 def rank_in_ranges(labels: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def encode(
     # all holes of a sparse grid carry the missing label: its code comes from one row, and
     # for the join each hole gets one of many keys that match nothing
     missing = encoding.filter(F.col("label") == MISSING_LABEL).agg(F.max("code").alias("_missing"))
-    label = _label(column)
+    label = label_of(column)
     hole = label == MISSING_LABEL
     nothing = F.concat(F.lit("\u0000"), F.pmod(F.hash(*map(named, df.columns)), F.lit(HOLE_SPREAD)).cast("string"))
     keyed = df.withColumn("_hole", hole).withColumn("_label", F.when(hole, nothing).otherwise(label))

@@ -26,12 +26,14 @@ def interpolate(
     columns: Sequence[str],
     grid: Grid = Grid(),
     limit: int = DEFAULT_LIMIT,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """Lay readings on the grid and fill short gaps along the line between neighbours.
 
     The first ``limit`` cells of a gap are filled; a gap at the end repeats the
     last value up to ``limit``; cells before the first value stay empty. Rows that
     already lie on the grid are fine as input: missing cells are simply added.
+    ``summary`` is a :func:`chunk_summary` of the readings that carries the same columns.
     """
     values = [c for c in df.columns if c not in (grid.series, grid.ts)]
     typed = df.select(
@@ -39,7 +41,7 @@ def interpolate(
         grid.ts,
         *[named(c).cast("double").alias(c) if c in columns else named(c) for c in values],
     )
-    cells = grid_cells(typed, grid, carry=list(columns))
+    cells = grid_cells(typed, grid, list(columns), summary)
     chunk = Window.partitionBy(grid.series, "_chunk")
     # a growing frame costs one step per row; a shrinking one would rescan the
     # chunk for every row, so "next" is read as "last" in descending order

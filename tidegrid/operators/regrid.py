@@ -13,6 +13,8 @@ from tidegrid.grid import Grid, named
 
 # Up to this many shifted series are matched by a broadcast table.
 MAX_BROADCAST_SERIES = 100_000
+# Fixed value: the label of a missing category.
+MISSING_LABEL = "nan"
 
 
 def parse_time(df: DataFrame, text: str, ts: str = "ts", fmt: str | None = None) -> DataFrame:
@@ -65,38 +67,92 @@ def collapse_duplicates(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     return df.groupBy(grid.series, grid.ts).agg(*aggregates)
 
 
+def chunk_summary(
+    df: DataFrame, grid: Grid = Grid(), carry: Sequence[str] = (), label: str | None = None
+) -> DataFrame:
+    """What cleaning needs to know beforehand, in one pass over the readings.
+
+    One row per series, chunk and whether the readings lie ``_on`` the grid: their
+    number, first and last cell, least and greatest offset, and for each column in
+    ``carry`` the first and last present value with their cells (``_lo0``, ``_hi0``...).
+    With ``label`` come rows without a series, one per distinct label on the grid.
+    """
+    cell = grid.cell()
+    at = [F.when(named(c).isNotNull(), F.col("_cell")) for c in carry]
+    # plain minima and maxima have buffers of fixed width, so the partial aggregate
+    # hashes; of structs or sets it would sort all readings first
+    ends = []
+    for i, c in enumerate(carry):
+        ends += [
+            F.min(at[i]).alias(f"_lo_at{i}"),
+            F.min_by(named(c), at[i]).alias(f"_lo_v{i}"),
+            F.max(at[i]).alias(f"_hi_at{i}"),
+            F.max_by(named(c), at[i]).alias(f"_hi_v{i}"),
+        ]
+    facts = [
+        F.count(F.lit(1)).alias("n"),
+        F.min("_cell").alias("lo"),
+        F.max("_cell").alias("hi"),
+        F.min("_offset").alias("least"),
+        F.max("_offset").alias("most"),
+        *ends,
+    ]
+    timed = df.filter(F.col(grid.ts).isNotNull() & F.col(grid.series).isNotNull()).select(
+        F.col(grid.series),
+        grid.chunk(cell).alias("_chunk"),
+        grid.on_grid().alias("_on"),
+        cell.alias("_cell"),
+        grid.offset().alias("_offset"),
+        *[named(c) for c in carry],
+        *([F.when(grid.on_grid(), label_of(label)).alias("_label")] if label else []),
+    )
+    place = [grid.series, "_chunk", "_on"]
+    if not label:
+        return timed.groupBy(*place).agg(*facts)
+    return timed.groupingSets([place, ["_label"]], *place, "_label").agg(*facts)
+
+
+def label_of(column: str) -> Column:
+    """The label of a category; a missing one is a label too."""
+    return F.coalesce(named(column).cast("string"), F.lit(MISSING_LABEL))
+
+
 def series_extent(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     """Per series: first and last cell, rows on the grid, and whether it is ``shifted``.
 
     A shifted series is complete, but lies off the grid by a constant offset.
     """
-    seen = df.filter(F.col(grid.ts).isNotNull()).select(
-        F.col(grid.series), grid.cell().alias("cell"), grid.offset().alias("offset")
-    )
+    return extent_of(chunk_summary(df, grid), grid)
+
+
+def extent_of(summary: DataFrame, grid: Grid = Grid()) -> DataFrame:
+    """:func:`series_extent` of an already computed :func:`chunk_summary`."""
     shifted = "least = most AND least > INTERVAL '0' SECOND AND n = hi - lo + 1 AND n > 2"
     return (
-        seen.groupBy(grid.series)
+        summary.groupBy(grid.series)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.expr("offset = INTERVAL '0' SECOND")).alias("on_grid"),
-            F.min("cell").alias("lo"),
-            F.max("cell").alias("hi"),
-            F.min("offset").alias("least"),
-            F.max("offset").alias("most"),
+            F.sum("n").alias("n"),
+            F.sum(F.when(F.col("_on"), F.col("n")).otherwise(0)).alias("on_grid"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+            F.min("least").alias("least"),
+            F.max("most").alias("most"),
         )
         .select(grid.series, "lo", "hi", "on_grid", F.expr(shifted).alias("shifted"))
     )
 
 
 def snap_regular_offset(
-    df: DataFrame, grid: Grid = Grid(), known: int | None = None
+    df: DataFrame, grid: Grid = Grid(), extents: DataFrame | None = None, known: int | None = None
 ) -> DataFrame:
     """Move shifted series onto the grid; every other series is left alone.
 
     Shifted series are usually none, so they are counted first (or their number
     is given): without any the frame comes back as it is.
     """
-    shifted = series_extent(df, grid).filter("shifted").select(grid.series, "shifted")
+    if extents is None:
+        extents = series_extent(df, grid)
+    shifted = extents.filter("shifted").select(grid.series, "shifted")
     if known is None:
         known = shifted.limit(MAX_BROADCAST_SERIES + 1).count()
     if known == 0:
@@ -115,7 +171,9 @@ def regrid(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
     return cells.select(grid.series, grid.time_of("_cell").alias(grid.ts), *values)
 
 
-def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
+def grid_cells(
+    df: DataFrame, grid: Grid, carry: Sequence[str], summary: DataFrame | None = None
+) -> DataFrame:
     """The grid as ``(series, _chunk, _cell, values...)``, partitioned by series and chunk.
 
     Readings and grid rows meet in one shuffle. A grid row stands for a whole
@@ -125,7 +183,7 @@ def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
     For the columns in ``carry``, the last present value before a chunk and the
     first one after it come along as rows of their own outside the chunk's range
     (at most two per column and chunk), so that a window over the chunk sees its
-    neighbours.
+    neighbours. ``summary`` is the :func:`chunk_summary` of the same readings and columns.
     """
     series = grid.series
     values = [c for c in df.columns if c not in (series, grid.ts)]
@@ -141,7 +199,9 @@ def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
         F.lit(1).alias("_reading"),
         *map(named, values),
     )
-    marks = _chunk_rows(timed, grid, values, types, carry)
+    if summary is None:
+        summary = chunk_summary(timed, grid, carry)
+    marks = _chunk_rows(summary, grid, values, types, carry)
 
     key = [series, "_chunk", "_cell"]
     # a chunk row grows into many cells on arrival, which Spark cannot foresee when
@@ -164,7 +224,7 @@ def grid_cells(df: DataFrame, grid: Grid, carry: Sequence[str]) -> DataFrame:
 
 
 def _chunk_rows(
-    timed: DataFrame,
+    summary: DataFrame,
     grid: Grid,
     values: list[str],
     types: dict[str, T.DataType],
@@ -172,30 +232,18 @@ def _chunk_rows(
 ) -> DataFrame:
     """One row per chunk of the grid, and rows for the nearest values outside it.
 
-    Everything here rests on one aggregate of the readings by series and chunk: a
+    Everything here rests on the summary of the readings by series and chunk: a
     century of hours is a few hundred rows.
     """
     series = grid.series
-    cell, on_grid = grid.cell(), grid.on_grid()
-    # plain minima and maxima have buffers of fixed width, so the partial aggregate
-    # hashes; of structs it would sort all readings first
-    ends, shaped = [], []
-    for i, c in enumerate(carry):
-        at = F.when(on_grid & named(c).isNotNull(), cell)
-        ends += [
-            F.min(at).alias(f"_lo_at{i}"),
-            F.min_by(named(c), at).alias(f"_lo_v{i}"),
-            F.max(at).alias(f"_hi_at{i}"),
-            F.max_by(named(c), at).alias(f"_hi_v{i}"),
-        ]
+    shaped = []
+    for i in range(len(carry)):
         for side in ("lo", "hi"):
             here = F.struct(F.col(f"_{side}_at{i}").alias("at"), F.col(f"_{side}_v{i}").alias("v"))
-            shaped.append(F.when(F.col(f"_{side}_at{i}").isNotNull(), here).alias(f"_{side}{i}"))
-    summary = (
-        timed.groupBy(series, grid.chunk(cell).alias("_chunk"))
-        .agg(F.min(cell).alias("_lo"), F.max(cell).alias("_hi"), *ends)
-        .select(series, "_chunk", "_lo", "_hi", *shaped)
-    )
+            present = F.col("_on") & F.col(f"_{side}_at{i}").isNotNull()
+            shaped.append(F.max(F.when(present, here)).alias(f"_{side}{i}"))
+    # readings off the grid count for a series' extent, not for its values
+    summary = summary.groupBy(series, "_chunk").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"), *shaped)
     whole = Window.partitionBy(series)
     ordered = whole.orderBy("_chunk")
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)

@@ -71,6 +71,22 @@ def readings_offgrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def readings_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly readings as a file would hold them: names with units, times as text.
+
+    Rows of one weather code come once more with an unreadable time.
+    """
+    times = F.when(F.col("weather_code") == "0", F.array(F.col("ts").cast("string"), F.lit("soon")))
+    return readings_hourly(spark, sf_dir).select(
+        F.col("series_id").alias("station name"),
+        F.explode(times.otherwise(F.array(F.col("ts").cast("string")))).alias("time"),
+        F.col("target").alias("pm2_5 (μg/m³)"),
+        F.col("aux").alias("wind speed ()"),
+        F.col("weather_code").alias("weather_code ()"),
+        F.col("aux").alias("snowfall (cm)"),
+    )
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One experiment run per order, with a JSON summary read back into a struct."""
     key = F.col("o_orderkey")
