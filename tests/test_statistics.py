@@ -80,6 +80,42 @@ def test_correlation_equals_numpy(spark):
     assert got["k", "k"] is None and got["a", "k"] is None
 
 
+def test_correlation_of_a_wide_table_reads_it_once(spark):
+    """300 columns with holes, over partitions whose means are far apart."""
+    rng = np.random.default_rng(8)
+    values = rng.normal(0, 1, (240, 300)) + np.repeat([0, 1e5, -3e4, 7.0], 60)[:, None] * (np.arange(300) % 3 == 0)
+    values[:, 1] = 2.5
+    holes = rng.random(values.shape) < 0.2
+    # constant where the other is present
+    values[:, 4] = np.where(holes[:, 5], values[:, 4], 0.1)
+    holes[:, 4] = False
+    rows = [[None if h else float(v) for v, h in zip(*r)] for r in zip(values, holes)]
+    names = [f"c{i}" for i in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names)).repartition(5)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    got = {(r.column_a, r.column_b): r.correlation for r in correlation_matrix(df.mapInArrow(counting, df.schema), names).collect()}
+    assert len(got) == 300 * 300 and seen.value == 240
+    frame = np.where(holes, np.nan, values)
+    for a, b in [(0, 3), (0, 2), (7, 9), (250, 13), (299, 298), (6, 6)]:
+        both = ~(np.isnan(frame[:, a]) | np.isnan(frame[:, b]))
+        assert math.isclose(got[f"c{a}", f"c{b}"], np.corrcoef(frame[both, a], frame[both, b])[0, 1], rel_tol=1e-7)
+        assert got[f"c{a}", f"c{b}"] == got[f"c{b}", f"c{a}"]
+    assert got["c1", "c1"] is None and got["c1", "c0"] is None
+    assert got["c4", "c5"] is None and got["c4", "c6"] is not None
+
+
+def test_correlation_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1.0)], "a double, b double")
+    for table in (df, df.limit(0)):
+        assert [r.correlation for r in correlation_matrix(table, ["a", "b"]).collect()] == [None] * 4
+
+
 def test_missing_and_duplicates(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, 2.0)], "a int, b double")
     rows = {r.column: (r.missing_count, r.missing_pct) for r in missing_values(df, ["a", "b"]).collect()}

@@ -48,7 +48,11 @@ def drift_report(df: DataFrame, columns: Sequence[str], split: str = "split") ->
             for i, c in enumerate(columns)
         ]
     )
-    compared = df.agg(*aggregates).select(F.explode(entries).alias("e")).select("e.*")
+    return drift_of(df.agg(*aggregates).select(F.explode(entries).alias("e")).select("e.*"))
+
+
+def drift_of(compared: DataFrame) -> DataFrame:
+    """The report from means and standard deviations of each column in train and test."""
     changed = compared.select(
         "*",
         _change(F.col("test_mean"), F.col("train_mean")).alias("mean_change_pct"),
@@ -87,7 +91,11 @@ def target_stats(df: DataFrame, target: str, split: str = "split") -> DataFrame:
 
 def target_shift(df: DataFrame, target: str, split: str = "split") -> DataFrame:
     """Change of the target's mean in percent, with an alert above the threshold."""
-    means = df.agg(*[F.avg(_in(split, n, target)).alias(f"{n}_mean") for n in DATASETS])
+    return shift_of(df.agg(*[F.avg(_in(split, n, target)).alias(f"{n}_mean") for n in DATASETS]))
+
+
+def shift_of(means: DataFrame) -> DataFrame:
+    """The shift from the target's means."""
     shift = F.abs(
         F.try_divide(F.col("test_mean") - F.col("train_mean"), F.col("train_mean")) * 100
     )

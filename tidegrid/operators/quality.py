@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.quantiles import EXACT_LIMIT, exact_quantiles
+from tidegrid.operators.moments import correlations, pair_moments
 
 # Whisker length in interquartile ranges, digits of percentages.
 WHISKER = 1.5
 PERCENT_DIGITS = 2
-# Pairs of columns correlated in one pass over the data.
-PAIRS_PER_PASS = 400
 
 
 def quality_summary(df: DataFrame, by: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -132,86 +130,7 @@ def clip_outliers(df: DataFrame, columns: Sequence[str], limit: int = EXACT_LIMI
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of all pairs over the rows where both are present.
 
-    A constant column has no correlation (NULL). A first pass tells which columns
-    are never missing and gives their means: a pair of those needs one sum of
-    products of centred values, other pairs need moments of their common rows. All
-    pairs of a block are one aggregate; wide tables take several passes.
+    A column that is constant on these rows has no correlation (NULL). Tables of any
+    width are read once (see :mod:`tidegrid.operators.moments`).
     """
-    columns = list(columns)
-    facts = _column_facts(df, columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    parts = [
-        _correlate(df, columns, facts, pairs[at : at + PAIRS_PER_PASS])
-        for at in range(0, len(pairs), PAIRS_PER_PASS)
-    ]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
-
-
-@dataclass(frozen=True)
-class _Facts:
-    complete: bool
-    constant: bool
-    mean: float | None
-
-
-def _column_facts(df: DataFrame, columns: list[str]) -> list[_Facts]:
-    aggregates = []
-    for i, c in enumerate(columns):
-        value = F.col(f"`{c}`").cast("double")
-        aggregates += [
-            F.count(value).alias(f"n{i}"),
-            F.avg(value).alias(f"mean{i}"),
-            F.min(value).alias(f"lo{i}"),
-            F.max(value).alias(f"hi{i}"),
-        ]
-    row = df.agg(F.count(F.lit(1)).alias("total"), *aggregates).first()
-    return [
-        _Facts(row[f"n{i}"] == row["total"], row[f"lo{i}"] == row[f"hi{i}"], row[f"mean{i}"])
-        for i in range(len(columns))
-    ]
-
-
-def _correlate(
-    df: DataFrame, columns: list[str], facts: list[_Facts], pairs: list[tuple[int, int]]
-) -> DataFrame:
-    used = sorted({k for pair in pairs for k in pair})
-    centred = df.select(
-        *[
-            (F.col(f"`{columns[k]}`").cast("double") - F.lit(facts[k].mean)).alias(f"x{k}")
-            for k in used
-        ]
-    )
-    squares = {k for k in used if facts[k].complete and not facts[k].constant}
-    aggregates = [F.sum(F.col(f"x{k}") * F.col(f"x{k}")).alias(f"v{k}") for k in sorted(squares)]
-    entries = []
-    for i, j in pairs:
-        a, b = F.col(f"x{i}"), F.col(f"x{j}")
-        if facts[i].constant or facts[j].constant:
-            r = F.lit(None).cast("double")
-        elif i == j:
-            r = F.lit(1.0)
-        elif i in squares and j in squares:
-            aggregates.append(F.sum(a * b).alias(f"r{i}_{j}"))
-            r = F.try_divide(F.col(f"r{i}_{j}"), F.sqrt(F.col(f"v{i}")) * F.sqrt(F.col(f"v{j}")))
-        else:
-            left, right = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-            spread = F.stddev_pop(left) * F.stddev_pop(right)
-            aggregates.append(
-                F.try_divide(F.covar_pop(left, right), spread).alias(f"r{i}_{j}")
-            )
-            r = F.col(f"r{i}_{j}")
-        names = [(columns[i], columns[j])] + ([(columns[j], columns[i])] if i != j else [])
-        for first, second in names:
-            entries.append(
-                F.struct(
-                    F.lit(first).alias("column_a"),
-                    F.lit(second).alias("column_b"),
-                    r.alias("correlation"),
-                )
-            )
-    aggregates = aggregates or [F.count(F.lit(1)).alias("n")]
-    rows = F.explode(F.array(*entries)).alias("e")
-    return centred.agg(*aggregates).select(rows).select("e.*")
+    return correlations(pair_moments(df, columns), columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,43 +104,47 @@ def histogram(
     Ranges are read first (one row per group); every bin is listed, also empty ones.
     """
     column = named(value).cast("double")
-    if by is None:
-        parts = [(None, df)]
-    else:
-        parts = [(g, df.filter(F.col(by) == g)) for g in groups]
-    conditions = [F.lit(True) if g is None else F.col(by) == g for g, _ in parts]
+    names = [None] if by is None else list(groups)
+    inside = [F.lit(True) if g is None else F.col(by) == g for g in names]
     ends = df.agg(
-        *[F.min(F.when(c, column)).alias(f"lo{i}") for i, c in enumerate(conditions)],
-        *[F.max(F.when(c, column)).alias(f"hi{i}") for i, c in enumerate(conditions)],
-        *[F.count(F.when(c, column)).alias(f"n{i}") for i, c in enumerate(conditions)],
+        *[F.min(F.when(c, column)).alias(f"lo{i}") for i, c in enumerate(inside)],
+        *[F.max(F.when(c, column)).alias(f"hi{i}") for i, c in enumerate(inside)],
+        *[F.count(F.when(c, column)).alias(f"n{i}") for i, c in enumerate(inside)],
     ).first()
-    label = F.lit(None).cast("int")
+    ranges = {g: (ends[f"lo{i}"], ends[f"hi{i}"], ends[f"n{i}"]) for i, g in enumerate(names)}
+    part, place = histogram_place(column, bins, by, ranges)
+    counted = df.filter(column.isNotNull()).groupBy(part.alias("_part"), place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return histogram_of(counted, bins, by, ranges)
+
+
+# Per group: least and greatest value and their number.
+Ranges = Mapping[str | None, tuple[float | None, float | None, int]]
+
+
+def histogram_place(value: Column, bins: int, by: str | None, ranges: Ranges) -> tuple[Column, Column]:
+    """The number of a row's group and the bin its value falls into."""
+    part, place = F.lit(None).cast("int"), F.lit(None).cast("int")
+    for i, (g, (lo, hi, n)) in enumerate(ranges.items()):
+        if n:
+            inside = F.lit(True) if by is None else F.col(by) == g
+            part = F.when(inside, F.lit(i)).otherwise(part)
+            place = F.when(inside, bin_number(value, lo, hi, bins)).otherwise(place)
+    return part, place
+
+
+def histogram_of(counted: DataFrame, bins: int, by: str | None, ranges: Ranges) -> DataFrame:
+    """The histogram from its counts ``(_part, bin, n)``; every bin is listed."""
     edges = []
-    for i, (g, _) in enumerate(parts):
-        lo, hi, n = ends[f"lo{i}"], ends[f"hi{i}"], ends[f"n{i}"]
-        if not n:
-            continue
-        label = F.when(conditions[i], F.lit(i)).otherwise(label)
-        low, high = (lo, hi) if hi > lo else (lo - 0.5, hi + 0.5)
-        width = (high - low) / bins
-        edges += [(i, g, b, low + b * width, low + (b + 1) * width, width, n) for b in range(bins)]
-    spark = df.sparkSession
-    frame = spark.createDataFrame(
+    for i, (g, (lo, hi, n)) in enumerate(ranges.items()):
+        if n:
+            low, high = (lo, hi) if hi > lo else (lo - 0.5, hi + 0.5)
+            width = (high - low) / bins
+            edges += [(i, g, b, low + b * width, low + (b + 1) * width, width, n) for b in range(bins)]
+    frame = counted.sparkSession.createDataFrame(
         edges,
         "_part int, _group string, bin int, bin_start double, bin_end double, "
         "_width double, _total bigint",
     )
-    place = F.lit(None).cast("int")
-    for i, _ in enumerate(parts):
-        if ends[f"n{i}"]:
-            place = F.when(
-                conditions[i], bin_number(column, ends[f"lo{i}"], ends[f"hi{i}"], bins)
-            ).otherwise(place)
-    counted = (
-        df.filter(column.isNotNull())
-        .groupBy(label.alias("_part"), place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
     # both sides hold at most one row per group and bin
     table = frame.join(F.broadcast(counted), ["_part", "bin"], "left").select(
         *([F.col("_group").alias(by)] if by else []),
