@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from tidegrid.functions.labels import DATE_ONLY, alias_status, has_alias, text_date_label
 from tidegrid.operators.experiments import LEADERBOARD_SIZE, metric_columns
+from tidegrid.operators.ranking import rank_groups
 
 # The stages that have a list of their own.
 STAGES = ("production", "staging")
@@ -78,13 +79,15 @@ def registry_leaderboard(models: DataFrame, size: int = LEADERBOARD_SIZE) -> Dat
 def registry_by_stage(
     registry: DataFrame, runs: DataFrame, stages: Sequence[str] = STAGES
 ) -> DataFrame:
-    """Versions with a stage's alias, ranked in each stage; only these meet their runs."""
+    """Versions with a stage's alias, ranked in each stage; only these meet their runs.
+
+    Stages are few and may hold any number of versions, so they are ranked in ranges.
+    """
     held = [F.when(has_alias(F.col("aliases"), s), F.lit(s)) for s in stages]
     staged = registry.withColumn("stage", F.explode(F.array_compact(F.array(*held))))
-    order = Window.partitionBy("stage").orderBy(*_by_accuracy())
-    return registry_models(staged, runs).select(
+    return rank_groups(registry_models(staged, runs), "stage", _by_accuracy()).select(
         "stage",
-        F.row_number().over(order).alias("rank"),
+        "rank",
         F.coalesce("run_name", F.lit("Unknown")).alias("model_name"),
         "version",
         "single_step_accuracy",
@@ -101,7 +104,7 @@ def apply_promotions(registry: DataFrame, promotions: DataFrame) -> DataFrame:
     """Registry with the requested aliases appended.
 
     Requests carry ``name, version, target``. An alias a version already has is
-    not added again. Repeated requests are reduced to distinct ones first, so what
+    not added again; those it has stay as they are, in their order. Repeated requests are reduced to distinct ones first, so what
     is gathered per version is no longer than the list of alias names.
     """
     complete = promotions.filter(_present("name") & _present("version") & _present("target"))
@@ -112,9 +115,8 @@ def apply_promotions(registry: DataFrame, promotions: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list("target")).alias("_targets"))
     )
     none = F.array().cast("array<string>")
-    appended = F.array_distinct(
-        F.concat(F.coalesce("aliases", none), F.coalesce("_targets", none))
-    )
+    held, asked = F.coalesce("aliases", none), F.coalesce("_targets", none)
+    appended = F.concat(held, F.array_except(asked, held))
     return (
         registry.join(wanted, ["name", "version"], "left")
         .withColumn("promoted", F.col("_targets").isNotNull())
