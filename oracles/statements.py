@@ -534,6 +534,11 @@ FROM new_features JOIN limits ON TRUE WHERE ts >= TIMESTAMP '2024-01-24 00:00:00
 
 
 ORACLES["transform_new"] = _transform_new()
+ORACLES["transform_batches"] = with_ctes(
+    [*SPLIT_HOURLY, limits(SCALED_NAMES)],
+    f"""SELECT series_id, ts, {", ".join(r6(scaled(c), c) for c in SCALED_NAMES)}
+FROM split JOIN limits ON TRUE WHERE ts >= TIMESTAMP '2024-01-24 00:00:00'""",
+)
 ORACLES["sequence_windows"] = with_ctes(
     [
         *SPLIT_HOURLY,
@@ -670,6 +675,41 @@ FROM steps WHERE step > 0"""
 
 ORACLES["forecast_recursive"] = _recursive()
 
+
+def _window_recursive() -> str:
+    """A window of 24 feature rows as one list per feature; each level pushes a row into it."""
+    scales = {"target": 0.1, "aux": 0.02, "sin_hour": 0.5, "lag_1h": 0.03, "rolling_mean_6h": 0.05}
+    fading = "list_transform(range(24), lambda k: {w}::DOUBLE * pow(0.8, 23 - k))"
+    dot = " + ".join(f"list_dot_product({c}, {fading.format(w=w)})" for c, w in scales.items())
+    pushed = {
+        "target": "p",
+        "aux": "aux[24]",
+        "sin_hour": "sin(2 * pi() * hour(origin + to_hours(CAST(step + 1 AS INTEGER))) / 24)",
+        "lag_1h": "target[24]",
+        "rolling_mean_6h": "(p + list_sum(target[20:24])) / 6",
+    }
+    ctes = ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in FEATURES_HOURLY)
+    return f"""WITH RECURSIVE {ctes},
+windows AS (
+SELECT series_id, ts AS origin, {", ".join(f"list({c}) OVER w AS {c}" for c in scales)},
+       count(*) OVER w AS n, min(ts) OVER w AS since
+FROM features
+WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)
+),
+steps AS (
+SELECT series_id, origin, 0 AS step, {", ".join(scales)}, CAST(NULL AS DOUBLE) AS predicted
+FROM windows WHERE n = 24 AND since = origin - INTERVAL 23 HOUR
+UNION ALL
+SELECT series_id, origin, step + 1, {", ".join(f"list_concat({c}[2:24], [{x}])" for c, x in pushed.items())}, p
+FROM (SELECT *, 3.0::DOUBLE + {dot} AS p FROM steps WHERE step < 24)
+)
+SELECT series_id, origin, CAST(step AS INTEGER) AS step,
+       origin + to_hours(CAST(step AS INTEGER)) AS ts, {r6('predicted', 'predicted')}
+FROM steps WHERE step > 0"""
+
+
+ORACLES["forecast_sequence_recursive"] = _window_recursive()
+
 # --- queries: monitoring ----------------------------------------------------------------------------------------
 
 
@@ -1067,13 +1107,13 @@ FROM split WHERE split = 'test' GROUP BY series_id""",
     )
 ORACLES["train_sequence_model"] = with_ctes(
     SPLIT_HOURLY,
-    """SELECT series_id, count(*) AS n_rows, TRUE AS all_predicted
+    """SELECT series_id, count(*) AS n_rows, TRUE AS all_predicted, TRUE AS beats_train_mean
 FROM split WHERE split = 'test' AND split_row > 24 GROUP BY series_id""",
 )
 ORACLES["forecast_single_step"] = with_ctes(
     SPLIT_HOURLY,
     f"""SELECT series_id, ts, {r6('target', 'actual')}, TRUE AS predicted_present,
-       TRUE AS within_train_range FROM split WHERE split = 'test'""",
+       TRUE AS within_train_range, TRUE AS beats_train_mean FROM split WHERE split = 'test'""",
 )
 ORACLES["forecast_recursive_model"] = with_ctes(
     [
@@ -1085,13 +1125,24 @@ WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CU
         ),
         ("steps", "SELECT CAST(unnest(range(1, 25)) AS INTEGER) AS step"),
     ],
-    """SELECT series_id, origin, step, origin + to_hours(step) AS ts, TRUE AS predicted_present
+    """SELECT series_id, origin, step, origin + to_hours(step) AS ts, TRUE AS predicted_present, TRUE AS beats_train_mean
 FROM starts JOIN steps ON n = 24""",
 )
-ORACLES["feature_importance"] = (
-    "SELECT unnest([" + ", ".join(f"'{c}'" for c in SCALED_NAMES) + "]) AS feature, "
-    "TRUE AS not_negative, TRUE AS shares_sum_to_one"
+ORACLES["forecast_sequence_model"] = with_ctes(
+    [
+        *FEATURES_HOURLY,
+        (
+            "starts",
+            """SELECT series_id, ts AS origin, count(*) OVER w AS n, min(ts) OVER w AS since FROM features
+WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)""",
+        ),
+        ("steps", "SELECT CAST(unnest(range(1, 25)) AS INTEGER) AS step"),
+    ],
+    """SELECT series_id, origin, step, origin + to_hours(step) AS ts, TRUE AS predicted_present, TRUE AS beats_train_mean
+FROM starts JOIN steps ON n = 24 AND since = origin - INTERVAL 23 HOUR""",
 )
+ORACLES["feature_importance"] = """SELECT feature, CAST(rank AS INTEGER) AS rank, TRUE AS shares_sum_to_one
+FROM (VALUES ('sin_hour', 1), ('cos_hour', 2), ('weather_code', 3)) AS t(feature, rank)"""
 ORACLES["transform_new_text"] = ORACLES["transform_new"].replace(
     f"SELECT series_id, ts, {', '.join(r6(scaled(c), c) for c in SCALED_NAMES)}\nFROM new_features",
     f"""SELECT series_id, ts, CASE WHEN hour(ts) <> 5 THEN {r6("(hour(ts) % 3) / 2.0::DOUBLE")} END AS mood

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidegrid.functions.labels import alias_status
-from tidegrid.grid import Grid
+from tidegrid.grid import Grid, named
 from tidegrid.operators import drift, experiments, forecasting, models, quality, registry, scoring
 from tidegrid.operators.encoding import encode, fit_encoding
 from tidegrid.operators.features import (
@@ -26,11 +27,13 @@ from tidegrid.operators.scaling import (
     minmax_fit,
     minmax_inverse,
     minmax_scale,
+    minmax_unscale,
     read_bounds,
     select_features,
 )
 from tidegrid.operators.sequences import sequence_windows
 from tidegrid.operators.splitting import cv_folds, time_split
+from tidegrid.plans import batches
 from tidegrid.plans.cleaning import clean_raw, clean_readings
 from tidegrid.plans.dataset import prepare_dataset, transform_new
 from tidegrid.plans.monitoring import monitoring_report, report_long
@@ -57,6 +60,14 @@ LINEAR_WEIGHTS = {
 LINEAR_INTERCEPT = 2.0
 
 
+# The linear sequence model the recursion over windows is checked with: a feature's weight
+# falls by a fifth with each row back.
+WINDOW_SCALES = {"target": 0.1, "aux": 0.02, "sin_hour": 0.5, "lag_1h": 0.03, "rolling_mean_6h": 0.05}
+WINDOW_LENGTH = 24
+WINDOW_WEIGHTS = [[w * 0.8**age for w in WINDOW_SCALES.values()] for age in reversed(range(WINDOW_LENGTH))]
+WINDOW_INTERCEPT = 3.0
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -309,6 +320,21 @@ def transform_new_query(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(transform_new(recent, fitted, HOURLY, since=NEW_SINCE))
 
 
+@query
+def transform_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches in a row; the last one's rows are those of a run over all readings."""
+    readings = data.readings_hourly(spark, sf)
+    _, fitted = prepare_dataset(readings, HOURLY)
+    cuts = ["2024-01-01 00:00:00", "2024-01-16 05:00:00", NEW_SINCE, "2024-12-31 00:00:00"]
+    ts = F.col("ts")
+    parts = [
+        readings.filter((ts >= F.lit(a).cast("timestamp_ntz")) & (ts < F.lit(b).cast("timestamp_ntz")))
+        for a, b in zip(cuts, cuts[1:])
+    ]
+    out = batches.transform_batches(parts, fitted, HOURLY)
+    return rounded(out.filter(ts >= F.lit(NEW_SINCE).cast("timestamp_ntz")))
+
+
 @query
 def transform_new_text(spark: SparkSession, sf: str) -> DataFrame:
     """A text feature: numbers as text in training, new data with an unreadable one.
@@ -381,6 +407,17 @@ def forecast_recursive(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def forecast_sequence_recursive(spark: SparkSession, sf: str) -> DataFrame:
+    """24 steps from every window of 24 feature rows, with given weights."""
+    table = settle(_features_hourly(spark, sf))
+    features = list(WINDOW_SCALES)
+    starts = forecasting.window_origins(table, features, HOURLY, WINDOW_LENGTH)
+    return rounded(
+        forecasting.recursive_window_linear(starts, features, WINDOW_WEIGHTS, WINDOW_INTERCEPT, grid=HOURLY)
+    )
+
+
 @query
 def forecast_metrics(spark: SparkSession, sf: str) -> DataFrame:
     metrics = scoring.forecast_metrics(_persistence(spark, sf), by=["series_id"], digits=None)
@@ -418,28 +455,25 @@ def error_histogram(spark: SparkSession, sf: str) -> DataFrame:
 LINEAR_FEATURES = ["lag_1h", "aux"]
 
 
-def _dataset(spark: SparkSession, sf: str):
-    dataset, fitted = prepare_dataset(data.readings_hourly(spark, sf), HOURLY)
+def _dataset(spark: SparkSession, sf: str, source=data.readings_hourly):
+    dataset, fitted = prepare_dataset(source(spark, sf), HOURLY)
     return settle(dataset), fitted
 
 
-def _judged(forecast: DataFrame, train: DataFrame) -> DataFrame:
-    """Per series: test rows, whether all have a forecast, whether all series together
-    are forecast better than by the mean of the train rows."""
+def _judged(forecast: DataFrame, train: DataFrame, target: str = "target") -> DataFrame:
+    """Per series: rows, whether all have a forecast, and whether their squared errors are
+    smaller than those of the mean of the train rows."""
     mean = train.filter(F.col("split") == "train").agg(F.avg("target").alias("_mean"))
-    wrong, wrong_mean = F.col("predicted") - F.col("target"), F.col("_mean") - F.col("target")
-    series = (
+    wrong, wrong_mean = F.col("predicted") - F.col(target), F.col("_mean") - F.col(target)
+    return (
         forecast.join(F.broadcast(mean))
         .groupBy("series_id")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             (F.count("predicted") == F.count(F.lit(1))).alias("all_predicted"),
-            F.sum(wrong * wrong).alias("_model"),
-            F.sum(wrong_mean * wrong_mean).alias("_mean"),
+            (F.sum(wrong * wrong) < F.sum(wrong_mean * wrong_mean)).alias("beats_train_mean"),
         )
     )
-    better = series.agg((F.sum("_model") < F.sum("_mean")).alias("beats_train_mean"))
-    return series.drop("_model", "_mean").join(F.broadcast(better))
 
 
 @query
@@ -472,53 +506,83 @@ def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def train_sequence_model(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted trees on the windows of all features; the windows are not stored."""
-    dataset, fitted = _dataset(spark, sf)
+    dataset, fitted = _dataset(spark, sf, data.readings_cyclic)
     samples = models.sequence_samples(dataset, ["target", *fitted.features], HOURLY)
     model = models.train_sequence_model(samples)
-    forecast = forecasting.forecast_single_step(model, samples)
-    return _judged(forecast, dataset).drop("beats_train_mean")
+    return _judged(forecasting.forecast_single_step(model, samples), dataset)
 
 
 @query
 def forecast_single_step(spark: SparkSession, sf: str) -> DataFrame:
-    """Forecasts of a forest, which never leave the range of the train rows."""
+    """Forecasts of a forest in original units, with what they are worth per series."""
     dataset, fitted = _dataset(spark, sf)
     model = models.train_model(dataset, "random_forest", fitted.features)
-    forecast = forecasting.forecast_single_step(model, dataset)
+    forecast = settle(forecasting.forecast_single_step(model, dataset))
     low, high = fitted.bounds[fitted.target]
     predicted = fitted.original_units(F.col("predicted"))
+    worth = _judged(forecast, dataset).select("series_id", "beats_train_mean")
     return rounded(
-        forecast.select(
+        forecast.join(worth, "series_id").select(
             "series_id",
             "ts",
             fitted.original_units(F.col("target")).alias("actual"),
             predicted.isNotNull().alias("predicted_present"),
             predicted.between(low - 1e-9, high + 1e-9).alias("within_train_range"),
+            "beats_train_mean",
         )
     )
 
 
+def _worth(forecast: DataFrame, table: DataFrame) -> DataFrame:
+    """Forecasts with the judgement of their series, over the steps whose actual is known."""
+    forecast = settle(forecast)
+    actual = table.select("series_id", "ts", "target")
+    judged = _judged(forecast.join(actual, ["series_id", "ts"]), table)
+    return forecast.join(judged.select("series_id", "beats_train_mean"), "series_id").select(
+        "series_id", "origin", "step", "ts", F.col("predicted").isNotNull().alias("predicted_present"), "beats_train_mean"
+    )
+
+
 @query
 def forecast_recursive_model(spark: SparkSession, sf: str) -> DataFrame:
     """Forecasts of a boosted model that reads only values before each step."""
-    cleaned = settle(_clean_hourly(spark, sf))
+    cleaned = settle(clean_readings(data.readings_cyclic(spark, sf), HOURLY)[0])
     table = settle(time_split(settle(feature_table(cleaned, HOURLY, shift=1)), HOURLY))
     # what the steps can be given: every feature but the tier and other measurements
     model = models.train_model(table, "gbt", forecasting.step_feature_names())
     forecast = forecasting.recursive_model(forecasting.origins(cleaned, HOURLY), model, HOURLY)
-    return forecast.select(
-        "series_id", "origin", "step", "ts", F.col("predicted").isNotNull().alias("predicted_present")
-    )
+    return _worth(forecast, table)
+
+
+@query
+def forecast_sequence_model(spark: SparkSession, sf: str) -> DataFrame:
+    """24 steps of a trained sequence model from every window of the feature table."""
+    dataset, fitted = _dataset(spark, sf, data.readings_cyclic)
+    features = ["target", *fitted.features]
+    model = models.train_sequence_model(models.sequence_samples(dataset, features, HOURLY))
+    kept = [named(c) for c in dataset.columns if c not in ("target", "target_raw")]
+    # windows are in original units
+    scales = {c: b for c, b in fitted.bounds.items() if c in fitted.features}
+    table = minmax_unscale(dataset.select(*kept, F.col("target_raw").alias("target")), scales)
+    starts = forecasting.window_origins(settle(table), features, HOURLY)
+    forecast = forecasting.recursive_window_model(starts, model, features, grid=HOURLY, bounds=fitted.bounds)
+    return _worth(forecast, table)
+
+
+IMPORTANCE = ["sin_hour", "cos_hour", "weather_code"]
 
 
 @query
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    """The features, and whether their shares of the gain are shares."""
-    dataset, fitted = _dataset(spark, sf)
-    model = models.train_model(dataset, "random_forest", fitted.features)
-    shares = models.feature_importance(model, dataset, fitted.features)
+    """Features by importance: the target's course has more of the sine than of the cosine,
+    and nothing of the weather code."""
+    dataset, _ = _dataset(spark, sf, data.readings_cyclic)
+    model = models.train_model(dataset, "random_forest", IMPORTANCE, trees=20, depth=5)
+    shares = models.feature_importance(model, dataset, IMPORTANCE)
     total = shares.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("shares_sum_to_one"))
-    return shares.select("feature", (F.col("importance") >= 0).alias("not_negative")).join(F.broadcast(total))
+    # one row per feature
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("importance")))
+    return shares.select("feature", rank.alias("rank")).join(F.broadcast(total))
 
 
 # --- monitoring -------------------------------------------------------------------------------

@@ -86,6 +86,7 @@ def fill_seasonal(
     grid: Grid = Grid(),
     same_day: bool = True,
     same_month_hour: bool = True,
+    stored: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Fill what is still missing with medians of the same season in the same series.
 
@@ -98,6 +99,9 @@ def fill_seasonal(
     hole are counted first, and medians are picked from the counts (see
     :func:`counted_medians`); only cells with a hole meet their medians again. The
     table is settled, since it is read for the holes, the counts and the result.
+
+    ``stored`` holds :func:`value_counts` of cells seen before, and per series the last
+    cell they cover of each column (``_to0``...); cells up to there are not counted again.
     """
     table = settle(df.select(*[named(c).cast("double").alias(c) if c in columns else named(c) for c in df.columns]))
     season = [grid.series, "_month", "_hour"]
@@ -107,7 +111,12 @@ def fill_seasonal(
     needs = settle(holes.groupBy(*season).agg(*flags))
     if not (same_day or same_month_hour) or needs.isEmpty():
         return table
-    counts = settle(_value_counts(table, columns, grid, needs))
+    counts = value_counts(table, columns, grid, needs, stored[1] if stored else None)
+    if stored:
+        earlier = _at_season(stored[0], needs, season, grid, "_value")
+        flag = reduce(or_, [(F.col("_column") == i) & F.col(f"_hole{i}") for i in range(len(columns))])
+        counts = counts.unionByName(earlier.filter(flag).select(counts.columns))
+    counts = settle(counts)
     filled, tiers = holes, []
     for wanted, keys, name in (
         (same_day, [*season, "_day"], "_fine"),
@@ -136,27 +145,56 @@ def _with_season(df: DataFrame, grid: Grid) -> DataFrame:
     return df.select("*", *season)
 
 
-def _join_salted(cells: DataFrame, table: DataFrame, keys: Sequence[str], how: str, grid: Grid) -> DataFrame:
+def _join_salted(
+    cells: DataFrame, table: DataFrame, keys: Sequence[str], how: str, grid: Grid, spread: str | None = None
+) -> DataFrame:
     """Join cells with a table of one row per season, whose rows are copied to each salt."""
     salts = F.explode(F.sequence(F.lit(0), F.lit(SEASON_SALTS - 1)))
-    salt = F.pmod(F.xxhash64(grid.ts), F.lit(SEASON_SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64(spread or grid.ts), F.lit(SEASON_SALTS)).cast("int")
     on = [*keys, "_salt"]
     return cells.withColumn("_salt", salt).join(table.withColumn("_salt", salts), on, how).drop("_salt")
 
 
-def _value_counts(table: DataFrame, columns: Sequence[str], grid: Grid, needs: DataFrame) -> DataFrame:
-    """How often each value occurs per season and day, for columns with a hole in that season."""
-    season = [grid.series, "_month", "_hour"]
-    cells = _with_season(table, grid).select(*season, "_day", grid.ts, *[named(c).alias(f"_v{i}") for i, c in enumerate(columns)])
+def _at_season(rows: DataFrame, needs: DataFrame, season: Sequence[str], grid: Grid, spread: str | None = None) -> DataFrame:
+    """The rows of the seasons that have a hole, with the columns that have it."""
     if needs.limit(MAX_BROADCAST_SEASONS + 1).count() <= MAX_BROADCAST_SEASONS:
-        pool = cells.join(F.broadcast(needs), season)
-    else:
-        pool = _join_salted(cells, needs, season, "inner", grid)
+        return rows.join(F.broadcast(needs), list(season))
+    return _join_salted(rows, needs, season, "inner", grid, spread)
+
+
+def value_counts(
+    table: DataFrame,
+    columns: Sequence[str],
+    grid: Grid,
+    needs: DataFrame | None = None,
+    after: DataFrame | None = None,
+    until: DataFrame | None = None,
+) -> DataFrame:
+    """``(series, _month, _hour, _day, _column, _value, _n)``: how often a value occurs.
+
+    With ``needs`` only in seasons and columns that have a hole. ``after`` and ``until``
+    bound the cells of each series and column: cells up to ``_to<i>`` are left out, and
+    cells beyond ``_hi<i>`` (a series or column that ``after`` lacks is counted whole).
+    """
+    season = [grid.series, "_month", "_hour"]
+    pool = _with_season(table, grid).withColumn("_at", grid.cell())
+    for bounds in (after, until):
+        if bounds is not None:
+            pool = pool.join(bounds, grid.series, "left" if bounds is after else "inner")
+    values = []
+    for i, c in enumerate(columns):
+        counted = F.lit(True)
+        if after is not None:
+            counted = counted & (F.col(f"_to{i}").isNull() | (F.col("_at") > F.col(f"_to{i}")))
+        if until is not None:
+            counted = counted & (F.col("_at") <= F.col(f"_hi{i}"))
+        values.append(F.when(counted, named(c).cast("double")).alias(f"_v{i}"))
+    pool = pool.select(*season, "_day", grid.ts, *values)
+    if needs is not None:
+        pool = _at_season(pool, needs, season, grid)
+    wanted = [F.col(f"_hole{i}") if needs is not None else F.lit(True) for i in range(len(columns))]
     entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("_column"), F.when(F.col(f"_hole{i}"), F.col(f"_v{i}").cast("double")).alias("_value"))
-            for i in range(len(columns))
-        ]
+        *[F.struct(F.lit(i).alias("_column"), F.when(w, F.col(f"_v{i}")).alias("_value")) for i, w in enumerate(wanted)]
     )
     melted = pool.select(*season, "_day", F.explode(entries).alias("e")).select(*season, "_day", "e.*")
     return melted.filter(F.col("_value").isNotNull()).groupBy(*season, "_day", "_column", "_value").agg(F.count(F.lit(1)).alias("_n"))

@@ -105,6 +105,16 @@ def minmax_scale(df: DataFrame, bounds: Bounds, suffix: str = "") -> DataFrame:
     )
 
 
+def minmax_unscale(df: DataFrame, bounds: Bounds) -> DataFrame:
+    """Columns scaled by :func:`minmax_scale` in place, back in original units."""
+    return df.select(
+        *[
+            unscaled(named(c), *bounds[c]).alias(c) if c in bounds and bounds[c][0] is not None else named(c)
+            for c in df.columns
+        ]
+    )
+
+
 def minmax_inverse(
     df: DataFrame, column: str, bounds: tuple[float, float], output: str
 ) -> DataFrame:

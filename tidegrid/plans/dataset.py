@@ -82,6 +82,11 @@ def transform_new(
     table = feature_table(cleaned, grid, fitted.target)
     if since is not None:
         table = table.filter(F.col(grid.ts) >= F.lit(since).cast("timestamp_ntz"))
+    return scaled_features(table, fitted, grid)
+
+
+def scaled_features(table: DataFrame, fitted: Fitted, grid: Grid = Grid()) -> DataFrame:
+    """The fitted features of a feature table, scaled; text read as numbers where it was."""
     bounds = {c: fitted.bounds[c] for c in fitted.features}
     typed = table.select(
         grid.series,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,16 @@ def readings_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def readings_cyclic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly readings with a daily course in the target, which models can learn.
+
+    Its sine is two and a half times its cosine, and both exceed the readings' own noise.
+    """
+    angle = F.hour("ts") * (2 * math.pi) / 24
+    course = F.lit(150.0) * F.sin(angle) + F.lit(60.0) * F.cos(angle)
+    return readings_hourly(spark, sf_dir).withColumn("target", F.col("target") + course)
+
+
 def readings_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sparse series per user."""
     events = table(spark, sf_dir, "events")
