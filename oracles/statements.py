@@ -413,6 +413,11 @@ FROM hourly""",
 FROM delivered WHERE TRY_CAST(time AS TIMESTAMP) IS NOT NULL""",
     ),
 ]
+ORACLES["scan_unreadable"] = f"""SELECT event_id, CASE WHEN reason IS NULL THEN ts END AS ts,
+       CASE WHEN reason IS NULL THEN event_type END AS event_type,
+       CASE WHEN reason IS NULL THEN {r6('value')} END AS value, reason
+FROM (SELECT *, CASE WHEN event_id % 89 = 0 OR event_id % 83 = 0 THEN 'unreadable record'
+                     WHEN event_id % 97 = 0 THEN 'value is no double' END AS reason FROM events)"""
 ORACLES["clean_raw"] = with_ctes(
     [*DELIVERED, *CLEAN_HOURLY[1:]],
     f"""SELECT series_id, ts, {r6('target')} AS "pm2_5_(μg/m³)", {r6('aux', 'wind_speed')}, weather_code FROM clean""",
@@ -440,6 +445,18 @@ def history(columns: list[str], names: list[str]) -> str:
 ORACLES["lag_features"] = history(lag_sql(), LAG_NAMES)
 ORACLES["rolling_mean"] = history(rolling_sql("avg", MEANS, "rolling_mean"), MEAN_NAMES)
 ORACLES["rolling_std"] = history(rolling_sql("stddev_samp", STDS, "rolling_std"), STD_NAMES)
+ORACLES["rolling_week"] = with_ctes(
+    [
+        *CLEAN_HOURLY,
+        (
+            "weeks",
+            f"""SELECT series_id, ts, target,
+       {", ".join(rolling_sql("avg", (168,), "rolling_mean") + rolling_sql("stddev_samp", (168,), "rolling_std"))}
+FROM clean""",
+        ),
+    ],
+    f"SELECT {show(['series_id', 'ts', 'target', 'rolling_mean_168h', 'rolling_std_168h'])} FROM weeks",
+)
 ORACLES["aqi_tier"] = f"SELECT event_id, {TIER.format(v='value')} FROM events"
 ORACLES["feature_table"] = with_ctes(
     FEATURES_HOURLY, f"SELECT {show(['series_id', 'ts', *HOURLY_OWN, *FEATURE_NAMES])} FROM features"
@@ -534,6 +551,7 @@ FROM new_features JOIN limits ON TRUE WHERE ts >= TIMESTAMP '2024-01-24 00:00:00
 
 
 ORACLES["transform_new"] = _transform_new()
+ORACLES["saved_transform"] = ORACLES["transform_new"]
 ORACLES["transform_batches"] = with_ctes(
     [*SPLIT_HOURLY, limits(SCALED_NAMES)],
     f"""SELECT series_id, ts, {", ".join(r6(scaled(c), c) for c in SCALED_NAMES)}

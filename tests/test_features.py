@@ -1,6 +1,8 @@
 import datetime as dt
+import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +145,21 @@ def test_sequences_equal_brute_force(spark):
         assert window == [[float(k), float(k * k)] for k in range(i - length, i)]
 
 
+
+
+@pytest.mark.parametrize(("w", "shift", "chunk"), [(720, 0, 1024), (50, 1, 64), (49, 0, 7)])
+def test_long_windows_equal_pandas(spark, w, shift, chunk):
+    """Windows beyond the lags, over holes and far from zero."""
+    rng = random.Random(w)
+    start = dt.datetime(2024, 1, 1)
+    values = {name: [1e6 + rng.gauss(0, 3) if rng.random() > 0.002 else None for _ in range(1700)] for name in ("a", "b")}
+    rows = [(name, start + dt.timedelta(hours=i), v) for name, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, target double")
+    out = history_features(df, Grid(chunk_cells=chunk), lags=(), mean_windows=(w,), std_windows=(w,), shift=shift)
+    got = out.orderBy("series_id", "ts").toPandas()
+    for name, vs in values.items():
+        rolled = pd.Series(vs, dtype=float).shift(shift).rolling(w)
+        mine = got[got.series_id == name]
+        np.testing.assert_allclose(mine[f"rolling_mean_{w}h"].astype(float), rolled.mean(), rtol=1e-12)
+        np.testing.assert_allclose(mine[f"rolling_std_{w}h"].astype(float), rolled.std(), rtol=1e-5)
+    assert got[f"rolling_mean_{w}h"].notna().any()

@@ -12,6 +12,7 @@ from tidegrid.functions.labels import (
     text_date_label,
 )
 from tidegrid.operators import experiments, registry
+from tidegrid.operators.ranking import rank_groups
 
 
 def labels(spark, values, type_, fn):
@@ -123,3 +124,22 @@ def test_registry(spark):
     }
     reasons = sorted((r.version, r.reason) for r in registry.rejected_promotions(versions, requests).collect())
     assert reasons == [("v1", "incomplete request"), ("v9", "unknown version")]
+
+
+def test_promotions_append_only(spark):
+    versions = spark.createDataFrame([("m", "v1", ["b", "a", "b"]), ("m", "v2", None), ("n", "v1", ["x"])], "name string, version string, aliases array<string>")
+    asked = spark.createDataFrame([("m", "v1", "c"), ("m", "v1", "a"), ("m", "v1", "c"), ("m", "v2", "z")], "name string, version string, target string")
+    got = {(r.name, r.version): (r.aliases, r.promoted) for r in registry.apply_promotions(versions, asked).collect()}
+    assert got == {("m", "v1"): (["b", "a", "b", "c"], True), ("m", "v2"): (["z"], True), ("n", "v1"): (["x"], False)}
+
+
+def test_ranks_of_groups_cut_into_ranges(spark):
+    rows = [("big", i * 37 % 1009, i) for i in range(1009)] + [("small", 5, 1), ("small", 5, 0)]
+    df = spark.createDataFrame(rows, "g string, v int, id int").repartition(7)
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = {(r.g, r.id): r["rank"] for r in rank_groups(df, "g", order).collect()}
+    wanted = {}
+    for group in ("big", "small"):
+        ranked = sorted((-v, i) for g, v, i in rows if g == group)
+        wanted |= {(group, i): k for k, (_, i) in enumerate(ranked, 1)}
+    assert got == wanted

@@ -37,9 +37,10 @@ from tidegrid.plans import batches
 from tidegrid.plans.cleaning import clean_raw, clean_readings
 from tidegrid.plans.dataset import prepare_dataset, transform_new
 from tidegrid.plans.monitoring import monitoring_report, report_long
-from tidegrid.session import settle
+from tidegrid.session import settle, shared_folder
 from tidegrid.sources import testdata as data
-from tidegrid.sources.readings import scan_readings
+from tidegrid.sources.artifacts import load_published, publish
+from tidegrid.sources.readings import scan_checked, scan_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +67,8 @@ WINDOW_SCALES = {"target": 0.1, "aux": 0.02, "sin_hour": 0.5, "lag_1h": 0.03, "r
 WINDOW_LENGTH = 24
 WINDOW_WEIGHTS = [[w * 0.8**age for w in WINDOW_SCALES.values()] for age in reversed(range(WINDOW_LENGTH))]
 WINDOW_INTERCEPT = 3.0
+# A model fed with its own forecasts nears the mean with each step: it is judged by the first.
+JUDGED_STEPS = 6
 
 
 def query(fn: Query) -> Query:
@@ -98,6 +101,26 @@ def scan_readings_query(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(df.select("event_id", "ts", "event_type", "value"))
 
 
+@query
+def scan_unreadable(spark: SparkSession, sf: str) -> DataFrame:
+    """Events written as CSV, some with unreadable values, too few or too many fields."""
+    path = data.events_csv(spark, sf)
+    schema = "event_id bigint, ts timestamp_ntz, event_type string, value double"
+    good, bad = scan_checked(spark, path, schema)
+    none = F.lit(None)
+    return rounded(
+        good.select("*", none.cast("string").alias("reason")).unionByName(
+            bad.select(
+                F.element_at(F.split("record", ","), 1).cast("bigint").alias("event_id"),
+                none.cast("timestamp_ntz").alias("ts"),
+                none.cast("string").alias("event_type"),
+                none.cast("double").alias("value"),
+                "reason",
+            )
+        )
+    )
+
+
 @query
 def normalize_columns_query(spark: SparkSession, sf: str) -> DataFrame:
     df = data.readings_hourly(spark, sf).select(
@@ -236,6 +259,14 @@ def rolling_std(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(df)
 
 
+@query
+def rolling_week(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean and standard deviation over windows of 168 cells."""
+    table = _clean_hourly(spark, sf).select("series_id", "ts", "target")
+    df = history_features(table, HOURLY, lags=(), mean_windows=(168,), std_windows=(168,))
+    return rounded(df)
+
+
 @query
 def aqi_tier_query(spark: SparkSession, sf: str) -> DataFrame:
     events = data.table(spark, sf, "events")
@@ -320,6 +351,17 @@ def transform_new_query(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(transform_new(recent, fitted, HOURLY, since=NEW_SINCE))
 
 
+@query
+def saved_transform(spark: SparkSession, sf: str) -> DataFrame:
+    """As `transform_new`, with state that was published and loaded again."""
+    readings = data.readings_hourly(spark, sf)
+    _, fitted = prepare_dataset(readings, HOURLY)
+    base = shared_folder(spark, "published")
+    publish(spark, base, fitted=fitted)
+    recent = readings.filter(F.col("ts") >= F.lit(HISTORY_SINCE).cast("timestamp_ntz"))
+    return rounded(transform_new(recent, load_published(spark, base).fitted, HOURLY, since=NEW_SINCE))
+
+
 @query
 def transform_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Three batches in a row; the last one's rows are those of a run over all readings."""
@@ -534,10 +576,11 @@ def forecast_single_step(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _worth(forecast: DataFrame, table: DataFrame) -> DataFrame:
-    """Forecasts with the judgement of their series, over the steps whose actual is known."""
+    """Forecasts with the judgement of their series: the steps up to JUDGED_STEPS whose actual
+    is known, against the mean of the train rows."""
     forecast = settle(forecast)
     actual = table.select("series_id", "ts", "target")
-    judged = _judged(forecast.join(actual, ["series_id", "ts"]), table)
+    judged = _judged(forecast.filter(F.col("step") <= JUDGED_STEPS).join(actual, ["series_id", "ts"]), table)
     return forecast.join(judged.select("series_id", "beats_train_mean"), "series_id").select(
         "series_id", "origin", "step", "ts", F.col("predicted").isNotNull().alias("predicted_present"), "beats_train_mean"
     )

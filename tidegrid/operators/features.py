@@ -67,8 +67,9 @@ def history_features(
 
     Everything is read off one set of lags: one shuffle, one sort, constant work
     per lag and row. Sums of lags are NULL wherever a cell is missing, which is
-    just the rule above. A sliding frame would redo its whole window for each row,
-    so only windows too long for lags use one.
+    just the rule above. A sliding frame would redo its whole window for each row:
+    windows too long for lags are put together from two running aggregates instead
+    (see :func:`_long_windows`), again with constant work per row.
     """
     windows = sorted({*mean_windows, *std_windows})
     look_back = max([0, *lags, *[w - 1 + shift for w in windows]])
@@ -78,18 +79,13 @@ def history_features(
     offsets = sorted({*lags, *range(1, reach + 1)})
     value = named(target)
 
-    def framed(w: int) -> list[Column]:
-        frame = order.rowsBetween(-(w - 1) - shift, -shift)
-        full = F.count(value).over(frame) == w
-        return [
-            F.when(full, F.avg(value).over(frame)).alias(f"_mean{w}"),
-            F.when(full, F.stddev_samp(value).over(frame)).alias(f"_std{w}"),
-        ]
-
     seen = [F.lag(value, k).over(order).alias(f"_lag{k}") for k in offsets]
-    seen += [column for w in windows if w not in short for column in framed(w)]
     haloed = with_halo(df, grid.cell(), max(grid.chunk_cells, look_back), look_back)
-    rows = own_rows(haloed.select("*", *seen))
+    rows = haloed.select("*", *seen)
+    for w in windows:
+        if w not in short:
+            rows = _long_windows(rows, value, grid, w, shift)
+    rows = own_rows(rows)
 
     def at(k: int) -> str:
         return f"`_lag{k}`" if k else f"`{target}`"
@@ -114,6 +110,52 @@ def history_features(
     return rows.select("*", *means).select(*kept, *features)
 
 
+def _long_windows(rows: DataFrame, value: Column, grid: Grid, w: int, shift: int) -> DataFrame:
+    """Add ``_mean<w>`` and ``_std<w>`` of the w cells that end ``shift`` rows back.
+
+    Cells are cut into blocks of w. A window covers the end of one block and the beginning
+    of the next, so it is a suffix of the one merged with a prefix of the other: both
+    are running aggregates (number, mean, sum of squares about the mean). The suffix is
+    fetched w - 1 rows back, the whole shifted by a lag. Rows are those of a chunk with its
+    halo, one per grid cell.
+    """
+    block = F.floor(grid.cell() / F.lit(w))
+    running = Window.partitionBy(grid.series, "_chunk", "_block").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(grid.series, "_chunk").orderBy(grid.ts)
+    x = value.cast("double")
+
+    def stats(window) -> Column:
+        return F.struct(
+            F.count(x).over(window).alias("n"),
+            F.avg(x).over(window).alias("mean"),
+            (F.var_pop(x).over(window) * F.count(x).over(window)).alias("m2"),
+        )
+
+    parts = rows.withColumn("_block", block).select(
+        "*",
+        stats(running.orderBy(grid.ts)).alias("_prefix"),
+        stats(running.orderBy(F.desc(grid.ts))).alias("_suffix"),
+    )
+    # before the suffix the window reaches into the block before, unless it is the block
+    earlier = F.lag("_suffix", w - 1).over(order)
+    same = F.lag("_block", w - 1).over(order) == F.col("_block")
+    parts = parts.withColumn("_earlier", F.when(~same, earlier)).withColumn("_whole", same)
+    p, e = F.col("_prefix"), F.col("_earlier")
+    n = p["n"] + F.coalesce(e["n"], F.lit(0))
+    gap = p["mean"] - e["mean"]
+    mean = F.when(F.col("_whole"), p["mean"]).otherwise(e["mean"] + gap * p["n"] / n)
+    m2 = F.when(F.col("_whole"), p["m2"]).otherwise(p["m2"] + e["m2"] + gap * gap * e["n"] * p["n"] / n)
+    full = F.col("_whole").isNotNull() & (n == w)
+    found = parts.select(
+        *[named(c) for c in rows.columns],
+        F.when(full, mean).alias(f"_mean{w}"),
+        F.when(full & (F.lit(w) > 1), F.sqrt(m2 / (w - 1))).alias(f"_std{w}"),
+    )
+    if not shift:
+        return found
+    return found.withColumns({c: F.lag(c, shift).over(order) for c in (f"_mean{w}", f"_std{w}")})
+
+
 def feature_table(
     df: DataFrame,
     grid: Grid = Grid(),

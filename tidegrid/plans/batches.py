@@ -17,6 +17,7 @@ from tidegrid.operators.naming import drop_columns
 from tidegrid.operators.regrid import nan_to_null, numeric_columns
 from tidegrid.plans.dataset import Fitted, scaled_features
 from tidegrid.session import settle
+from tidegrid.sources.files import file_exists, list_folders
 
 # Rows a feature looks back on, its own included.
 LOOK_BACK = max(*LAGS, *[w - 1 for w in MEAN_WINDOWS]) + 1
@@ -48,27 +49,13 @@ class SeriesState:
     def load(cls, spark: SparkSession, path: str) -> SeriesState | None:
         """The last complete generation, or none."""
         for number in sorted(_generations(spark, path), reverse=True):
-            if _exists(spark, f"{path}/{number}/complete/_SUCCESS"):
+            if file_exists(spark, f"{path}/{number}/complete/_SUCCESS"):
                 return cls(*[spark.read.parquet(f"{path}/{number}/{n}") for n in ("tail", "pools", "marks")])
         return None
 
 
-def _path(spark: SparkSession, path: str):
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    found, files = _path(spark, path)
-    return files.exists(found)
-
-
 def _generations(spark: SparkSession, path: str) -> list[int]:
-    found, files = _path(spark, path)
-    if not files.exists(found):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(found)]
-    return [int(n) for n in names if n.isdigit()]
+    return [int(n) for n in list_folders(spark, path) if n.isdigit()]
 
 
 def transform_batch(

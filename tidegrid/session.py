@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A path for a new folder that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{os.urandom(8).hex()}"
+
+
 def join_counted(left: DataFrame, right: DataFrame, on: list[str], rows: int = 100_000) -> DataFrame:
     """Join with a settled frame; it is broadcast only if it has at most ``rows`` rows."""
     small = right.limit(rows + 1).count() <= rows

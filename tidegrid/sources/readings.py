@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid.grid import named
 from tidegrid.operators.naming import normalize_columns
 from tidegrid.operators.regrid import nan_to_null, parse_time
 
 FORMATS = ("csv", "json", "parquet", "orc")
+BROKEN = "_unreadable"
 
 
 def scan_readings(
@@ -35,6 +37,42 @@ def scan_readings(
     return nan_to_null(reader.options(**options).load(path))
 
 
+def scan_checked(
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv", **options: str
+) -> tuple[DataFrame, DataFrame]:
+    """Read CSV or JSON lines in two tables: typed rows, and records that do not parse.
+
+    The second one is ``(file, record, reason)``; the reason names the first column whose
+    text is no value of its type, or tells that the record as a whole cannot be read (a
+    wrong number of fields, broken JSON). Empty fields are NULL. Both tables read the files
+    when they are used, and no record is in both or in none.
+    """
+    if fmt not in ("csv", "json"):
+        raise ValueError(f"unknown text format {fmt}")
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])
+    reader = spark.read.format(fmt).schema(texts.add(BROKEN, T.StringType()))
+    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN, **options)
+    columns = [f.name for f in wanted.fields]
+    rows = reader.load(path).select(
+        F.col("_metadata.file_path").alias("_file"), BROKEN, *[named(c).alias(f"_t{i}") for i, c in enumerate(columns)]
+    )
+    typed = [F.expr(f"try_cast(_t{i} AS {f.dataType.simpleString()})") for i, f in enumerate(wanted.fields)]
+    reason = F.when(F.col(BROKEN).isNotNull(), F.lit("unreadable record"))
+    for i, f in enumerate(wanted.fields):
+        odd = F.col(f"_t{i}").isNotNull() & typed[i].isNull()
+        reason = reason.when(odd, F.lit(f"{f.name} is no {f.dataType.simpleString()}"))
+    judged = rows.withColumn("reason", reason)
+    good = judged.filter(F.col("reason").isNull()).select(*[t.alias(c) for t, c in zip(typed, columns)])
+    record = F.to_csv(F.struct(*[f"_t{i}" for i in range(len(columns))])) if fmt == "csv" else F.to_json(
+        F.struct(*[F.col(f"_t{i}").alias(c) for i, c in enumerate(columns)])
+    )
+    bad = judged.filter(F.col("reason").isNotNull()).select(
+        F.col("_file").alias("file"), F.coalesce(BROKEN, record).alias("record"), "reason"
+    )
+    return nan_to_null(good), bad
+
+
 def as_series(
     raw: DataFrame,
     time: str = "time",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.grid import Grid
 from tidegrid.operators.experiments import parse_summary
+from tidegrid.session import shared_folder
 
 HOURLY = Grid()
 DAILY = Grid(freq_seconds=86_400)
@@ -35,11 +36,11 @@ def readings_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readings_cyclic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly readings with a daily course in the target, which models can learn.
 
-    Its sine is two and a half times its cosine, and both exceed the readings' own noise.
+    Its sine is two and a half times its cosine, and both exceed what the readings add.
     """
     angle = F.hour("ts") * (2 * math.pi) / 24
     course = F.lit(150.0) * F.sin(angle) + F.lit(60.0) * F.cos(angle)
-    return readings_hourly(spark, sf_dir).withColumn("target", F.col("target") + course)
+    return readings_hourly(spark, sf_dir).withColumn("target", F.col("target") * 0.2 + course)
 
 
 def readings_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,19 @@ def readings_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The events as CSV lines in a new shared folder, some of them broken; its path."""
+    key = F.col("event_id")
+    value = F.when(key % 97 == 0, "n/a").otherwise(F.col("value").cast("string"))
+    fields = [key.cast("string"), F.col("ts").cast("string"), F.col("event_type"), value]
+    line = F.concat_ws(",", *fields)
+    short, long = F.concat_ws(",", *fields[:2]), F.concat_ws(",", *fields, F.lit("more"))
+    broken = F.when(key % 89 == 0, short).when(key % 83 == 0, long).otherwise(line)
+    path = shared_folder(spark, "events-csv")
+    table(spark, sf_dir, "events").select(broken.alias("value")).write.text(path)
+    return path
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One experiment run per order, with a JSON summary read back into a struct."""
     key = F.col("o_orderkey")
