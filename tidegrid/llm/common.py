@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Words end at these bytes in every operator: space and U+0009 to U+000D. No byte of a
 # longer UTF-8 sequence is among them, so bytes.split() finds exactly these words.
@@ -36,7 +37,7 @@ def held(name: tuple, make: Callable[[], object]) -> object:
     return _HELD[name]
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], schema: str, arrow: pa.Schema) -> DataFrame:
+def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], schema: str | StructType, arrow: pa.Schema) -> DataFrame:
     """Rows made from batches of columns by the function that `make` builds once per task.
 
     The function gets the batch's columns as Arrow arrays and returns the output's columns
@@ -49,6 +50,8 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], s
             for part in slices(batch):
                 out = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(work(part.columns), arrow.types)]
                 yield pa.RecordBatch.from_arrays(out, schema=arrow)
+        # the worker lives on, with what its pool has kept
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -69,7 +72,7 @@ def texts(column: pa.Array) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    BOUND = 500_000
+    BOUND = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.BOUND:
@@ -143,6 +146,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{os.urandom(8).hex()}"
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Within, the session has these settings (dots written as two underscores)."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Within, Spark removes an action's shuffle files when the action is over.
@@ -150,19 +170,25 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     What the action has written does not need them, and they would else fill the disks
     until the driver happens to collect its garbage.
     """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
-    try:
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        yield
+
+
+# Rows of text that an executor holds at once on the way to and from Python.
+TEXT_BATCH = "1000"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within, texts reach Python in batches of TEXT_BATCH rows at most."""
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=TEXT_BATCH):
         yield
-    finally:
-        spark.conf.set(name, before)
 
 
 def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """The frame written to the shared folder and read back: cuts lineage, keeps columns prunable."""
     folder = folder or new_folder(df.sparkSession, name)
-    with shuffles_removed(df.sparkSession):
+    with shuffles_removed(df.sparkSession), small_batches(df.sparkSession):
         df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
