@@ -10,9 +10,14 @@ which can link share a number of parts (with SPARE and, where shingles are left
 quarter more, so that parts empty in both need not count); a set sends one signature per part, and sets that share a
 signature belong to one family. Shingles of very common passages would tie unlike sets
 together at low thresholds, so they are found by a counting pass over all texts and left
-out of signatures there. Signatures are counted before the shuffle; a family is a component
-of (set, smallest set with its signature). Linked sets are always in one family. Nothing
-is emitted per pair.
+out of signatures there. A family is a component of (set, smallest set with its signature).
+Linked sets are always in one family. Nothing is emitted per pair.
+
+*Candidates.* At low thresholds a set has many signatures, nearly all of them its own, so
+sets without a partner are told first, by prefixes in a global order (frequent shingles
+last). If two sets share o shingles, their first size - o + k share at least k. A set
+stays a candidate if, of its first shingles, so many are also among those of other sets
+(PREFIX_SHARE of its size, besides what may differ); only candidates send signatures.
 
 *Prefix trees.* A family is dealt into blocks of bounded size, and each pair of blocks is
 one group. One block's sets, in global order of their hashes, form a prefix tree whose
@@ -43,9 +48,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import WordHashes, gram_hashes, map_rows, mixed, passing, scan, slices, texts, written
+from tidegrid.llm.common import WordHashes, gram_hashes, join_checked, map_rows, mixed, passing, scan, shuffles_removed, slices, small_batches, texts, written
 from tidegrid.llm.components import components
 
 # Parts more than needed, besides a quarter more: so many may be empty in a set.
@@ -56,6 +62,10 @@ BUCKET_BITS = 22
 BUCKET_PARTS = 64
 FREQUENT = 1 << 19
 RARE_SHARE = 0.5
+# Shingles that have to be shared in a prefix, per shingle of the set, and the number of
+# candidates up to which they are broadcast (as 64-bit numbers).
+PREFIX_SHARE = 0.1
+MAX_BROADCAST_SETS = 1_000_000
 BLOCK_SETS = 800
 BLOCK_SHINGLES = 400_000
 WALKERS = 128
@@ -131,9 +141,10 @@ def frequent_buckets(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
 
     rows = docs.select(F.col(text).cast("string")).mapInArrow(count, "part int, counts binary")
     table = np.zeros((BUCKET_PARTS, (1 << BUCKET_BITS) // BUCKET_PARTS), np.int64)
-    # BUCKET_PARTS rows, of a size that does not depend on the data
-    for row in rows.groupBy("part").applyInArrow(add, "part int, counts binary").collect():
-        table[row["part"]] = np.frombuffer(zlib.decompress(bytes(row["counts"])), "<i8")
+    with shuffles_removed(docs.sparkSession), small_batches(docs.sparkSession):
+        # BUCKET_PARTS rows, of a size that does not depend on the data
+        for row in rows.groupBy("part").applyInArrow(add, "part int, counts binary").collect():
+            table[row["part"]] = np.frombuffer(zlib.decompress(bytes(row["counts"])), "<i8")
     return table.ravel() > max(1.0, table.sum() / FREQUENT)
 
 
@@ -165,6 +176,20 @@ class Signer:
             out += [mixed(self.in_group(grams, g) + np.uint64(1)) for g in groups]
         return np.concatenate(out)
 
+    def prefix(self, grams: np.ndarray) -> tuple[int, np.ndarray]:
+        """How many of the set's first shingles any partner shares, and these shingles.
+
+        A smaller partner has a shorter prefix: the smallest one decides how many.
+        """
+        size = len(grams)
+        least = -(-self.like.num * size // self.like.den)
+        first = size - least + max(1, int(size * PREFIX_SHARE))
+        shared = max(1, int(least * PREFIX_SHARE))
+        order = mixed(grams ^ np.uint64(0xD6E8FEB86659FD93))
+        if self.frequent is not None:
+            order = (order >> np.uint64(1)) | (self.frequent[bucket_of(grams)].astype(np.uint64) << np.uint64(63))
+        return shared, grams[np.argpartition(order, first - 1)[:first]] if first < size else grams
+
     def in_group(self, grams: np.ndarray, group: int) -> np.ndarray:
         """One signature per part; equal sets alone link where no shingle may differ."""
         top = self.bounds[group + 1] - 1
@@ -186,42 +211,71 @@ class Signer:
         return mixed(sums ^ mixed(place + np.uint64(0x5851F42D4C957F2D)))
 
 
-def signed(docs: DataFrame, key: str, text: str, like: Likeness) -> DataFrame:
-    """_key, _set (null for an empty set), n_shingles, _signs."""
+def hashed(docs: DataFrame, key: str, text: str, like: Likeness, frequent, prefixes: bool) -> DataFrame:
+    """_key, _set (null for an empty set), n_shingles, _shared, _hashes of each row.
+
+    The hashes are the set's signatures, or its first shingles, of which `_shared` are also
+    a partner's. `frequent` is the broadcast bits of frequent buckets (of None where all are
+    signed alike).
+    """
     dtype = docs.schema[key].dataType
-    bits = np.packbits(frequent_buckets(docs, text, like)) if like.rare else None
-    frequent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def make():
         bits = frequent.value
         memory, signer = WordHashes(), Signer(like, None if bits is None else np.unpackbits(bits).astype(bool))
 
+        def one(grams: np.ndarray) -> tuple[int | None, np.ndarray]:
+            if not len(grams):
+                return None, grams
+            return signer.prefix(grams) if prefixes else (None, signer.sign(grams))
+
         def work(columns):
             keys, column = columns
             sets = [shingles(t, like.n, memory) for t in texts(column)]
-            signs = [signer.sign(s).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
-            edges = np.cumsum([0] + [len(s) for s in signs], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(signs) if signs else np.empty(0, np.int64)))
-            return [keys, [set_name(s) if len(s) else None for s in sets], [len(s) for s in sets], lists]
+            shared, hashes = zip(*map(one, sets)) if sets else ((), ())
+            edges = np.cumsum([0] + [len(h) for h in hashes], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(hashes).view(np.int64) if sets else np.empty(0, np.int64)))
+            return [keys, [set_name(s) if len(s) else None for s in sets], [len(s) for s in sets], list(shared), lists]
 
         return work
 
-    arrow = pa.schema([("_key", to_arrow_type(dtype)), ("_set", pa.int64()), ("n_shingles", pa.int64()), ("_signs", pa.list_(pa.int64()))])
-    schema = f"_key {dtype.simpleString()}, _set long, n_shingles long, _signs array<long>"
-    return map_rows(docs.select(F.col(key), F.col(text).cast("string")), make, schema, arrow)
+    fields = [("_key", to_arrow_type(dtype)), ("_set", pa.int64()), ("n_shingles", pa.int64()), ("_shared", pa.int64()), ("_hashes", pa.list_(pa.int64()))]
+    schema = f"_key {dtype.simpleString()}, _set long, n_shingles long, _shared long, _hashes array<long>"
+    return map_rows(docs.select(F.col(key), F.col(text).cast("string")), make, schema, pa.schema(fields))
+
+
+def met_elsewhere(rows: DataFrame, folder: str) -> DataFrame:
+    """_set, _hash, _hub (smallest set) of the hashes that several sets have."""
+    hashes = rows.where("_set IS NOT NULL").select("_set", F.explode("_hashes").alias("_hash"))
+    hubs = hashes.groupBy("_hash").agg(F.min("_set").alias("_hub"), F.max("_set").alias("_other")).where("_hub <> _other")
+    return hashes.join(written(hubs.select("_hash", "_hub"), "hash-hubs", folder), "_hash")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """_set, _key (smallest) of the sets that share enough of their prefix with others to
+    have a partner; computed."""
+    with passing(rows.sparkSession, "hash-hubs") as folder:
+        found = met_elsewhere(rows, folder).groupBy("_set").agg(F.count("*").alias("_met"))
+        # copies of a set meet alike: each counts as often as the set has rows
+        sets = rows.groupBy("_set").agg(F.min("_shared").alias("_shared"), F.count("*").alias("_rows"), F.min("_key").alias("_key"))
+        return sets.join(found, "_set").where("_met >= _shared * _rows").select("_set", "_key").checkpoint()
 
 
 def families(rows: DataFrame) -> DataFrame:
     """_set, _family of the sets that share a signature with another set; computed."""
-    signs = rows.select("_set", F.explode("_signs").alias("_sign"))
-    hubs = signs.groupBy("_sign").agg(F.min("_set").alias("_hub"), F.max("_set").alias("_other")).where("_hub <> _other")
-    with passing(rows.sparkSession, "sign-hubs") as folder:
-        hubs = written(hubs.select("_sign", "_hub"), "sign-hubs", folder)
-        edges = signs.join(hubs, "_sign").where("_set <> _hub").select(F.col("_set").alias("a"), F.col("_hub").alias("b"))
+    with passing(rows.sparkSession, "hash-hubs") as folder:
+        edges = met_elsewhere(rows, folder).where("_set <> _hub").select(F.col("_set").alias("a"), F.col("_hub").alias("b"))
         found = components(edges)
     return found.select(F.col("node").alias("_set"), F.col("root").alias("_family"))
 
 
+def signing_documents(docs: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """The rows of the candidates' keys; a null key is one too."""
+    keys = found.select(F.struct("_key").alias("_named")).distinct()
+    named = docs.withColumn("_named", F.struct(F.col(key).alias("_key")))
+    return join_checked(named, keys, ["_named"], "left_semi", MAX_BROADCAST_SETS)
+
+
 class Tree:
     """A prefix tree of sets of ranks: sorted sets, the length each shares with the one
     before, and for each length at which sets branch off, the sets below."""
@@ -377,36 +431,81 @@ PARTS = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n_links", pa.int64())])
 
 
-def linked_documents(docs: DataFrame, like: Likeness, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: key, n_shingles, component_id (smallest key), n_links (the
-    documents it links with, copies included)."""
-    with passing(docs.sparkSession, "shingle-signs") as folder:
-        rows = written(signed(docs, key, text, like), "shingle-signs", folder)
+def resolved(docs: DataFrame, like: Likeness, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows (_key, _set, n_shingles), and the distinct sets that are not empty with their
+    component (_root), smallest key, number of rows and links."""
+    bits = np.packbits(frequent_buckets(docs, text, like)) if like.rare else None
+    frequent = docs.sparkSession.sparkContext.broadcast(bits)
+    with passing(docs.sparkSession, "set-hashes") as folder:
+        rows = written(hashed(docs, key, text, like, frequent, like.rare), "set-hashes", folder)
         narrow = written(rows.select("_key", "_set", "n_shingles"), "shingle-sets")
-        # ends in a checkpoint, so the signatures have served
-        family = families(rows.where("_set IS NOT NULL"))
+        # both end in a checkpoint, so the hashes have served
+        if like.rare:
+            chosen = candidates(rows)
+        else:
+            family = families(rows)
+    if like.rare:
+        with passing(docs.sparkSession, "set-signs") as folder:
+            signing = hashed(signing_documents(docs, key, chosen), key, text, like, frequent, False)
+            family = families(written(signing.join(chosen.select("_set"), "_set", "left_semi"), "set-signs", folder))
     found = written(tree_links(docs, narrow, family, key, text, like), "tree-links")
     roots = components(found.where("b IS NOT NULL").select("a", "b"))
     degrees = found.where("n_links IS NOT NULL").groupBy(F.col("a").alias("_set")).agg(F.sum("n_links").alias("_links"))
     sets = narrow.where("_set IS NOT NULL").groupBy("_set").agg(F.min("_key").alias("_least"), F.count("*").alias("_copies"))
     sets = sets.join(roots.withColumnRenamed("node", "_set"), "_set", "left").join(degrees, "_set", "left")
-    sets = sets.withColumn("_root", F.coalesce("root", "_set"))
+    return narrow, sets.select("_set", F.coalesce("root", "_set").alias("_root"), "_least", "_copies", F.coalesce("_links", F.lit(0)).alias("_links"))
+
+
+def linked_documents(docs: DataFrame, like: Likeness, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: key, n_shingles, component_id (smallest key), n_links (the
+    documents it links with, copies included)."""
+    narrow, sets = resolved(docs, like, key, text)
     least = sets.groupBy("_root").agg(F.min("_least").alias("_component"))
-    named = sets.join(least, "_root").select("_set", "_component", (F.coalesce("_links", F.lit(0)) + F.col("_copies") - 1).alias("_links"))
+    named = sets.join(least, "_root").select("_set", "_component", (F.col("_links") + F.col("_copies") - 1).alias("_links"))
     full = narrow.where("_set IS NOT NULL").join(named, "_set").select(F.col("_key").alias(key), "n_shingles", F.col("_component").alias("component_id"), F.col("_links").alias("n_links"))
     empty = narrow.where("_set IS NULL").select(F.col("_key").alias(key), "n_shingles", F.col("_key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return full.union(empty)
 
 
+def named_sets(docs: DataFrame, key: str, text: str, like: Likeness) -> DataFrame:
+    """_key, _set (0 for an empty set) and all columns of the rows as _row."""
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+
+    def make():
+        memory = WordHashes()
+        return lambda columns: [columns[0], [set_name(shingles(t, like.n, memory)) for t in texts(columns[1])], columns[2]]
+
+    arrow = pa.schema([("_key", to_arrow_type(kinds["_key"])), ("_set", pa.int64()), ("_row", to_arrow_type(kinds["_row"]))])
+    schema = T.StructType([T.StructField("_key", kinds["_key"]), T.StructField("_set", T.LongType()), T.StructField("_row", kinds["_row"])])
+    return map_rows(rows, make, schema, arrow)
+
+
 def keep_one(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of one document of each component: that of the smallest key.
+    """All columns of one document of each component: that of the smallest key, and of its
+    rows in the component that of the smallest set.
 
-    Rows that repeat its key are reduced to one. Rows with a null key cannot be named by
-    a decision; they stay.
+    What is judged is a key with a set of shingles: rows of one key with unlike texts are
+    judged apart, each in its own component, and empty texts of a key by themselves. Rows
+    equal in key and set are reduced to the first by a hash of all columns. Rows with a null
+    key cannot be named by a decision; they stay.
     """
-    marks = linked_documents(docs, like, key, text).where(F.col(key) == F.col("component_id")).select(F.col(key)).distinct()
-    named = docs.where(F.col(key).isNotNull()).join(marks, key, "left_semi").dropDuplicates([key])
-    return named.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where(F.col(key).isNull()))
+    narrow, sets = resolved(docs, like, key, text)
+    best = sets.where("_least IS NOT NULL").groupBy("_root").agg(F.min(F.struct("_least", "_set")).alias("b"))
+    empty = narrow.where("_set IS NULL AND _key IS NOT NULL").select("_key", F.lit(0).cast("long").alias("_set")).distinct()
+    kept = best.select(F.col("b._least").alias("_key"), F.col("b._set").alias("_set")).union(empty)
+    rows = narrow.where("_key IS NOT NULL").groupBy("_key").agg(F.count("*").alias("_rows"))
+    kept = kept.join(rows, "_key").checkpoint()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    named = docs.where(F.col(key).isNotNull()).withColumn("_kept_key", F.col(key))
+    alone = kept.where("_rows = 1").select(F.col("_key").alias("_kept_key"))
+    single = join_checked(named, alone, ["_kept_key"], "left_semi", MAX_BROADCAST_SETS).select(*columns)
+    # a key of several rows: only these texts are looked at again
+    several = rows.where("_rows > 1").select(F.col("_key").alias("_kept_key"))
+    repeated = named_sets(join_checked(named, several, ["_kept_key"], "left_semi", MAX_BROADCAST_SETS).select(*columns), key, text, like)
+    chosen = repeated.join(kept.drop("_rows"), ["_key", "_set"], "left_semi")
+    first = chosen.groupBy("_key", "_set").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return single.union(first.select("_row.*").select(*columns)).union(docs.where(F.col(key).isNull()).select(*columns))
 
 
 def op1_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
