@@ -19,7 +19,7 @@ keys by the fingerprint.
 
 Encoding splits texts at plain spaces and line ends, across which the vocabulary never
 joins anything, and encodes each distinct piece once per task with the tokenizers
-library, remembering a bounded number. Strings of special tokens in a text are ordinary text.
+library, remembering a bounded number. Strings that the tokenizer has as tokens of its own are one id wherever they stand.
 
 Defined cases: null and empty texts have the end id alone; null keys come first and are
 one key; documents that share a key lie side by side, ordered by a hash of their text; an
@@ -28,6 +28,7 @@ empty table gives an empty folder. A document longer than a shard gets a shard o
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -63,7 +64,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_buffer(file)
-        self.model.encode_special_tokens = True
+        # strings that the tokenizer takes out of a text as they are, before anything else
+        self.taken = {t.content.encode(): i for i, t in self.model.get_added_tokens_decoder().items()}
+        longest = sorted(self.taken, key=len, reverse=True)
+        self.split = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")") if longest else None
         vocabulary = self.model.get_vocab()
         self.dtype = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
@@ -120,6 +124,18 @@ class PieceEncoder:
         return at, self.known[at] == hashes if len(self.known) else np.zeros(len(hashes), bool)
 
     def encode(self, batch: list[bytes]) -> list[bytes]:
+        """Raw ids of each text, with the end id."""
+        raw = self.plain(batch)
+        for k, text in enumerate(batch):
+            if self.split and self.split.search(text):
+                parts = self.split.split(text)
+                between = self.plain(parts[::2])
+                taken = [np.array([self.taken[p]], self.dtype).tobytes() for p in parts[1::2]] + [b""]
+                raw[k] = b"".join(x for pair in zip(between, taken) for x in pair)
+        return [ids + self.end for ids in raw]
+
+    def plain(self, batch: list[bytes]) -> list[bytes]:
+        """Raw ids of texts in which no string is taken out."""
         blob = b"\n".join(batch)
         data = np.frombuffer(blob, np.uint8)
         inside = np.zeros(len(data) + 2, bool)
@@ -143,7 +159,7 @@ class PieceEncoder:
         edges = np.cumsum([0] + [len(t) + 1 for t in batch])
         edges = np.concatenate([[0], stop])[np.searchsorted(start, edges)] * self.dtype.itemsize
         raw = ids.tobytes()
-        return [raw[a:b] + self.end for a, b in zip(edges.tolist(), edges[1:].tolist())]
+        return [raw[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist())]
 
 
 def key_bytes(key) -> bytes:
