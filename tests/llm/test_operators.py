@@ -145,6 +145,42 @@ def test_linked_sets_share_a_signature(num, marked):
     assert tried > 100
 
 
+@pytest.mark.parametrize("marked", [0.0, 0.3, 1.0])
+def test_linked_sets_share_enough_of_their_prefixes(marked):
+    rng = np.random.default_rng(int(marked * 10))
+    signer = trie_join.Signer(trie_join.Likeness(5, 80, 100), rng.random(1 << trie_join.BUCKET_BITS) < marked)
+    tried = 0
+    for _ in range(3000):
+        one = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 120)), dtype=np.uint64))
+        keep = one[rng.random(len(one)) > rng.uniform(0, 0.2)]
+        two = np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, int(rng.integers(0, 5)), dtype=np.uint64)]))
+        both = len(np.intersect1d(one, two))
+        if not len(two) or np.array_equal(one, two) or 100 * both < 80 * (len(one) + len(two) - both):
+            continue
+        tried += 1
+        (need, first), (other_need, other_first) = signer.prefix(one), signer.prefix(two)
+        assert len(np.intersect1d(first, other_first)) >= max(need, other_need)
+    assert tried > 300
+
+
+def test_keep_one_judges_keys_with_unlike_texts_apart(spark):
+    """Key 5 stands on a copy of key 1's text and on a text of its own, in either order."""
+    near, other = " ".join(f"w{k}" for k in range(80)), " ".join(f"v{k}" for k in range(80))
+    rows = [(5, near + " x"), (5, other), (1, near), (5, other), (7, ""), (7, None), (7, other + " y"), (None, near), (9, "lonely text")]
+    wanted = sorted([(1, near), (5, other), (7, ""), (9, "lonely text"), (None, near)], key=repr)
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in order], DOCS)
+        kept = [(r.doc_id, r.text or "") for r in trie_join.keep_one(docs).collect()]
+        assert sorted(kept, key=repr) == wanted
+
+
+def test_keep_one_takes_rows_whole(spark, clashing, rows):
+    links = brute_links(rows, 5, 80)
+    kept = trie_join.keep_one(clashing)
+    assert kept.columns == clashing.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted((i, t or "") for i, t, *_ in rows if links[i][1] == i)
+
+
 def test_trie_join_repeated_rows_nulls_and_empty(spark, nothing):
     some = [(1, "a b c d", None, None, 1), (1, "a b c d", None, None, 1), (None, "a b c d", None, None, 1), (None, None, None, None, None)]
     out = trie_join.linked_documents(spark.createDataFrame(some, DOCS), trie_join.Likeness(3, 90, 100)).collect()
@@ -331,7 +367,6 @@ def test_token_shards_hold_every_document(spark, rows, clashing, nothing):
     folder = new_folder(spark, "test-shards")
     token_store.write_shards(clashing, folder, "doc_id", "text", model, shard_ids=3000)
     library = Tokenizer.from_file(model)
-    library.encode_special_tokens = True
     ids = {i: [*library.encode(t or "", add_special_tokens=False).ids, 1] for i, t, *_ in rows}
     out = token_store.read_documents(spark, folder, "doc_id", key_type).orderBy("doc_id").collect()
     at = 0
@@ -372,11 +407,13 @@ def test_perfect_hash_is_minimal_and_rejects():
 def test_piece_encoder_equals_the_library():
     model = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(model)
-    library.encode_special_tokens = True
     with open(model, "rb") as file:
         encoder = token_store.PieceEncoder(file.read())
     rng = random.Random(1)
     texts = ["".join(rng.choice("  \n\t\x1c\x85\xa0'srtvemldLaéÉ٣12!?ñ中🙂ΣςİÅ<|endoftext|>") for _ in range(rng.randrange(30))) for _ in range(3000)]
+    # the tokenizer's own strings are one id each, wherever they stand
+    own = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endof", "text|>"]
+    texts += ["".join(rng.choice([*own, "a", " ", "B c", "\n", "é", "́", "'s", "7"]) for _ in range(rng.randrange(1, 12))) for _ in range(2000)]
     for text, got in zip(texts, encoder.encode([t.encode() for t in texts])):
         assert np.frombuffer(got, "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
 
@@ -462,9 +499,84 @@ def test_binomial_bound_is_exact():
 
     for k, n, p, miss in ((0, 100, 0.03, 0.05), (0, 98, 0.03, 0.05), (3, 400, 0.02, 0.05), (2, 400, 0.02, 0.012), (50, 5000, 0.0125, 0.05)):
         assert quality_rules.proven(k, n, p, miss) == (below(k, n, p) <= miss)
-    assert quality_rules.lowest_cutoff([9, 9, 0, 0], 2000, 0.01, 0.05) == 1
-    assert quality_rules.lowest_cutoff([90, 90, 0, 0], 2000, 0.01, 0.05) == 2
-    assert quality_rules.lowest_cutoff([3, 0, 0, 0], 3, 0.01, 0.05) is None
+    assert quality_rules.last_level([0, 9, 9, 9], 2000, 0.01, 0.05) == 4
+    assert quality_rules.last_level([0, 0, 90, 0], 2000, 0.01, 0.05) == 2
+    assert quality_rules.last_level([0, 0, 0, 3], 3, 0.01, 0.05) == 0
+    # so few good rows suffice where none is dropped
+    assert quality_rules.last_level([0], 86, 0.05, 0.05 / 4) == 1 and quality_rules.last_level([0], 85, 0.05, 0.05 / 4) == 0
+
+
+STEPS_ROWS = "doc_id long, stratum string, _text long, steps array<int>, base_failed boolean"
+
+
+def step_rows(rng, n, first, stratum):
+    return [(first + i, stratum, first + i, [min(40, int(rng.expovariate(0.4))) for _ in quality_rules.RATIOS], False) for i in range(n)]
+
+
+def brute_levels(unlabelled):
+    """Level of (ratio, step), by the cutoffs of each level."""
+    table = {}
+    for r in range(len(quality_rules.RATIOS)):
+        cuts = []
+        for t in range(1, quality_rules.LEVELS + 1):
+            allowed = t * quality_rules.WIDEST * len(unlabelled) / quality_rules.LEVELS
+            reach = [sum(steps[r] >= s for steps in unlabelled) for s in range(1, 41)]
+            cuts.append(next((s for s, k in enumerate(reach, 1) if k <= allowed + 1e-9), 41))
+        for s in range(41):
+            table[r, s] = next((t for t, cut in enumerate(cuts, 1) if s >= cut), quality_rules.LEVELS + 1)
+    return table
+
+
+def test_risk_controlled_levels_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows, marks = [], []
+    for k, (stratum, labelled) in enumerate((("a", 6000), ("b", 120), ("c", 40))):
+        mine = step_rows(rng, labelled + 2000, 10_000 * k, stratum)
+        rows += mine
+        marks += [(r[0], int(rng.random() < 0.8), 0) for r in mine[:labelled]]
+    # a labelled key on many rows, and copies of its text under other labelled keys
+    rows += [(0, "a", 0, [40] * 5, False)] * 300 + [(50_000 + i, "a", 77, [0] * 5, False) for i in range(300)]
+    marks += [(50_000 + i, 1, 0) for i in range(300)]
+    marks[0] = (0, 1, 0)
+    table, labels = spark.createDataFrame(rows, STEPS_ROWS), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    found = {r.stratum: r for r in quality_rules.cutoffs(table, labels, "doc_id").collect()}
+    good, known = {k for k, q, _ in marks if q}, {k for k, *_ in marks}
+    for stratum in "abc":
+        levels = brute_levels([r[3] for r in rows if r[1] == stratum and r[0] not in known])
+        assert {(r, s): found[stratum].levels[r][s - 1] for r in range(5) for s in range(1, 41)} == {k: v for k, v in levels.items() if k[1]}
+        draws = {}
+        for key, _, text, steps, _ in sorted((r for r in rows if r[1] == stratum and r[0] in good), key=lambda r: r[:4]):
+            draws.setdefault(key, (text, steps))
+        by_text = {}
+        for text, steps in draws.values():
+            by_text[text] = min(by_text.get(text, steps), steps)
+        reached = [min(levels[r, s] for r, s in enumerate(steps)) for steps in by_text.values()]
+        dropped = [sum(x <= t for x in reached) for t in range(1, quality_rules.LEVELS + 1)]
+        assert found[stratum].chosen == quality_rules.last_level(dropped, len(reached), 0.05, 0.05 / 3)
+    assert found["a"].chosen > 0 and found["c"].chosen == 0
+
+
+def test_false_rejections_stay_below_the_rate():
+    """Labelled samples of one distribution of levels: the chosen level's true rate exceeds
+    ALPHA in at most DELTA of them."""
+    rng = np.random.default_rng(5)
+    share = np.cumsum(np.full(40, 0.004))
+    over = 0
+    for _ in range(2000):
+        dropped = np.searchsorted(np.sort(rng.random(400)), share).tolist()
+        level = quality_rules.last_level(dropped, 400, 0.05, 0.05)
+        over += bool(level) and share[level - 1] > 0.05
+    assert over <= 2000 * 0.05 + 3 * (2000 * 0.05 * 0.95) ** 0.5
+
+
+def test_strata_that_pass_all_levels_give_up_their_share(spark):
+    sure = [("a", 41, 5000), ("b", 41, 5000), ("c", 41, 5000)]
+    # 60 good rows prove nothing at a quarter of delta, but do with all of it
+    rows = spark.createDataFrame([*sure, ("d", 41, 60)], "stratum string, level int, count long")
+    found = {r.stratum: r.chosen for r in quality_rules.risk_controlled(rows, 0.05, 0.05).collect()}
+    assert found == {"a": 40, "b": 40, "c": 40, "d": 40}
+    few = spark.createDataFrame([("a", 3, 5000), ("d", 41, 60)], "stratum string, level int, count long")
+    assert {r.stratum: r.chosen for r in quality_rules.risk_controlled(few, 0.05, 0.05).collect()} == {"a": 2, "d": 0}
 
 
 def test_poisson_mix_hits_its_means(spark, clashing, nothing):
