@@ -630,9 +630,18 @@ def test_byte_bpe_equals_the_library(ranks_file):
     rng = random.Random(3)
     texts = ["".join(rng.choice("  \n\t\xa0\x1c'''srtvemldlLaé٣12!?ñ中🙂") for _ in range(rng.randrange(40))) for _ in range(5000)]
     texts += ["x" * 5000, " " * 3000 + "a", "'" * 200 + "s", "ab" * 3000, "", "'", "don't'll've 're'RE"]
-    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
-        assert b"".join(decoder.pieces_of(ids)) == text.encode()
+    coded, begins = encoder.encode([t.encode() for t in texts])
+    for text, ids, at in zip(texts, coded, begins):
+        want = library.encode_ordinary(text)
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        sizes = [len(library.decode_single_token_bytes(i)) for i in want]
+        assert np.frombuffer(at, "<u4").tolist() == (np.cumsum(sizes) - sizes).tolist()
+    for known in ((coded, begins), (coded,)):
+        assert decoder.decode(*known) == [t.encode() for t in texts]
+    assert decoder.decode([], []) == [] and encoder.encode([]) == ([], []) and encoder.encode([b""]) == ([b""], [b""])
+    moved = np.frombuffer(begins[0] or begins[1], "<u4") + 1
+    with pytest.raises(ValueError):
+        decoder.decode([coded[0] or coded[1]], [moved.astype("<u4").tobytes()])
 
 
 def test_scan_of_functions_is_associative():

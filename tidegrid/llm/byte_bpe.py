@@ -9,9 +9,10 @@ Text is cut where the public pattern cuts it, without a regex engine:
   table, and an associative scan over blocks gives the state after every code point;
 * token starts follow from classes, states and the two next code points.
 
-The slices between starts go through a cache of merged ids. Ids are kept as
-little-endian unsigned 32-bit integers, with the byte offset of each id if asked for;
-decoding looks the ids' bytes up and joins them.
+The slices between starts go through a cache of merged ids, each with the byte at which
+its piece begins in the slice, as the merging left it. Ids and offsets in the text are
+little-endian unsigned 32-bit integers. Decoding places each id's piece at its offset and
+refuses pieces that leave a gap or overlap; without offsets it puts them end to end.
 
 Defined cases: a null or empty text has no ids and decodes to nothing; repeated rows
 are encoded one by one; a slice longer than LONG bytes is merged with a heap, so one
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidegrid.llm.common import file_bytes, map_rows, scan
+from tidegrid.llm.common import file_bytes, held, map_rows, scan
 
 SPACE, GAP, LETTER, NUMBER, QUOTE, OTHER = range(6)
 # states after a code point: a plain space, a place where an apostrophe may begin a
@@ -148,7 +150,8 @@ def token_starts(points: np.ndarray, first: np.ndarray, table: np.ndarray) -> np
 
 
 class Merger(dict):
-    """Slices of bytes to their ids, as bytes of unsigned 32-bit integers."""
+    """Slices of bytes to their ids, each followed by the byte its piece begins at, as
+    unsigned 32-bit integers."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         super().__init__()
@@ -157,19 +160,19 @@ class Merger(dict):
     def __missing__(self, piece: bytes) -> bytes:
         rank = self.ranks.get(piece)
         if rank is not None:
-            ids = rank.to_bytes(4, "little")
+            pairs = rank.to_bytes(4, "little") + b"\0\0\0\0"
         else:
             merged = merge_short(piece, self.ranks) if len(piece) <= LONG else merge_long(piece, self.ranks)
-            ids = np.array(merged, "<u4").tobytes()
+            pairs = np.array(merged, "<u4").tobytes()
         if len(piece) <= LONG:
             if len(self) >= CACHE_BOUND:
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[piece] = pairs
+        return pairs
 
 
-def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Join the pair of lowest rank, leftmost first, until no pair has a rank."""
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[tuple[int, int]]:
+    """Join the pair of lowest rank, leftmost first, until no pair has a rank: ids and begins."""
     get, none = ranks.get, 1 << 60
     parts = [piece[i : i + 1] for i in range(len(piece))]
     pairs = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
@@ -184,10 +187,11 @@ def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             pairs[i] = get(parts[i] + parts[i + 1], none)
         if i:
             pairs[i - 1] = get(parts[i - 1] + parts[i], none)
-    return [ranks[part] for part in parts]
+    begins = accumulate(map(len, parts), initial=0)
+    return [(ranks[part], begin) for part, begin in zip(parts, begins)]
 
 
-def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[tuple[int, int]]:
     """The same order of merges, with linked parts and a heap of candidate pairs."""
     n = len(piece)
     end = list(range(1, n + 1))  # end[i]: where the part that begins at i ends, 0 if none does
@@ -215,7 +219,7 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             offer(left[start])
     ids, start = [], 0
     while start < n:
-        ids.append(ranks[piece[start : end[start]]])
+        ids.append((ranks[piece[start : end[start]]], start))
         start = end[start]
     return ids
 
@@ -229,8 +233,8 @@ class Encoder:
         self.merger = Merger(ranks)
         self.table = class_table()
 
-    def slices(self, batch: list[bytes]) -> tuple[bytes, list[int], np.ndarray]:
-        """The texts end to end, where tokens begin in bytes, and each text's token range."""
+    def slices(self, batch: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts end to end, where slices and texts begin in bytes, and each text's range of slices."""
         blob = b"".join(batch)
         points = np.frombuffer(blob.decode().encode("utf-32-le"), np.uint32)
         width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
@@ -238,31 +242,50 @@ class Encoder:
         size = np.array([len(t) for t in batch], np.int64)
         edge = np.concatenate([[0], np.cumsum(size)])
         if not len(points):
-            return blob, [0], np.zeros(len(batch) + 1, np.int64)
+            return blob, np.empty(0, np.int64), edge, np.zeros(len(batch) + 1, np.int64)
         first = np.searchsorted(offset, edge[:-1][size > 0])
         starts = offset[:-1][token_starts(points, first, self.table)]
-        return blob, [*starts.tolist(), len(blob)], np.searchsorted(starts, edge)
-
-    def encode(self, batch: list[bytes]) -> list[bytes]:
-        blob, starts, ranges = self.slices(batch)
-        merged = self.merger
-        ids = [merged[blob[a:b]] for a, b in zip(starts, starts[1:])]
-        return [b"".join(ids[a:b]) for a, b in zip(ranges, ranges[1:])]
+        return blob, starts, edge, np.searchsorted(starts, edge)
+
+    def encode(self, batch: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of each text, and the byte at which each id's piece begins."""
+        blob, starts, edge, ranges = self.slices(batch)
+        merged, bounds = self.merger, [*starts.tolist(), len(blob)]
+        found = [merged[blob[a:b]] for a, b in zip(bounds, bounds[1:])] if len(starts) else []
+        count = np.fromiter(map(len, found), np.int64, len(found)) >> 3
+        pairs = np.frombuffer(b"".join(found), "<u4").reshape(-1, 2)
+        # from the slice's beginning to the text's
+        shift = starts - np.repeat(edge[:-1], np.diff(ranges))
+        ids, begins = pairs[:, 0].tobytes(), (pairs[:, 1] + np.repeat(shift, count)).astype("<u4").tobytes()
+        cuts = (4 * np.concatenate([[0], np.cumsum(count)])[ranges]).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])], [begins[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 class Decoder:
+    """The pieces of all ids end to end, and where each lies."""
+
     def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.pieces: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
+        pieces = [b""] * (max(ranks.values(), default=-1) + 1)
         for piece, rank in ranks.items():
-            self.pieces[rank] = piece
-
-    def pieces_of(self, ids: bytes) -> list[bytes]:
-        return list(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-
-def coders(file: bytes) -> tuple[Encoder, Decoder]:
-    ranks = read_ranks(file)
-    return Encoder(ranks), Decoder(ranks)
+            pieces[rank] = piece
+        self.size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.first = np.cumsum(self.size) - self.size
+        self.blob = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def decode(self, ids: list[bytes], begins: list[bytes] | None = None) -> list[bytes]:
+        """The texts of ids, each piece at its place."""
+        numbers = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        size = self.size[numbers]
+        stop = np.cumsum(size)
+        count = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        edge = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(count)])]
+        if begins is not None:
+            place = np.frombuffer(b"".join(begins), "<u4") + np.repeat(edge[:-1], count)
+            if len(place) != len(stop) or (place + size != stop).any():
+                raise ValueError("offsets leave a gap or overlap")
+        total = int(edge[-1])
+        text = self.blob[np.repeat(self.first[numbers] - stop + size, size) + np.arange(total)].tobytes()
+        return [text[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist())]
 
 
 def encode_documents(docs: DataFrame, key: str, text: str, ranks_file: str, offsets: bool = True) -> DataFrame:
@@ -271,17 +294,13 @@ def encode_documents(docs: DataFrame, key: str, text: str, ranks_file: str, offs
     shipped = docs.sparkSession.sparkContext.broadcast(file_bytes(ranks_file))
 
     def make():
-        encoder, decoder = coders(shipped.value)
-
-        def starts(ids: bytes) -> bytes:
-            sizes = np.fromiter(map(len, decoder.pieces_of(ids)), np.uint32)
-            return (np.cumsum(sizes, dtype="<u4") - sizes).astype("<u4").tobytes()
+        encoder = Encoder(read_ranks(shipped.value))
 
         def work(columns):
             keys, column = columns
-            ids = encoder.encode([t or b"" for t in column.cast(pa.binary()).to_pylist()])
+            ids, begins = encoder.encode([t or b"" for t in column.cast(pa.binary()).to_pylist()])
             out = [keys, [len(x) // 4 for x in ids], ids]
-            return [*out, [starts(x) for x in ids]] if offsets else out
+            return [*out, begins] if offsets else out
 
         return work
 
@@ -295,28 +314,31 @@ def encode_documents(docs: DataFrame, key: str, text: str, ranks_file: str, offs
 
 
 def decode_documents(encoded: DataFrame, key: str, ranks_file: str) -> DataFrame:
-    """key, n_tokens, token_ids and the decoded bytes of rows made by encode_documents."""
+    """key, n_tokens, token_ids and the decoded bytes of rows made by encode_documents, whose
+    offsets are used where they are there."""
     shipped = encoded.sparkSession.sparkContext.broadcast(file_bytes(ranks_file))
+    offsets = ["token_offsets"] if "token_offsets" in encoded.columns else []
 
     def make():
-        decoder = coders(shipped.value)[1]
+        decoder = held(("bpe-decoder", ranks_file), lambda: Decoder(read_ranks(shipped.value)))
 
         def work(columns):
-            keys, counts, ids = columns
-            return [keys, counts, ids, [b"".join(decoder.pieces_of(x or b"")) for x in ids.to_pylist()]]
+            keys, counts, ids, *begins = columns
+            known = [[x or b"" for x in c.to_pylist()] for c in (ids, *begins)]
+            return [keys, counts, ids, decoder.decode(*known)]
 
         return work
 
     dtype = encoded.schema[key].dataType
     arrow = pa.schema([(key, to_arrow_type(dtype)), ("n_tokens", pa.int64()), ("token_ids", pa.binary()), ("decoded", pa.binary())])
     schema = f"`{key}` {dtype.simpleString()}, n_tokens long, token_ids binary, decoded binary"
-    return map_rows(encoded.select(key, "n_tokens", "token_ids"), make, schema, arrow)
+    return map_rows(encoded.select(key, "n_tokens", "token_ids", *offsets), make, schema, arrow)
 
 
 def digests(docs: DataFrame, ranks_file: str | None = None) -> DataFrame:
     """doc_id, n_tokens, and the digests of ids and decoded bytes."""
     ranks_file = ranks_file or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    decoded = decode_documents(encode_documents(docs, "doc_id", "text", ranks_file, offsets=False), "doc_id", ranks_file)
+    decoded = decode_documents(encode_documents(docs, "doc_id", "text", ranks_file), "doc_id", ranks_file)
     return decoded.select(
         "doc_id",
         "n_tokens",
