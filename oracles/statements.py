@@ -1128,6 +1128,8 @@ ORACLES["train_sequence_model"] = with_ctes(
     """SELECT series_id, count(*) AS n_rows, TRUE AS all_predicted, TRUE AS beats_train_mean
 FROM split WHERE split = 'test' AND split_row > 24 GROUP BY series_id""",
 )
+ORACLES["staged_validation"] = """SELECT CAST(unnest(range(1, 21)) AS INTEGER) AS trees, TRUE AS train_error_falls,
+       TRUE AS cut_at_best"""
 ORACLES["forecast_single_step"] = with_ctes(
     SPLIT_HOURLY,
     f"""SELECT series_id, ts, {r6('target', 'actual')}, TRUE AS predicted_present,

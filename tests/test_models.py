@@ -14,7 +14,7 @@ from tidegrid.operators.forecasting import (
     recursive_window_model,
     window_origins,
 )
-from tidegrid.operators.models import estimator, train_model
+from tidegrid.operators.models import estimator, train_model, train_staged
 from tidegrid.plans.dataset import prepare_dataset, transform_new
 from tidegrid.plans.training import run_training
 from tidegrid.session import settle
@@ -195,3 +195,20 @@ def test_window_recursion_refuses_what_it_cannot_know(spark):
         recursive_window_linear(starts, ["target", "lag_24h"], [[0.0, 0.0]] * 3)
     with pytest.raises(ValueError):
         recursive_window_linear(starts, ["aux"], [[0.0]] * 3)
+
+
+def test_staged_validation_cuts_the_ensemble(spark):
+    """Noise makes more trees worse on the validation rows; the cut model is their prefix."""
+    rng = random.Random(1)
+    rows = [(("train", "val", "test")[i % 3], float(x), float(x > 5) + rng.gauss(0, 1)) for i in range(600) for x in [rng.randrange(11)]]
+    df = spark.createDataFrame(rows, "split string, x double, target double")
+    model, table = train_staged(df, ["x"], trees=12, depth=4)
+    errors = {r.trees: (r.train_error, r.val_error, r.kept) for r in table.collect()}
+    assert sorted(errors) == list(range(1, 13))
+    kept = [k for k, (_, _, is_kept) in errors.items() if is_kept]
+    assert len(kept) == 1 and errors[kept[0]][1] == min(v for _, v, _ in errors.values()) and kept[0] < 12
+    assert model.stages[-1].getNumTrees == kept[0]
+    wrong = model.transform(df.filter("split = 'val'")).select(F.avg((F.col("prediction") - F.col("target")) ** 2)).first()[0]
+    assert math.isclose(wrong, errors[kept[0]][1], rel_tol=1e-9)
+    whole, table = train_staged(df.filter("split <> 'val'"), ["x"], trees=3, depth=2)
+    assert whole.stages[-1].getNumTrees == 3 and [r.kept for r in table.orderBy("trees").collect()] == [False, False, True]

@@ -545,6 +545,24 @@ def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(forecasting.forecast_single_step(model, dataset), dataset)
 
 
+@query
+def staged_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees by their number, and whether the cut model's error on the validation rows
+    is the least that any number of trees has."""
+    dataset, _ = _dataset(spark, sf, data.readings_cyclic)
+    features = ["lag_1h", "lag_24h", "sin_hour", "cos_hour"]
+    model, table = models.train_staged(dataset, features, trees=20, depth=4)
+    val = dataset.filter(F.col("split") == "val")
+    predicted = model.transform(val).select(F.avg((F.col("prediction") - F.col("target")) ** 2).alias("_error"))
+    best = table.agg(F.min("val_error").alias("_best"), F.max(F.when(F.col("kept"), F.col("val_error"))).alias("_kept"))
+    facts = predicted.crossJoin(best).select(
+        ((F.col("_kept") == F.col("_best")) & (F.abs(F.col("_error") / F.col("_best") - 1) < 1e-9)).alias("cut_at_best")
+    )
+    falls = F.col("train_error") <= F.lag("train_error").over(Window.partitionBy(F.lit(0)).orderBy("trees"))
+    # one row per tree
+    return table.select("trees", F.coalesce(falls, F.lit(True)).alias("train_error_falls")).join(F.broadcast(facts))
+
+
 @query
 def train_sequence_model(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted trees on the windows of all features; the windows are not stored."""

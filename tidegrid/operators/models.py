@@ -117,6 +117,37 @@ def train_sequence_model(
     return Pipeline(stages=[keep, regressor]).fit(marked)
 
 
+def train_staged(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str = LABEL,
+    split: str = "split",
+    trees: int = TREES,
+    **params,
+) -> tuple[PipelineModel, DataFrame]:
+    """Boosted trees cut where the validation rows are predicted best.
+
+    Returns the model and ``(trees, train_error, val_error, kept)``: the mean squared error
+    of the first trees of the ensemble, for each number of them. Trees are added one after
+    the other, so an ensemble fitted with fewer is the beginning of a longer one. Without
+    validation rows nothing is cut.
+    """
+    whole = train_model(df, "gbt", features, label, split, trees=trees, **params)
+    assembler, ensemble = whole.stages
+
+    def errors(name: str) -> list[float] | None:
+        part = df.filter(F.col(split) == name).select(*features, label)
+        return ensemble.evaluateEachIteration(assembler.transform(part), "squared") if not part.isEmpty() else None
+
+    train, val = errors("train"), errors("val")
+    best = min(range(len(val)), key=val.__getitem__) + 1 if val else ensemble.getNumTrees
+    rows = [(k, train[k - 1], val[k - 1] if val else None, k == best) for k in range(1, ensemble.getNumTrees + 1)]
+    table = df.sparkSession.createDataFrame(rows, "trees int, train_error double, val_error double, kept boolean")
+    if best == ensemble.getNumTrees:
+        return whole, table
+    return train_model(df, "gbt", features, label, split, trees=best, **params), table
+
+
 def feature_importance(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """One row per feature with its share of the fitted trees' gain."""
     weights = model.stages[-1].featureImportances.toArray()
