@@ -1128,6 +1128,28 @@ ORACLES["train_sequence_model"] = with_ctes(
     """SELECT series_id, count(*) AS n_rows, TRUE AS all_predicted, TRUE AS beats_train_mean
 FROM split WHERE split = 'test' AND split_row > 24 GROUP BY series_id""",
 )
+ORACLES["window_products"] = with_ctes(
+    [
+        *SPLIT_HOURLY,
+        ("train", "SELECT series_id, split_row AS p, target, aux FROM split WHERE split = 'train'"),
+        (
+            "cells",
+            """SELECT series_id, p, 0 AS i, target AS v FROM train
+UNION ALL SELECT series_id, p, 1, aux FROM train
+UNION ALL SELECT series_id, p, 2, 1.0 FROM train""",
+        ),
+        (
+            "windows",
+            """SELECT w.series_id, w.p, c.p - w.p + 6 AS a, c.i, c.v
+FROM train w JOIN cells c ON c.series_id = w.series_id AND c.p BETWEEN w.p - 6 AND w.p
+WHERE w.p > 6 AND (c.p < w.p OR c.i = 0)""",
+        ),
+    ],
+    """SELECT CAST(x.a AS INTEGER) AS a, CAST(y.a AS INTEGER) AS b, x.i, y.i AS j,
+       round(sum(x.v * y.v) / (SELECT count(*) FROM train WHERE p > 6), 4) AS value
+FROM windows x JOIN windows y ON y.series_id = x.series_id AND y.p = x.p AND y.a >= x.a
+WHERE x.a < 6 GROUP BY ALL""",
+)
 ORACLES["staged_validation"] = """SELECT CAST(unnest(range(1, 21)) AS INTEGER) AS trees, TRUE AS train_error_falls,
        TRUE AS cut_at_best"""
 ORACLES["forecast_single_step"] = with_ctes(
@@ -1161,6 +1183,7 @@ WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CU
     """SELECT series_id, origin, step, origin + to_hours(step) AS ts, TRUE AS predicted_present, TRUE AS beats_train_mean
 FROM starts JOIN steps ON n = 24 AND since = origin - INTERVAL 23 HOUR""",
 )
+ORACLES["forecast_window_linear"] = ORACLES["forecast_sequence_model"]
 ORACLES["feature_importance"] = """SELECT feature, CAST(rank AS INTEGER) AS rank, TRUE AS shares_sum_to_one
 FROM (VALUES ('sin_hour', 1), ('cos_hour', 2), ('weather_code', 3)) AS t(feature, rank)"""
 ORACLES["transform_new_text"] = ORACLES["transform_new"].replace(

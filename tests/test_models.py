@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from tidegrid.operators.forecasting import (
     window_origins,
 )
 from tidegrid.operators.models import estimator, train_model, train_staged
+from tidegrid.operators.sequences import sequence_windows
+from tidegrid.operators.window_linear import train_window_linear
 from tidegrid.plans.dataset import prepare_dataset, transform_new
 from tidegrid.plans.training import run_training
 from tidegrid.session import settle
@@ -212,3 +215,26 @@ def test_staged_validation_cuts_the_ensemble(spark):
     assert math.isclose(wrong, errors[kept[0]][1], rel_tol=1e-9)
     whole, table = train_staged(df.filter("split <> 'val'"), ["x"], trees=3, depth=2)
     assert whole.stages[-1].getNumTrees == 3 and [r.kept for r in table.orderBy("trees").collect()] == [False, False, True]
+
+
+def test_window_linear_equals_a_fit_on_windows(spark):
+    """Series of many lengths, chunks shorter and longer than the window, two splits."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for name, n in (("a", 70), ("b", 4), ("c", 5), ("d", 6), ("e", 33), ("f", 8)):
+        values = np.cumsum(rng.normal(0, 1, (n, 2)), 0) + 100
+        rows += [(name, "train", i + 1, *map(float, v), float(v[0] * 0.5 + rng.normal())) for i, v in enumerate(values)]
+        rows += [(name, "test", i + 1, 1e6, 1e6, 1e6) for i in range(9)]
+    df = spark.createDataFrame(rows, "series_id string, split string, split_row int, u double, v double, target double")
+    for length, chunk in ((5, 7), (3, 1000), (1, 4)):
+        grid = Grid(chunk_cells=chunk)
+        windows = sequence_windows(df.filter("split = 'train'"), ["u", "v"], grid, length).collect()
+        x = np.array([np.ravel(r.window) for r in windows])
+        y = np.array([r.target for r in windows])
+        model = train_window_linear(df, ["u", "v"], grid, length)
+        assert model.rows == len(windows) and len(model.weights) == length
+        wanted = np.linalg.lstsq(np.column_stack([x, np.ones(len(x))]), y, rcond=None)[0]
+        assert np.ravel(model.weights) == pytest.approx(wanted[:-1], rel=1e-5, abs=1e-6)
+        assert model.intercept == pytest.approx(wanted[-1], rel=1e-4, abs=1e-4)
+    with pytest.raises(ValueError):
+        train_window_linear(df, ["u"], Grid(), 500)

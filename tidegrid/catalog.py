@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from tidegrid.functions.labels import alias_status
 from tidegrid.grid import Grid, named
-from tidegrid.operators import drift, experiments, forecasting, models, quality, registry, scoring
+from tidegrid.operators import drift, experiments, forecasting, models, quality, registry, scoring, window_linear
 from tidegrid.operators.encoding import encode, fit_encoding
 from tidegrid.operators.features import (
     aqi_tier,
@@ -545,6 +545,31 @@ def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(forecasting.forecast_single_step(model, dataset), dataset)
 
 
+PRODUCTS_LENGTH = 6
+
+
+@query
+def window_products(spark: SparkSession, sf: str) -> DataFrame:
+    """What a linear model on windows of six rows is fitted from, per window."""
+    table = settle(_split(spark, sf))
+    found = window_linear.window_products(table, ["target", "aux"], HOURLY, PRODUCTS_LENGTH)
+    ones = found.filter("a = 0 AND b = 0 AND i = 2 AND j = 2").select(F.col("value").alias("_n"))
+    # one number
+    return found.join(F.broadcast(ones)).select("a", "b", "i", "j", F.round(F.col("value") / F.col("_n"), 4).alias("value"))
+
+
+@query
+def forecast_window_linear(spark: SparkSession, sf: str) -> DataFrame:
+    """24 steps of a linear sequence model that was fitted from lagged products."""
+    cleaned = clean_readings(data.readings_cyclic(spark, sf), HOURLY)[0]
+    table = settle(time_split(settle(feature_table(cleaned, HOURLY)), HOURLY))
+    features = ["target", "sin_hour", "cos_hour"]
+    model = window_linear.train_window_linear(table, features, HOURLY)
+    starts = forecasting.window_origins(table, features, HOURLY)
+    forecast = forecasting.recursive_window_linear(starts, features, model.weights, model.intercept, grid=HOURLY)
+    return _worth(forecast, table)
+
+
 @query
 def staged_validation(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted trees by their number, and whether the cut model's error on the validation rows
