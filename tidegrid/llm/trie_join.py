@@ -497,12 +497,12 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id",
     rows = narrow.where("_key IS NOT NULL").groupBy("_key").agg(F.count("*").alias("_rows"))
     kept = kept.join(rows, "_key").checkpoint()
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    named = docs.where(F.col(key).isNotNull()).withColumn("_kept_key", F.col(key))
-    alone = kept.where("_rows = 1").select(F.col("_key").alias("_kept_key"))
-    single = join_checked(named, alone, ["_kept_key"], "left_semi", MAX_BROADCAST_SETS).select(*columns)
+    named = docs.where(F.col(key).isNotNull())
+    alone = kept.where("_rows = 1").select(F.col("_key").alias(key))
+    single = join_checked(named, alone, [key], "left_semi", MAX_BROADCAST_SETS).select(*columns)
     # a key of several rows: only these texts are looked at again
-    several = rows.where("_rows > 1").select(F.col("_key").alias("_kept_key"))
-    repeated = named_sets(join_checked(named, several, ["_kept_key"], "left_semi", MAX_BROADCAST_SETS).select(*columns), key, text, like)
+    several = rows.where("_rows > 1").select(F.col("_key").alias(key))
+    repeated = named_sets(join_checked(named, several, [key], "left_semi", MAX_BROADCAST_SETS).select(*columns), key, text, like)
     chosen = repeated.join(kept.drop("_rows"), ["_key", "_set"], "left_semi")
     first = chosen.groupBy("_key", "_set").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
     return single.union(first.select("_row.*").select(*columns)).union(docs.where(F.col(key).isNull()).select(*columns))
