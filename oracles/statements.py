@@ -1184,8 +1184,10 @@ WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CU
 FROM starts JOIN steps ON n = 24 AND since = origin - INTERVAL 23 HOUR""",
 )
 ORACLES["forecast_window_linear"] = ORACLES["forecast_sequence_model"]
-ORACLES["feature_importance"] = """SELECT feature, CAST(rank AS INTEGER) AS rank, TRUE AS shares_sum_to_one
-FROM (VALUES ('sin_hour', 1), ('cos_hour', 2), ('weather_code', 3)) AS t(feature, rank)"""
+ORACLES["feature_importance"] = f"""SELECT feature, CAST(rank AS INTEGER) AS rank, TRUE AS not_negative,
+       TRUE AS shares_sum_to_one
+FROM (SELECT unnest([{", ".join(f"'{c}'" for c in SCALED_NAMES)}]) AS feature)
+LEFT JOIN (VALUES ('sin_hour', 1), ('cos_hour', 2), ('weather_code', 3)) AS t(feature, rank) USING (feature)"""
 ORACLES["transform_new_text"] = ORACLES["transform_new"].replace(
     f"SELECT series_id, ts, {', '.join(r6(scaled(c), c) for c in SCALED_NAMES)}\nFROM new_features",
     f"""SELECT series_id, ts, CASE WHEN hour(ts) <> 5 THEN {r6("(hour(ts) % 3) / 2.0::DOUBLE")} END AS mood

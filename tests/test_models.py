@@ -6,7 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from compare import difference
 from tidegrid.grid import Grid
+from tidegrid.operators import models
 from tidegrid.operators.forecasting import (
     origins,
     recursive_linear,
@@ -217,6 +220,28 @@ def test_staged_validation_cuts_the_ensemble(spark):
     assert whole.stages[-1].getNumTrees == 3 and [r.kept for r in table.orderBy("trees").collect()] == [False, False, True]
 
 
+def test_importance_is_of_all_features_in_forests_of_full_size(spark, monkeypatch):
+    sf, forests, train = "/root/testdata/sf0.001", [], models.train_model
+
+    def kept(*args, **params):
+        forests.append(train(*args, **params))
+        return forests[-1]
+
+    monkeypatch.setattr(models, "train_model", kept)
+    query = entry.queries()["feature_importance"]
+    found = {r.feature: r for r in query(spark, sf).collect()}
+    table = entry.queries()["feature_table"](spark, sf)
+    assert sorted(found) == sorted(set(table.columns) - {"series_id", "ts", "target"})
+    assert all(r.not_negative and r.shares_sum_to_one for r in found.values())
+    ranked = sorted((r.rank, name) for name, r in found.items() if r.rank is not None)
+    assert ranked == [(1, "sin_hour"), (2, "cos_hour"), (3, "weather_code")]
+    sizes = [m.stages[-1] for m in forests]
+    assert {(m.getNumTrees, m.getMaxDepth()) for m in sizes} == {(models.TREES, models.DEPTH)}
+    assert max(m.numFeatures for m in sizes) == len(found)
+    monkeypatch.undo()
+    assert difference(spark, sf, query, entry.oracle_sql()["feature_importance"]) is None
+
+
 def test_window_linear_equals_a_fit_on_windows(spark):
     """Series of many lengths, chunks shorter and longer than the window, two splits."""
     rng = np.random.default_rng(4)
