@@ -213,20 +213,18 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     holder = {}
 
-    @F.pandas_udf("boolean")
-    def good(column, lengths):
-        import pandas as pd
-
+    @F.arrow_udf("boolean")
+    def good(column: pa.Array, lengths: pa.Array) -> pa.Array:
         if not holder:
             holder["use"] = WordHashes(), Machine.from_bytes(shipped.value)
         memory, machine = holder["use"]
         good_rows: list[bool] = []
         # a few texts at a time, since scoring widens each feature to RANK numbers
         for at in range(0, len(column), SCORED_AT_ONCE):
-            part = zip(column[at : at + SCORED_AT_ONCE], lengths[at : at + SCORED_AT_ONCE])
-            made = [features((t or "").encode(), None if pd.isna(n) else int(n), memory) for t, n in part]
+            part = zip(texts(column.slice(at, SCORED_AT_ONCE)), lengths.slice(at, SCORED_AT_ONCE).to_pylist())
+            made = [features(t, n, memory) for t, n in part]
             good_rows += (machine.score(*end_to_end(made)) >= 0.5).tolist()
-        return pd.Series(good_rows, dtype=bool)
+        return pa.array(good_rows, pa.bool_())
 
     return docs.where(good(F.col(text).cast("string"), F.col(length).cast("long")))
 
