@@ -151,6 +151,26 @@ def test_linked_sets_share_a_signature(num, marked):
     assert tried > 100
 
 
+@pytest.mark.parametrize(("like", "sizes"), [(trie_join.Likeness(3, 90, 100, False), (5500, 9500)), (trie_join.Likeness(5, 80, 100), (20, 60))])
+def test_unlike_sets_share_no_signature(like, sizes):
+    """Parts that two sets leave empty are no likeness: they would tie most sets into one family."""
+    rng = np.random.default_rng(4)
+    signer = trie_join.Signer(like)
+    signs = [np.unique(signer.sign(np.unique(rng.integers(0, 1 << 63, int(rng.integers(*sizes)), dtype=np.uint64)))) for _ in range(200)]
+    assert len(np.unique(np.concatenate(signs))) == sum(map(len, signs))
+
+
+def test_large_families_are_joined_in_rounds(spark, rows, clashing, monkeypatch):
+    """A round sends each set SENT times on average, and the rounds together find every link."""
+    monkeypatch.setattr(trie_join, "BLOCK_SETS", 2)
+    monkeypatch.setattr(trie_join, "SENT", 1)
+    rounds, kept = [], trie_join.written
+    monkeypatch.setattr(trie_join, "written", lambda df, name, *at: rounds.append(name) or kept(df, name, *at))
+    out = trie_join.linked_documents(clashing, trie_join.Likeness(3, 50, 100)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in out} == brute_links(rows, 3, 50)
+    assert rounds.count("tree-links") > 2
+
+
 @pytest.mark.parametrize("marked", [0.0, 0.3, 1.0])
 def test_linked_sets_share_enough_of_their_prefixes(marked):
     rng = np.random.default_rng(int(marked * 10))

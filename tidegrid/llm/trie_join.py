@@ -6,9 +6,10 @@ from the start, so copies cost one row each.
 
 *Families.* If two sets differ in at most d shingles and the space of shingles is cut
 into more than d parts, the sets agree on some part. Sizes are grouped, so that all sets
-which can link share a number of parts (with SPARE and, where shingles are left out, a
-quarter more, so that parts empty in both need not count); a set sends one signature per part, and sets that share a
-signature belong to one family. Shingles of very common passages would tie unlike sets
+which can link share a number of parts (with SPARE and a share more, so that parts empty
+in both need not count); a set sends one signature per part that holds shingles, and sets
+that share a signature belong to one family. Few sets leave too many parts empty for that;
+they also sign by finer parts. Shingles of very common passages would tie unlike sets
 together at low thresholds, so they are found by a counting pass over all texts and left
 out of signatures there. A family is a component of (set, smallest set with its signature).
 Linked sets are always in one family. Nothing is emitted per pair.
@@ -20,7 +21,7 @@ stays a candidate if, of its first shingles, so many are also among those of oth
 (PREFIX_SHARE of its size, besides what may differ); only candidates send signatures.
 
 *Prefix trees.* A family is dealt into blocks of bounded size, and each pair of blocks is
-one group. One block's sets, in global order of their hashes, form a prefix tree whose
+one group; pairs take turns, so that few copies of a set are on disk at once. One block's sets, in global order of their hashes, form a prefix tree whose
 unbranched runs are one node; the other block's sets walk it all at once. The overlap
 with the path to a node is shared by all sets below, and a walker leaves a subtree when
 the overlap so far plus what can remain, in the tree or in the walker, is too small for
@@ -42,6 +43,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +56,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tidegrid.llm.common import WordHashes, gram_hashes, join_checked, map_rows, mixed, passing, scan, shuffles_removed, slices, small_batches, texts, written
 from tidegrid.llm.components import components
 
-# Parts more than needed, besides a quarter more: so many may be empty in a set.
+# Parts more than needed, besides a share more: so many may be empty in a set. Sets that leave
+# more of them empty sign by so many divisions, each into twice the parts.
 SPARE = 2
+DIVISIONS = 4
 # Buckets of shingle hashes, the parts their counts are added up in, the share of all
 # shingles above which a bucket is frequent, and the share of rare shingles to sign by them.
 BUCKET_BITS = 22
@@ -68,6 +72,10 @@ PREFIX_SHARE = 0.1
 MAX_BROADCAST_SETS = 1_000_000
 BLOCK_SETS = 800
 BLOCK_SHINGLES = 400_000
+# How often a round of block pairs sends each set on average, and what a set takes besides its
+# shingles, as so many of them.
+SENT = 3
+SET_COST = 16
 WALKERS = 128
 # Bytes of text hashed at once: a worker keeps some of what a step took for the next stages.
 AT_ONCE = 1 << 20
@@ -193,23 +201,43 @@ class Signer:
         return shared, grams[np.argpartition(order, first - 1)[:first]] if first < size else grams
 
     def in_group(self, grams: np.ndarray, group: int) -> np.ndarray:
-        """One signature per part; equal sets alone link where no shingle may differ."""
+        """Signatures by parts; equal sets alone link where no shingle may differ.
+
+        If more parts are filled than may differ, one that is filled agrees with each
+        partner, whatever the partner fills. A set that fills fewer also signs by twice the
+        parts, and so on up to its single shingles: two linked sets share a filled part at
+        the first division that suits one of them. Parts empty in both tell nothing of two
+        sets, and would tie most of such sets together, so they sign only for sets of no
+        more shingles than may differ.
+        """
         top = self.bounds[group + 1] - 1
         apart = self.like.apart(top, top)
         if apart == 0:
             return np.empty(0, np.uint64)
-        spare = SPARE + (apart // 4 if self.like.rare else 0)
-        parts = apart + 1 + spare
-        part = (mixed(grams + np.uint64(group + 1)) % np.uint64(parts)).astype(np.int64)
+        parts = apart + 1 + SPARE + apart // (4 if self.like.rare else 64)
+        hashes, out = mixed(grams + np.uint64(group + 1)), []
+        for level in range(DIVISIONS):
+            used, sums = self.filled(grams, hashes, parts << level)
+            out.append(self.placed(group, level, used, sums))
+            if len(used) > apart:
+                return np.concatenate(out)
+        out.append(self.placed(group, DIVISIONS, np.zeros(len(grams)), mixed(grams)))
+        if len(grams) <= apart:
+            empty = np.setdiff1d(np.arange(parts), self.filled(grams, hashes, parts)[0])
+            out.append(self.placed(group, 0, empty, np.zeros(len(empty), np.uint64)))
+        return np.concatenate(out)
+
+    @staticmethod
+    def filled(grams: np.ndarray, hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """The parts that hold shingles, and a hash of what they hold."""
+        part = (hashes % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        part = part[order]
-        used, first = np.unique(part, return_index=True)
-        sums = np.add.reduceat(mixed(grams[order]), first)
-        if parts - len(used) > spare:
-            whole = np.zeros(parts, np.uint64)
-            whole[used] = sums
-            used, sums = np.arange(parts), whole
-        place = np.uint64(group) * np.uint64(1 << 40) + used.astype(np.uint64)
+        used, first = np.unique(part[order], return_index=True)
+        return used, np.add.reduceat(mixed(grams[order]), first) if len(used) else np.empty(0, np.uint64)
+
+    @staticmethod
+    def placed(group: int, level: int, used: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        place = np.uint64((group << 40) + (level << 36)) + used.astype(np.uint64)
         return mixed(sums ^ mixed(place + np.uint64(0x5851F42D4C957F2D)))
 
 
@@ -272,7 +300,7 @@ def families(rows: DataFrame) -> DataFrame:
 
 
 def signing_documents(docs: DataFrame, key: str, found: DataFrame) -> DataFrame:
-    """The rows of the candidates' keys; a null key is one too."""
+    """The rows of the keys found; a null key is one too."""
     keys = found.select(F.struct("_key").alias("_named")).distinct()
     named = docs.withColumn("_named", F.struct(F.col(key).alias("_key")))
     return join_checked(named, keys, ["_named"], "left_semi", MAX_BROADCAST_SETS)
@@ -387,14 +415,19 @@ def join_blocks(names: list[list[int]], sets: list[list[np.ndarray]], copies: li
 
 
 def tree_links(docs: DataFrame, rows: DataFrame, family: DataFrame, key: str, text: str, like: Likeness) -> DataFrame:
-    """a, b, n_links: links of a spanning forest (n_links null), and counts (b null)."""
+    """a, b, n_links: links of a spanning forest (n_links null), and counts (b null); written.
+
+    A set is sent once for each block of its family, so large families are joined in rounds
+    that send each set SENT times on average; a round's shuffle goes before the next one.
+    """
     # one document stands for each set of a family; its text is read once more
     members = rows.join(family, "_set").groupBy("_set", "_family", "n_shingles").agg(F.min("_key").alias("_key"), F.count("*").alias("_copies"))
     sizes = members.groupBy("_family").agg(F.count("*").alias("_sets"), F.sum("n_shingles").alias("_shingles"))
     wide = F.greatest(F.ceil(F.col("_sets") / BLOCK_SETS), F.ceil(F.col("_shingles") / BLOCK_SHINGLES)).cast("int")
-    placed = members.join(sizes.select("_family", wide.alias("_blocks")), "_family")
-    placed = placed.withColumn("_block", F.pmod(F.xxhash64("_set"), "_blocks").cast("int"))
-    content = docs.select(F.col(key).alias("_doc"), F.col(text).cast("string").alias("_text"))
+    sizes = sizes.select("_family", wide.alias("_blocks"), (F.col("_shingles") + SET_COST * F.col("_sets")).alias("_cost")).checkpoint()
+    placed = members.join(sizes.select("_family", "_blocks"), "_family")
+    placed = placed.withColumn("_block", F.pmod(F.xxhash64("_set"), "_blocks").cast("int")).checkpoint()
+    content = signing_documents(docs, key, placed).select(F.col(key).alias("_doc"), F.col(text).cast("string").alias("_text"))
     placed = placed.join(content, F.col("_key").eqNullSafe(F.col("_doc"))).select("_set", "_family", "_copies", "_blocks", "_block", "_text")
 
     def make():
@@ -411,8 +444,16 @@ def tree_links(docs: DataFrame, rows: DataFrame, family: DataFrame, key: str, te
     fields = [("_set", pa.int64()), ("_family", pa.int64()), ("_copies", pa.int64()), ("_blocks", pa.int32()), ("_block", pa.int32())]
     arrow = pa.schema([*fields, ("_is", pa.int64()), ("_grams", pa.binary())])
     sets = map_rows(placed, make, head + ", _is long, _grams binary", arrow, AT_ONCE).where("_is = _set").drop("_is")
-    paired = sets.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    paired = paired.select("_set", "_copies", "_grams", "_block", "_family", F.least("_block", "_with").alias("_i"), F.greatest("_block", "_with").alias("_j"))
+    once, sent = sizes.agg(F.sum("_cost"), F.sum(F.col("_cost") * F.col("_blocks"))).first()
+    rounds = -(-sent // (SENT * once)) if once else 1
+
+    def paired(sets: DataFrame, at: int) -> DataFrame:
+        """The sets once for each pair of blocks whose numbers add up to `at` modulo `rounds`."""
+        first = F.pmod(F.lit(at) - F.col("_block"), F.lit(rounds))
+        others = F.when(first < F.col("_blocks"), F.sequence(first, F.col("_blocks") - 1, F.lit(rounds)))
+        return sets.withColumn("_with", F.explode(others)).select(
+            "_set", "_copies", "_grams", "_block", "_family", F.least("_block", "_with").alias("_i"), F.greatest("_block", "_with").alias("_j")
+        )
 
     def join(group: pa.Table) -> pa.Table:
         blocks: dict[int, dict[int, tuple[int, np.ndarray]]] = {}
@@ -426,7 +467,14 @@ def tree_links(docs: DataFrame, rows: DataFrame, family: DataFrame, key: str, te
         b = [y for _, y in forest] + [None] * len(degree)
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([None] * len(forest) + list(degree.values()), pa.int64())], schema=OUT)
 
-    return paired.groupBy("_family", "_i", "_j").applyInArrow(join, "a long, b long, n_links long")
+    def joined(sets: DataFrame, at: int) -> DataFrame:
+        return written(paired(sets, at).groupBy("_family", "_i", "_j").applyInArrow(join, "a long, b long, n_links long"), "tree-links")
+
+    if rounds == 1:
+        return joined(sets, 0)
+    with passing(docs.sparkSession, "tree-sets") as folder:
+        sets = written(sets, "tree-sets", folder)
+        return reduce(DataFrame.union, [joined(sets, at) for at in range(rounds)])
 
 
 PARTS = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
@@ -450,7 +498,7 @@ def resolved(docs: DataFrame, like: Likeness, key: str, text: str) -> tuple[Data
         with passing(docs.sparkSession, "set-signs") as folder:
             signing = hashed(signing_documents(docs, key, chosen), key, text, like, frequent, False)
             family = families(written(signing.join(chosen.select("_set"), "_set", "left_semi"), "set-signs", folder))
-    found = written(tree_links(docs, narrow, family, key, text, like), "tree-links")
+    found = tree_links(docs, narrow, family, key, text, like)
     roots = components(found.where("b IS NOT NULL").select("a", "b"))
     degrees = found.where("n_links IS NOT NULL").groupBy(F.col("a").alias("_set")).agg(F.sum("n_links").alias("_links"))
     sets = narrow.where("_set IS NOT NULL").groupBy("_set").agg(F.min("_key").alias("_least"), F.count("*").alias("_copies"))
