@@ -187,6 +187,34 @@ def test_seasonal_fill_equals_pandas(spark, monkeypatch, broadcast):
     assert filled.target.isna().sum() == (wanted.ts.dt.hour == 7).sum()
 
 
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+@pytest.mark.parametrize("gathered", [0, 60, 10_000])
+def test_seasonal_fill_counts_large_seasons_only(spark, monkeypatch, broadcast, gathered):
+    """Seasons of 20 to 160 values: all counted, some of them, or none."""
+    rng = random.Random(5)
+    cells = [(h, dt.datetime(year, 3, d, h)) for year in (2019, 2020, 2022, 2023) for d in range(1, 21) for h in range(3)]
+    rows = [("a", t + dt.timedelta(minutes=m), None if rng.random() < 0.2 else rng.random()) for h, t in cells for m in range(0, 10 + 20 * h, 10)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    ten = Grid(freq_seconds=600)
+    wanted = sorted(tuple(r) for r in fill_seasonal(df, ["target"], ten).collect())
+    assert all(r[2] is not None for r in wanted)
+    monkeypatch.setattr(gaps, "MAX_BROADCAST_SEASONS", broadcast)
+    monkeypatch.setattr(gaps, "MAX_GATHERED", gathered)
+    assert sorted(tuple(r) for r in fill_seasonal(df, ["target"], ten).collect()) == wanted
+
+
+def test_seasonal_fill_of_one_year_settles_no_values(spark, monkeypatch):
+    """Besides the table, what is kept has at most a row per season."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(s, start + dt.timedelta(hours=k), None if k % 7 == 0 else float(k)) for s in "ab" for k in range(720)]
+    settled, settle = [], gaps.settle
+    monkeypatch.setattr(gaps, "settle", lambda df: settled.append(settle(df)) or settled[-1])
+    filled = fill_seasonal(spark.createDataFrame(rows, SCHEMA), ["target"])
+    assert filled.filter("target IS NULL").count() == 0
+    assert [df.count() for df in settled][0] == 1440
+    assert all(df.count() <= 48 for df in settled[1:])
+
+
 def test_seasonal_fill_without_holes_is_the_table(spark):
     df = series(spark, [1.0, 2.0])
     assert values_of(fill_seasonal(df, ["target"])) == [1.0, 2.0]

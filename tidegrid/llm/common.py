@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidegrid.session import ensure_checkpoint_dir, settings, shuffles_removed
+
 # Words end at these bytes in every operator: space and U+0009 to U+000D. No byte of a
 # longer UTF-8 sequence is among them, so bytes.split() finds exactly these words.
 WORD_GAPS = b" \t\n\x0b\x0c\r"
@@ -141,40 +143,10 @@ def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str, row
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder that the session names."""
-    from tidegrid.session import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{os.urandom(8).hex()}"
 
 
-@contextmanager
-def settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Within, the session has these settings (dots written as two underscores)."""
-    names = {k.replace("__", "."): v for k, v in values.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Within, Spark removes an action's shuffle files when the action is over.
-
-    What the action has written does not need them, and they would else fill the disks
-    until the driver happens to collect its garbage.
-    """
-    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
-        yield
-
-
 # Rows of text that an executor holds at once on the way to and from Python.
 TEXT_BATCH = "1000"
 

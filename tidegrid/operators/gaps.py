@@ -12,13 +12,15 @@ from pyspark.sql.window import Window
 
 from tidegrid.grid import Grid, named
 from tidegrid.operators.regrid import grid_cells
-from tidegrid.session import settle
+from tidegrid.session import settle, shuffles_removed
 
 DEFAULT_LIMIT = 24
 # Seasons of a long series hold many cells; their joins are dealt out by this many salts.
 SEASON_SALTS = 8
 # Up to this many seasons with a hole are matched by a broadcast table.
 MAX_BROADCAST_SEASONS = 100_000
+# The values of a season are brought together up to so many; those of a larger one are counted.
+MAX_GATHERED = 10_000
 
 
 def interpolate(
@@ -95,50 +97,109 @@ def fill_seasonal(
     hold the cells present on entry, so the outcome does not depend on the order
     of visits. On a grid a missing cell is never in its own pool.
 
-    Cells are never brought together by season. The values of the seasons that have a
-    hole are counted first, and medians are picked from the counts (see
-    :func:`counted_medians`); only cells with a hole meet their medians again. The
-    table is settled, since it is read for the holes, the counts and the result.
+    Values alone are brought together, one list per season, where a season has at most
+    MAX_GATHERED of them. Those of larger seasons that have a hole are counted first, and
+    medians are picked from the counts (see :func:`counted_medians`). Days of other years
+    are looked at in seasons that have a day both with a hole and with a value; a series of
+    less than a year has none. Only cells with a hole meet their medians again. The table is
+    settled, since it is read for the holes, the medians and the result.
 
     ``stored`` holds :func:`value_counts` of cells seen before, and per series the last
     cell they cover of each column (``_to0``...); cells up to there are not counted again.
     """
-    table = settle(df.select(*[named(c).cast("double").alias(c) if c in columns else named(c) for c in df.columns]))
     season = [grid.series, "_month", "_hour"]
     hole = reduce(or_, [named(c).isNull() for c in columns], F.lit(False))
-    holes = _with_season(table.filter(hole), grid)
-    flags = [F.max(named(c).isNull()).alias(f"_hole{i}") for i, c in enumerate(columns)]
-    needs = settle(holes.groupBy(*season).agg(*flags))
-    if not (same_day or same_month_hour) or needs.isEmpty():
-        return table
-    counts = value_counts(table, columns, grid, needs, stored[1] if stored else None)
-    if stored:
-        earlier = _at_season(stored[0], needs, season, grid, "_value")
-        flag = reduce(or_, [(F.col("_column") == i) & F.col(f"_hole{i}") for i in range(len(columns))])
-        counts = counts.unionByName(earlier.filter(flag).select(counts.columns))
-    counts = settle(counts)
-    filled, tiers = holes, []
-    for wanted, keys, name in (
-        (same_day, [*season, "_day"], "_fine"),
-        (same_month_hour, season, "_coarse"),
-    ):
-        if wanted:
-            medians = counted_medians(counts, [*keys, "_column"])
-            wide = medians.groupBy(*keys).agg(
-                *[F.max(F.when(F.col("_column") == i, F.col("median"))).alias(f"{name}{i}") for i in range(len(columns))]
-            )
-            filled = _join_salted(filled, wide, keys, "left", grid)
-            tiers.append(name)
+    tiers = [(k, name) for wanted, k, name in ((same_day, [*season, "_day"], "_fine"), (same_month_hour, season, "_coarse")) if wanted]
+    # what a step has shuffled goes when it is settled
+    with shuffles_removed(df.sparkSession):
+        table = settle(df.select(*[named(c).cast("double").alias(c) if c in columns else named(c) for c in df.columns]))
+        needs = settle(_season_needs(table, columns, grid).filter(reduce(or_, [F.col(f"_hole{i}") for i in range(len(columns))], F.lit(False))))
+        if not tiers or needs.isEmpty():
+            return table
+        large = F.lit(True) if stored else F.greatest(F.lit(0), *[F.col(f"_n{i}") for i in range(len(columns))]) > MAX_GATHERED
+        counted, gathered = needs.filter(large), needs.filter(~large)
+        counts = None if counted.isEmpty() else _needed_counts(table, columns, grid, counted, stored)
+        found = []
+        for keys, name in tiers:
+            medians = [] if counts is None else [_wide(counted_medians(counts, [*keys, "_column"]), keys, columns, name)]
+            if not stored:
+                medians += _gathered_medians(table, columns, grid, gathered, counted if counts is not None else None, keys, name)
+            if medians:
+                found.append((keys, name, settle(reduce(DataFrame.unionByName, medians))))
+    filled = _with_season(table.filter(hole), grid)
+    for keys, name, medians in found:
+        filled = _join_salted(filled, medians, keys, "left", grid)
     position = {c: i for i, c in enumerate(columns)}
 
     def value(c: str) -> Column:
         if c not in position:
             return named(c)
-        return F.coalesce(named(c), *[F.col(f"{t}{position[c]}") for t in tiers]).alias(c)
+        return F.coalesce(named(c), *[F.col(f"{name}{position[c]}") for _, name, _ in found]).alias(c)
 
     return table.filter(~hole).unionByName(filled.select(*[value(c) for c in df.columns]))
 
 
+def _season_needs(table: DataFrame, columns: Sequence[str], grid: Grid) -> DataFrame:
+    """Per season and column: is there a hole (``_hole0``...), how many values there are
+    (``_n0``...) and, as bits, the days that have a hole in one year and a value in another
+    (``_twice0``...)."""
+    bit, facts, twice = F.expr("shiftleft(1, _day)"), [], []
+    for i, c in enumerate(columns):
+        absent = named(c).isNull()
+        facts += [
+            F.max(absent).alias(f"_hole{i}"),
+            F.count(named(c)).alias(f"_n{i}"),
+            F.bit_or(F.when(absent, bit)).alias(f"_without{i}"),
+            F.bit_or(F.when(~absent, bit)).alias(f"_with{i}"),
+        ]
+        both = F.col(f"_without{i}").bitwiseAND(F.col(f"_with{i}"))
+        twice += [f"_hole{i}", f"_n{i}", F.coalesce(both, F.lit(0)).alias(f"_twice{i}")]
+    season = [grid.series, "_month", "_hour"]
+    facts = facts or [F.lit(False).alias("_none")]
+    return _with_season(table, grid).groupBy(*season).agg(*facts).select(*season, *twice)
+
+
+def _needed_counts(
+    table: DataFrame, columns: Sequence[str], grid: Grid, needs: DataFrame, stored: tuple[DataFrame, DataFrame] | None
+) -> DataFrame:
+    """Settled :func:`value_counts` of the seasons and columns that have a hole."""
+    counts = value_counts(table, columns, grid, needs, stored[1] if stored else None)
+    if stored:
+        earlier = _at_season(stored[0], needs, [grid.series, "_month", "_hour"], grid, "_value")
+        flag = reduce(or_, [(F.col("_column") == i) & F.col(f"_hole{i}") for i in range(len(columns))])
+        counts = counts.unionByName(earlier.filter(flag).select(counts.columns))
+    return settle(counts)
+
+
+def _wide(medians: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
+    return medians.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_column") == i, F.col("median"))).alias(f"{name}{i}") for i in range(len(columns))]
+    )
+
+
+def _gathered_medians(
+    table: DataFrame, columns: Sequence[str], grid: Grid, needs: DataFrame, large: DataFrame | None, keys: Sequence[str], name: str
+) -> list[DataFrame]:
+    """Medians of the seasons in ``needs`` from lists of their values; no frame if none has any."""
+    season, n = [grid.series, "_month", "_hour"], range(len(columns))
+    cells = _with_season(table, grid)
+    if "_day" in keys:
+        needs = needs.filter(reduce(or_, [F.col(f"_twice{i}") != 0 for i in n]))
+        if needs.isEmpty():
+            return []
+        wanted = [F.expr(f"(_twice{i} & shiftleft(1, _day)) != 0") for i in n]
+        pool = _at_season(cells, needs, season, grid).filter(reduce(or_, wanted))
+    elif needs.limit(MAX_BROADCAST_SEASONS + 1).count() <= MAX_BROADCAST_SEASONS:
+        wanted = [F.col(f"_hole{i}") for i in n]
+        pool = cells.join(F.broadcast(needs), season)
+    else:
+        # nearly all seasons have a hole: their cells need not meet the list of them
+        wanted = [F.lit(True)] * len(columns)
+        pool = cells if large is None else cells.join(large, season, "left_anti")
+    medians = [F.percentile(F.when(w, named(c)), F.lit(0.5)).alias(f"{name}{i}") for i, (w, c) in enumerate(zip(wanted, columns))]
+    return [pool.groupBy(*keys).agg(*medians).filter(reduce(or_, [F.col(f"{name}{i}").isNotNull() for i in n]))]
+
+
 def _with_season(df: DataFrame, grid: Grid) -> DataFrame:
     ts = F.col(grid.ts)
     season = (F.month(ts).alias("_month"), F.hour(ts).alias("_hour"), F.dayofmonth(ts).alias("_day"))

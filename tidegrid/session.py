@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +58,34 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{os.urandom(8).hex()}"
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Within, the session has these settings (dots written as two underscores)."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark removes an action's shuffle files when the action is over.
+
+    What the action has written does not need them, and they would else fill the disks
+    until the driver happens to collect its garbage.
+    """
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        yield
+
+
 def join_counted(left: DataFrame, right: DataFrame, on: list[str], rows: int = 100_000) -> DataFrame:
     """Join with a settled frame; it is broadcast only if it has at most ``rows`` rows."""
     small = right.limit(rows + 1).count() <= rows
