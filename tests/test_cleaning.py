@@ -127,6 +127,64 @@ def test_interpolation_equals_pandas(spark, chunk):
     np.testing.assert_allclose(np.array(got, dtype=float), expected, rtol=1e-12)
 
 
+def test_cells_are_made_after_the_sort(spark):
+    """Readings are sorted and looked at by windows; the cells of holes are only spread."""
+    df = series(spark, [1.0, None, 3.0])
+    for got in (interpolate(df, ["target"]), regrid(df)):
+        plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        spread = next(i for i, line in enumerate(plan) if "Generate explode(sequence(_first" in line)
+        assert not [line for line in plan[:spread] if any(x in line for x in ("Sort", "Window", "Aggregate", "Exchange"))]
+        assert sum("Window [" in line and "_first" in line for line in plan[spread:]) == 1
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, 100])
+def test_interpolation_of_odd_rows(spark, chunk):
+    """Null keys and times, readings off the grid at both ends, columns with other holes, text."""
+    rows = [
+        (None, hours(1), 9.0, 9.0, "x"),
+        ("a", None, 9.0, 9.0, "x"),
+        ("a", hours(0, 20), 50.0, 50.0, "off"),
+        ("a", hours(2), 1.0, None, "p"),
+        ("a", hours(4), None, 8.0, None),
+        ("a", hours(6), 5.0, float("nan"), "q"),
+        ("a", hours(9), None, None, "r"),
+        ("a", hours(11, 59), 70.0, 70.0, "off"),
+        ("b", hours(3), None, None, "only"),
+        ("c", hours(3, 1), 1.0, 1.0, "off"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA + ", aux double, note string")
+    got = interpolate(df, ["target", "aux"], Grid(chunk_cells=chunk), limit=3).orderBy("series_id", "ts").collect()
+    assert [(r.series_id, r.ts) for r in got] == [("a", hours(i)) for i in range(12)] + [("b", hours(3)), ("c", hours(3))]
+    assert [r.target for r in got] == [None, None, 1.0, 2.0, 3.0, 4.0, 5.0, 5.0, 5.0, 5.0, None, None, None, None]
+    aux = [r.aux for r in got]
+    assert aux[:5] == [None] * 4 + [8.0] and np.isnan(aux[5:10]).all() and aux[10:] == [None] * 4
+    assert [r.note for r in got] == [None, None, "p", None, None, None, "q", None, None, "r", None, None, "only", None]
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 100])
+def test_repeated_times_raise_if_on_the_grid(spark, chunk):
+    rows = [("a", hours(0), 1.0), ("a", hours(1, 5), 2.0), ("a", hours(1, 5), 2.0), ("a", hours(4), 3.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert values_of(interpolate(df, ["target"], Grid(chunk_cells=chunk))) == [1.0, 1.5, 2.0, 2.5, 3.0]
+    for repeated in (("a", hours(0), None), ("a", hours(4), 3.0)):
+        with pytest.raises(Exception, match="duplicate timestamps in series a"):
+            interpolate(df.unionByName(spark.createDataFrame([repeated], SCHEMA)), ["target"], Grid(chunk_cells=chunk)).collect()
+
+
+@pytest.mark.parametrize("step", [30, 600, 3_600, 21_600, 86_400])
+def test_cells_of_any_step(spark, step):
+    epoch, rng = dt.datetime(1970, 1, 1), random.Random(step)
+    times = [epoch + dt.timedelta(microseconds=rng.randrange(-(10**15), 10**15)) for _ in range(200)]
+    times += [epoch + dt.timedelta(seconds=step * k + s, microseconds=u) for k in (-3, 0, 7) for s in (0, 1) for u in (0, 1)]
+    grid = Grid(freq_seconds=step)
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
+    got = df.select("ts", grid.cell().alias("cell"), grid.floor().alias("floor"), grid.on_grid().alias("on")).collect()
+    for r in got:
+        cell = (r.ts - epoch) // dt.timedelta(seconds=step)
+        start = epoch + dt.timedelta(seconds=step * cell)
+        assert (r.cell, r.floor, r.on) == (cell, start, r.ts == start)
+
+
 def test_seasonal_fill_tiers(spark):
     def at(year, month, day):
         return dt.datetime(year, month, day)

@@ -44,29 +44,11 @@ def interpolate(
         *[named(c).cast("double").alias(c) if c in columns else named(c) for c in values],
     )
     cells = grid_cells(typed, grid, list(columns), summary)
-    chunk = Window.partitionBy(grid.series, "_chunk")
-    # a growing frame costs one step per row; a shrinking one would rescan the
-    # chunk for every row, so "next" is read as "last" in descending order
-    back = chunk.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = chunk.orderBy(F.desc("_cell")).rowsBetween(Window.unboundedPreceding, 0)
-
-    seen = []
-    for i, c in enumerate(columns):
-        here = F.when(named(c).isNotNull(), F.struct(F.col("_cell").alias("at"), named(c).alias("v")))
-        seen += [
-            F.last(here, True).over(back).alias(f"_prev{i}"),
-            F.last(here, True).over(ahead).alias(f"_next{i}"),
-        ]
     filled = {c: _on_line(named(c), i, limit) for i, c in enumerate(columns)}
-    return (
-        cells.select("*", *seen)
-        # the neighbours' rows have done their work
-        .filter(grid.chunk(F.col("_cell")) == F.col("_chunk"))
-        .select(
-            grid.series,
-            grid.time_of("_cell").alias(grid.ts),
-            *[filled.get(c, named(c)).alias(c) for c in values],
-        )
+    return cells.select(
+        grid.series,
+        grid.time_of("_cell").alias(grid.ts),
+        *[filled.get(c, named(c)).alias(c) for c in values],
     )
 
 

@@ -174,16 +174,17 @@ def regrid(df: DataFrame, grid: Grid = Grid()) -> DataFrame:
 def grid_cells(
     df: DataFrame, grid: Grid, carry: Sequence[str], summary: DataFrame | None = None
 ) -> DataFrame:
-    """The grid as ``(series, _chunk, _cell, values...)``, partitioned by series and chunk.
+    """The grid as ``(series, _cell, values...)``; the values of holes are NULL.
 
-    Readings and grid rows meet in one shuffle. A grid row stands for a whole
-    chunk until it has arrived and is only then spread into cells, so no array
-    longer than a chunk is ever built and the spine is never joined.
+    Readings and one row per chunk, which begins it, meet in one shuffle and are sorted;
+    only then is each row spread over the empty cells up to the next one. No array longer
+    than a chunk is ever built, the spine is never joined, and no cell is sorted.
 
-    For the columns in ``carry``, the last present value before a chunk and the
-    first one after it come along as rows of their own outside the chunk's range
-    (at most two per column and chunk), so that a window over the chunk sees its
-    neighbours. ``summary`` is the :func:`chunk_summary` of the same readings and columns.
+    For the columns in ``carry`` come ``_prev0``, ``_next0``... with cell and value (``at``,
+    ``v``) of the last present value up to a cell and of the first one after it. The ones
+    next to a chunk come along as rows of their own outside the chunk's range (at most two
+    per column and chunk). ``summary`` is the :func:`chunk_summary` of the same readings
+    and columns.
     """
     series = grid.series
     values = [c for c in df.columns if c not in (series, grid.ts)]
@@ -195,7 +196,7 @@ def grid_cells(
         F.col(series),
         grid.chunk(cell).alias("_chunk"),
         cell.alias("_first"),
-        cell.alias("_last"),
+        F.lit(None).cast("bigint").alias("_last"),
         F.lit(1).alias("_reading"),
         *map(named, values),
     )
@@ -203,24 +204,37 @@ def grid_cells(
         summary = chunk_summary(timed, grid, carry)
     marks = _chunk_rows(summary, grid, values, types, carry)
 
-    key = [series, "_chunk", "_cell"]
-    # a chunk row grows into many cells on arrival, which Spark cannot foresee when
-    # it merges small partitions, hence the explicit number
+    # a row grows into many cells on arrival, which Spark cannot foresee when it
+    # merges small partitions, hence the explicit number
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = (
-        readings.unionByName(marks)
-        .repartition(partitions, series, "_chunk")
-        .withColumn("_cell", F.explode(F.sequence("_first", "_last")))
-        .groupBy(*key)
-        .agg(
-            F.sum("_reading").alias("_readings"),
-            *[F.any_value(named(c), F.lit(True)).alias(c) for c in values],
-        )
-    )
+    rows = readings.unionByName(marks).repartition(partitions, series, "_chunk")
+    # of rows at the same cell the one that begins the chunk is first
+    ordered = Window.partitionBy(series, "_chunk").orderBy("_first", "_reading")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    seen = []
+    for i, c in enumerate(carry):
+        here = F.when(named(c).isNotNull(), F.struct(F.col("_first").alias("at"), named(c).alias("v")))
+        rows = rows.withColumn(f"_here{i}", here)
+        seen += [
+            F.last(f"_here{i}", True).over(upto).alias(f"_prev{i}"),
+            F.expr(f"lead(_here{i}) IGNORE NULLS").over(ordered).alias(f"_next{i}"),
+        ]
+    # the chunk's last cell is known from the row that begins it
+    following, end = F.lead("_first").over(ordered), F.max("_last").over(upto)
+    spans = rows.select("*", *seen, following.alias("_following"), F.least(following - 1, end).alias("_until"))
     clash = F.raise_error(
         F.concat(F.lit("duplicate timestamps in series "), F.col(series).cast("string"))
     ).cast("boolean")
-    return cells.filter(F.when(F.col("_readings") > 1, clash).otherwise(True)).select(*key, *map(named, values))
+    twice = (F.col("_reading") == 1) & (F.col("_following") == F.col("_first"))
+    # the neighbours' rows have done their work
+    own = (grid.chunk(F.col("_first")) == F.col("_chunk")) & (F.col("_first") <= F.col("_until"))
+    cells = spans.filter(F.when(twice, clash).otherwise(own)).withColumn("_cell", F.explode(F.sequence("_first", "_until")))
+    return cells.select(
+        series,
+        "_cell",
+        *[F.when(F.col("_cell") == F.col("_first"), named(c)).alias(c) for c in values],
+        *[f"_{side}{i}" for i in range(len(carry)) for side in ("prev", "next")],
+    )
 
 
 def _chunk_rows(
@@ -230,7 +244,8 @@ def _chunk_rows(
     types: dict[str, T.DataType],
     carry: Sequence[str],
 ) -> DataFrame:
-    """One row per chunk of the grid, and rows for the nearest values outside it.
+    """One row per chunk of the grid, from its ``_first`` cell to its ``_last``, and rows
+    without a ``_last`` for the nearest values outside it.
 
     Everything here rests on the summary of the readings by series and chunk: a
     century of hours is a few hundred rows.
@@ -279,7 +294,7 @@ def _chunk_rows(
     for i, c in enumerate(carry):
         earlier = F.when(own, F.col(f"_before{i}")).otherwise(F.col(f"_upto{i}"))
         for side in (earlier, F.col(f"_after{i}")):
-            entries.append(entry(side["at"], side["at"], {c: side["v"]}))
+            entries.append(entry(side["at"], F.lit(None).cast("bigint"), {c: side["v"]}))
     return (
         spread.select(series, "_chunk", F.explode(F.array(*entries)).alias("e"))
         .select(series, "_chunk", "e.*")
