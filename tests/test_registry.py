@@ -104,6 +104,30 @@ def test_runs(spark):
     assert [r.run_path for r in paths.collect()] == ["a/b/c", "e/p/d"]
 
 
+def test_unregistered_top_runs_reads_the_runs_once(spark):
+    """Odd rows included: null and repeated ids, missing accuracies, ties, the threshold itself."""
+    accuracies = [("r3", 0.9), ("r1", 0.9), ("r2", 0.95), (None, 0.85), ("r4", 0.81), ("r4", 0.81), ("r5", 0.8)]
+    accuracies += [("r6", None), ("r7", 0.99), ("r8", 0.8001), ("r0", 0.2)]
+    rows = [(k, f"name {k}", a, None if k == "r1" else 0.5, None if k == "r2" else 7) for k, a in accuracies]
+    df = spark.createDataFrame(rows, "run_id string, name string, single_step_accuracy double, multi_step_accuracy double, user_id int")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    kinds = [("r7", "model"), ("r7", "model"), ("r3", "run_log"), (None, "model"), ("r2", None)]
+    logged = spark.createDataFrame([(k, "m", "v", t, 1) for k, t in kinds], "run_id string, name string, version string, type string, seq int")
+    got = experiments.unregistered_top_runs(df.mapInArrow(counted, df.schema), logged).collect()
+    assert [tuple(r) for r in got] == [
+        ("r2", "name r2", 0.95, 0.5, "Unknown", 7), ("r1", "name r1", 0.9, None, "7", 7), ("r3", "name r3", 0.9, 0.5, "7", 7),
+        (None, "name None", 0.85, 0.5, "7", 7), ("r4", "name r4", 0.81, 0.5, "7", 7),
+    ]
+    assert seen.value == len(rows)
+    assert experiments.unregistered_top_runs(df.limit(0), logged).count() == 0
+
+
 def test_registry(spark):
     versions = spark.createDataFrame(
         [(1, "m", "v1", "r1", ["Production"]), (2, "m", "v2", None, []), (3, "m", "v3", "gone", ["staging"])],
