@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidegrid.grid import Grid
 from tidegrid.operators.encoding import encode, fit_encoding, rank_in_ranges
@@ -273,6 +274,27 @@ def test_seasonal_fill_of_one_year_settles_no_values(spark, monkeypatch):
     assert all(df.count() <= 48 for df in settled[1:])
 
 
+def test_seasonal_values_are_sorted_without_a_copy_of_their_keys(spark, monkeypatch):
+    """Odd values have the medians they had; the setting is put back."""
+    plans, settle = [], gaps.settle
+    monkeypatch.setattr(gaps, "settle", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settle(df))
+    inf, nan = float("inf"), float("nan")
+    pools = {
+        "even": ([4.0, 1.0, 3.0, 2.0], 2.5), "odd": ([3.0, 1.0, 1.0], 1.0), "none": ([None, None], None), "one": ([-7.5], -7.5),
+        "nan": ([nan, 1.0, 2.0], 2.0), "nans": ([nan, nan, 1.0, nan], nan), "inf": ([inf, inf, 1.0], inf), "ends": ([-inf, 5.0], -inf),
+    }
+    rows = [(k, START + dt.timedelta(days=i), v, None) for k, (values, _) in pools.items() for i, v in enumerate([None, *values])]
+    rows.append((None, START, None, 1.0))
+    df = spark.createDataFrame(rows, SCHEMA + ", aux double")
+    filled = {r.series_id: r for r in fill_seasonal(df, ["target", "aux"]).filter(F.col("ts") == F.lit(START)).collect()}
+    for k, (_, wanted) in pools.items():
+        assert filled[k].target == wanted or (wanted != wanted and filled[k].target != filled[k].target)
+    assert all(r.aux is None for k, r in filled.items() if k) and filled[None].target is None
+    assert any("collect_list" in plan for plan in plans)
+    assert not any("ObjectHashAggregate" in plan for plan in plans)
+    assert spark.conf.get("spark.sql.execution.useObjectHashAggregateExec") == "true"
+
+
 def test_seasonal_fill_without_holes_is_the_table(spark):
     df = series(spark, [1.0, 2.0])
     assert values_of(fill_seasonal(df, ["target"])) == [1.0, 2.0]

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from tidegrid.grid import Grid, named
 from tidegrid.operators.regrid import grid_cells
-from tidegrid.session import settle, shuffles_removed
+from tidegrid.session import settings, settle, shuffles_removed
 
 DEFAULT_LIMIT = 24
 # Seasons of a long series hold many cells; their joins are dealt out by this many salts.
@@ -107,7 +107,10 @@ def fill_seasonal(
             if not stored:
                 medians += _gathered_medians(table, columns, grid, gathered, counted if counts is not None else None, keys, name)
             if medians:
-                found.append((keys, name, settle(reduce(DataFrame.unionByName, medians))))
+                # hashed lists of over 128 seasons are given up for a sort of each row with a second
+                # copy of its key, so rows are sorted from the start
+                with settings(df.sparkSession, spark__sql__execution__useObjectHashAggregateExec="false"):
+                    found.append((keys, name, settle(reduce(DataFrame.unionByName, medians))))
     filled = _with_season(table.filter(hole), grid)
     for keys, name, medians in found:
         filled = _join_salted(filled, medians, keys, "left", grid)
@@ -178,8 +181,16 @@ def _gathered_medians(
         # nearly all seasons have a hole: their cells need not meet the list of them
         wanted = [F.lit(True)] * len(columns)
         pool = cells if large is None else cells.join(large, season, "left_anti")
-    medians = [F.percentile(F.when(w, named(c)), F.lit(0.5)).alias(f"{name}{i}") for i, (w, c) in enumerate(zip(wanted, columns))]
-    return [pool.groupBy(*keys).agg(*medians).filter(reduce(or_, [F.col(f"{name}{i}").isNotNull() for i in n]))]
+    values = [F.when(w, named(c)).alias(f"_v{i}") for i, (w, c) in enumerate(zip(wanted, columns))]
+    pool = pool.select(*keys, *values).filter(reduce(or_, [F.col(f"_v{i}").isNotNull() for i in n]))
+    lists = pool.groupBy(*keys).agg(*[F.sort_array(F.collect_list(f"_v{i}")).alias(f"_v{i}") for i in n])
+    return [lists.select(*keys, *[_middle(f"_v{i}").alias(f"{name}{i}") for i in n])]
+
+
+def _middle(values: str) -> Column:
+    """The median of a sorted list; NULL if it is empty."""
+    low, high = f"{values}[(size({values}) - 1) div 2]", f"{values}[size({values}) div 2]"
+    return F.expr(f"CASE WHEN size({values}) > 0 THEN 0.5D * {low} + 0.5D * {high} END")
 
 
 def _with_season(df: DataFrame, grid: Grid) -> DataFrame:
